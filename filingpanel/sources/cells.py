@@ -9,6 +9,9 @@ read.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,14 +49,32 @@ class Occurrences:
     """Numbers repeated filer ids within a member 1, 2, ... across chunks."""
 
     def __init__(self) -> None:
-        self._seen: pd.Series = pd.Series(dtype="int64")
+        self._seen: Counter = Counter()
 
     def number(self, ids: pd.Series) -> np.ndarray:
-        keys = ids.fillna(-1).astype("int64")
-        within = keys.groupby(keys).cumcount()
-        before = keys.map(self._seen).fillna(0).astype("int64")
-        self._seen = self._seen.add(keys.value_counts(), fill_value=0)
-        return (within + before + 1).to_numpy()
+        numbers = np.empty(len(ids), dtype="int32")
+        for position, key in enumerate(ids.fillna(-1).tolist()):
+            self._seen[key] += 1
+            numbers[position] = self._seen[key]
+        return numbers
+
+
+def regrouped(batches: Iterable[pa.RecordBatch], cells: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches: many small members would otherwise travel one by one."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows + len(batch.column("cells").flatten())
+        if size >= cells:
+            yield from _combined(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield from _combined(waiting)
+
+
+def _combined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return batches if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
 def header_batch(path: str, source: str, ordinal: int, variables: list[str], numeric: list[bool | None]) -> pa.RecordBatch:
@@ -115,7 +136,7 @@ def value_batch(
     def whole(values: pd.Series | None, kind):
         if values is None:
             return pa.nulls(rows, kind)
-        return pa.array(values.astype("Int64").astype(object).where(values.notna(), None), kind)
+        return pa.array(values.to_numpy(dtype=float), from_pandas=True).cast(kind)
 
     return pa.RecordBatch.from_arrays(
         [

@@ -31,6 +31,10 @@ def decode_delimited(files: DataFrame) -> DataFrame:
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from cells.regrouped(_decode_files(batches))
+
+
+def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, name, content in zip(*(batch.column(i) for i in range(3))):
             path, name = path.as_py(), name.as_py()
@@ -72,7 +76,7 @@ def _encoding_of(stream) -> str:
 def _decode_member(path: str, source: str, ordinal: int, text: io.TextIOBase) -> Iterator[pa.RecordBatch]:
     """Rows with a usable filer id. Reads in chunks; an error rejects the member as a whole later on."""
     try:
-        chunks = pd.read_csv(text, sep="\t", dtype=str, chunksize=2_000)
+        chunks = pd.read_csv(text, sep="\t", dtype=str, chunksize=1_000)
         first_row, occurrences, variables = 0, cells.Occurrences(), None
         for chunk in chunks:
             id_column = find_filer_column([str(c) for c in chunk.columns], mode="first")

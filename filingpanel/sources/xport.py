@@ -47,7 +47,7 @@ def decode_xport(
 ) -> DataFrame:
     """Decode files given as ``(path, file_name, content)``; one quarter file per row."""
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, name, content in zip(*(batch.column(i) for i in range(3))):
                 path, name = path.as_py(), name.as_py()
@@ -56,6 +56,9 @@ def decode_xport(
                 except (ValueError, OSError, zipfile.BadZipFile) as problem:
                     yield cells.error_batch(path, name, 0, f"{type(problem).__name__}: {problem}")
 
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cells.regrouped(decode_files(batches))
+
     return files.select("path", "file_name", "content").mapInArrow(decode, cells.CELL_SCHEMA)
 
 

@@ -909,19 +909,19 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.join(grouped.groupBy("folder").agg(F.sum("count").alias("rows")), "folder")
 
 
-@registered("""SELECT c_custkey AS filer_id, 'RCON_BALANCE' AS variable, c_acctbal AS num_value, NULL AS raw FROM customer
-    UNION ALL SELECT c_custkey, 'RCON_SEGMENT', NULL, c_mktsegment FROM customer
-    UNION ALL SELECT c_custkey, 'RCFD NAME', NULL, c_name || chr(9) || '"x"' FROM customer""")
+@registered("""SELECT s_suppkey AS filer_id, 'RCON_BALANCE' AS variable, s_acctbal AS num_value, NULL AS raw FROM supplier
+    UNION ALL SELECT s_suppkey, 'RCON_NATION', s_nationkey::DOUBLE, NULL FROM supplier
+    UNION ALL SELECT s_suppkey, 'RCFD NAME', NULL, s_name || chr(9) || '"x"' FROM supplier""")
 def delimited_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.format_string(
-        'rcon_segment\tIDRSSD\trcon_balance\tempty\t"rcfd name"\n%s\t%s\t%s\tNA\t"%s\t""x"""\nnote\tabout ids\tx\tx\tx\n',
-        F.col("c_mktsegment"),
-        F.col("c_custkey").cast("string"),
-        F.col("c_acctbal").cast("string"),
-        F.col("c_name"),
-    )
-    files = table(spark, sf_dir, "customer").select(
-        F.col("c_name").alias("path"), F.lit("Call_20010630.txt").alias("file_name"), line.cast("binary").alias("content")
+        'rcon_nation\tIDRSSD\trcon_balance\tempty\t"rcfd name"\n%s\t%s\t%s\tNA\t"%s\t""x"""\nnote\tabout ids\tx\tx\tx\n',
+        F.col("s_nationkey").cast("string"),
+        F.col("s_suppkey").cast("string"),
+        F.col("s_acctbal").cast("string"),
+        F.col("s_name"),
+    )
+    files = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("path"), F.lit("Call_20010630.txt").alias("file_name"), line.cast("binary").alias("content")
     )
     cells = decode_delimited(files).where(F.col("row_no") >= 0).select("filer_id", F.explode("cells").alias("c"))
     number = text.parse_number(F.col("c.raw"))
