@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.sources import cells
 from filingpanel.sources.files import open_file, read_files
+from filingpanel.sources.headers import unique_names
 
 PATTERN = "*.{txt,csv,zip}"
+_SURPLUS = "\x00surplus"
 
 
 def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN) -> DataFrame:
@@ -73,24 +76,44 @@ def _encoding_of(stream) -> str:
     return "utf-8"
 
 
+def _header_of(text: io.TextIOBase) -> list[str]:
+    """The column names; leaves the stream at the first row."""
+    for fields in csv.reader(text, delimiter="\t"):
+        if any(field.strip() for field in fields):
+            fields[0] = fields[0].removeprefix("\ufeff")
+            return unique_names(fields)
+    return []
+
+
 def _decode_member(path: str, source: str, ordinal: int, text: io.TextIOBase) -> Iterator[pa.RecordBatch]:
-    """Rows with a usable filer id. Reads in chunks; an error rejects the member as a whole later on."""
+    """Rows with a usable filer id, in chunks. A later error rejects the member's earlier rows too."""
     try:
-        chunks = pd.read_csv(text, sep="\t", dtype=str, chunksize=1_000)
-        first_row, occurrences, variables = 0, cells.Occurrences(), None
+        names = _header_of(text)
+        id_column = find_filer_column(names, mode="first")
+        if id_column is None:
+            yield cells.error_batch(path, source, ordinal, "no filer id column")
+            return
+        variables = [n.upper() for n in names if n != id_column]
+        yield cells.header_batch(path, source, ordinal, variables, [None] * len(variables))
+        # One column more than the header has: the parser's own check of row widths starts anew
+        # with every chunk. Trailing empty fields are no surplus.
+        chunks = pd.read_csv(
+            text,
+            sep="\t",
+            dtype=str,
+            header=None,
+            names=[*names, _SURPLUS],
+            index_col=False,
+            chunksize=cells.rows_per_chunk(len(names)),
+        )
+        first_row, occurrences = 0, cells.Occurrences()
         for chunk in chunks:
-            id_column = find_filer_column([str(c) for c in chunk.columns], mode="first")
-            if id_column is None:
-                yield cells.error_batch(path, source, ordinal, "no filer id column")
-                return
-            values = chunk.drop(columns=id_column)
-            if variables is None:
-                variables = [str(c).upper() for c in values.columns]
-                yield cells.header_batch(path, source, ordinal, variables, [None] * len(variables))
+            if chunk[_SURPLUS].notna().any():
+                raise ValueError(f"a row has more than {len(names)} fields")
             ids = pd.to_numeric(chunk[id_column], errors="coerce").replace([np.inf, -np.inf], np.nan)
             valid = ids.notna()
             ids = np.trunc(ids[valid])
-            texts = values[valid].to_numpy(dtype=object)
+            texts = chunk.loc[valid].drop(columns=[id_column, _SURPLUS]).to_numpy(dtype=object)
             yield cells.value_batch(
                 path,
                 source,
@@ -103,6 +126,8 @@ def _decode_member(path: str, source: str, ordinal: int, text: io.TextIOBase) ->
                 np.full(texts.shape, np.nan),
                 texts,
             )
-            first_row += int(valid.sum())
-    except (ValueError, UnicodeError, OSError, zipfile.BadZipFile) as problem:
+            first_row += len(ids)
+    except pd.errors.EmptyDataError:
+        return  # a header without rows
+    except (ValueError, csv.Error, OSError, zipfile.BadZipFile) as problem:
         yield cells.error_batch(path, source, ordinal, f"{type(problem).__name__}: {problem}")

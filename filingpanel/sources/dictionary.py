@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from filingpanel.functions.text import na_to_null
+from filingpanel.sources.headers import unique_names
 
 
 def read_dictionary_csv(
@@ -42,17 +43,7 @@ def read_dictionary_csv(
     for i, name in enumerate(names):
         is_header = is_header & F.col(f"c{i}").eqNullSafe(F.lit(name or None))
     body = lines.where(~F.coalesce(is_preamble, F.lit(False)) & ~is_header)
-    return body.select(*[na_to_null(F.col(f"c{i}")).alias(n) for i, n in enumerate(_unique(names))])
-
-
-def _unique(names: list[str]) -> list[str]:
-    """Names for all columns: empty ones numbered, repeated ones suffixed."""
-    unique: list[str] = []
-    for i, name in enumerate(names):
-        name = name or f"Unnamed: {i}"
-        repeats = names[:i].count(name)
-        unique.append(f"{name}.{repeats}" if repeats else name)
-    return unique
+    return body.select(*[na_to_null(F.col(f"c{i}")).alias(n) for i, n in enumerate(unique_names(names))])
 
 
 def _is_utf8(spark: SparkSession, path: str) -> bool:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 from collections.abc import Sequence
 from typing import BinaryIO
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,5 +68,5 @@ def open_file(path: str, content: bytes | None) -> BinaryIO:
     from pyarrow import fs
 
     uri = path.replace("s3a://", "s3://", 1) if "://" in path else path.replace("file:", "file://", 1)
-    filesystem, inner = fs.FileSystem.from_uri(uri)
+    filesystem, inner = fs.FileSystem.from_uri(quote(uri, safe="/:@"))
     return filesystem.open_input_file(inner)
