@@ -40,6 +40,10 @@ def _unescape(text: pd.Series) -> pd.Series:
     return text.map(lambda value: html.unescape(value) if "&" in value else value, na_action="ignore")
 
 
+# A condition on the result would otherwise be pushed below it and decode every text twice.
+_unescape = _unescape.asNondeterministic()
+
+
 def clean_text(text: Column) -> Column:
     """Entities decoded, then tags removed, then white space collapsed and trimmed; null gives ''."""
     decoded = _unescape(F.coalesce(text, F.lit("")))

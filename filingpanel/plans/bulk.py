@@ -17,13 +17,15 @@ from filingpanel.operators.prune import prune_catalog
 from filingpanel.plans.panel import (
     Panel,
     check_duplicate_rule,
-    chosen_files,
+    excluded_members,
     headers_of,
+    member_errors,
+    member_table,
     quarter_status,
-    readable,
-    values_of,
+    without_members,
 )
 from filingpanel.session import staged
+from filingpanel.sources.cells import HEADER_ROW
 from filingpanel.sources.delimited import read_delimited
 from filingpanel.sources.files import list_files, plain_name
 
@@ -79,48 +81,68 @@ def assemble_bulk(
             "period": period_from_bulk_name(name, period_style),
         }
     )
-    good = readable(dated)
-    all_rows = good.where(F.col("row_no") >= 0)
-    # Members without rows take no part in the merge, and one file stands for a quarter.
-    members = all_rows.groupBy("quarter", "path", "member_ordinal").agg(F.count("*").alias("rows"))
-    used = members.join(chosen_files(members, on_duplicate), ["quarter", "path"], "left_semi")
-    member = ["path", "member_ordinal"]
-    rows = all_rows.join(used, member, "left_semi")
-
-    column = [*member, "variable"]
-    headers = headers_of(good.join(used, member, "left_semi"), "entity_type", "quarter", *member)
-    values = values_of(rows, "entity_type", "quarter", "period", *member, "filer_id", "occurrence")
-    verdicts = numeric_verdicts(values, column)
-    # Of a column in several members the first member's wins, even where it is empty.
-    first = headers.groupBy("path", "variable").agg(F.min("member_ordinal").alias("member_ordinal"))
-    columns = headers.join(first, column, "left_semi").join(verdicts, column, "left")
-    catalog = columns.select(
+    members = member_table(dated)
+    excluded = excluded_members(members, on_duplicate)
+    used = without_members(dated, excluded)
+    rows = used.where(F.col("row_no") > HEADER_ROW)
+    columns = staged(_merged_columns(used, rows), "columns")
+    keys = ("entity_type", "quarter", "period", "filer_id", "occurrence")
+    catalog = columns.where("first").select(
         "entity_type",
         "quarter",
         "member_ordinal",
         "variable",
-        F.when(F.col("n_text") > 0, "string").otherwise("double").alias("dtype"),
+        F.when(F.col("is_numeric"), "double").otherwise("string").alias("dtype"),
         "ordinal",
-        F.coalesce("n_values", F.lit(0)).alias("n_values"),
+        "n_values",
     )
-    filled = columns.where(F.col("n_values") > 0).select(*column, "is_numeric")
-    facts = values.join(filled, column).select(
-        "entity_type",
-        "quarter",
-        "period",
-        "filer_id",
-        "occurrence",
+    filers = rows.select(*keys).distinct().withColumn("entity_code", F.lit(None).cast("int"))
+    kept = prune_catalog(catalog, dictionary, ALWAYS_KEEP_BULK)
+    status = quarter_status(filers, kept, member_errors(members, F.lit(CUTOFF_ENTITY)))
+    return Panel(_merged_values(rows, columns, keys), filers, kept, status)
+
+
+def _merged_columns(used: DataFrame, rows: DataFrame) -> DataFrame:
+    """Every column of every member: whether it is the first of its name, its values, its type.
+
+    Of a column in several members the first member's wins, even where it is empty.
+    """
+    member = ["path", "member_ordinal"]
+    headers = headers_of(used, "entity_type", "quarter", *member).drop("kind")
+    first = headers.groupBy("path", "variable").agg(F.min(F.struct("member_ordinal", "ordinal")).alias("_first"))
+    cells = rows.select(*member, F.explode("cells").alias("_c")).select(*member, "_c.ordinal", "_c.raw")
+    verdicts = numeric_verdicts(cells, [*member, "ordinal"])
+    place = F.struct("member_ordinal", "ordinal")
+    return (
+        headers.join(first, ["path", "variable"])
+        .withColumn("first", place == F.col("_first"))
+        .join(verdicts, [*member, "ordinal"], "left")
+        .select(
+            headers["*"],
+            "first",
+            F.coalesce("n_values", F.lit(0)).alias("n_values"),
+            F.coalesce("is_numeric", F.lit(True)).alias("is_numeric"),
+        )
+    )
+
+
+def _merged_values(rows: DataFrame, columns: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Typed values of the winning columns.
+
+    The verdicts of a member are joined to its rows as one array by column position, before the
+    values are exploded: one lookup per filer row instead of one per value.
+    """
+    member = ["path", "member_ordinal"]
+    verdict = F.when(F.col("first"), F.col("is_numeric"))
+    by_position = F.array_sort(F.collect_list(F.struct("ordinal", verdict.alias("numeric"))))
+    verdicts = columns.groupBy(*member).agg(F.transform(by_position, lambda c: c["numeric"]).alias("_numeric"))
+    exploded = rows.join(verdicts, member).select(*keys, "_numeric", F.explode("cells").alias("_c"))
+    typed = exploded.select(
+        *keys, "_c.variable", "_c.raw", F.get(F.col("_numeric"), F.col("_c.ordinal")).alias("is_numeric")
+    ).where(F.col("is_numeric").isNotNull())
+    return typed.select(
+        *keys,
         "variable",
         F.when(F.col("is_numeric"), parse_number(F.col("raw"))).alias("num_value"),
         F.when(~F.col("is_numeric"), F.col("raw")).alias("str_value"),
     )
-    filers = (
-        rows.select("entity_type", "quarter", "period", "filer_id", "occurrence")
-        .distinct()
-        .withColumn("entity_code", F.lit(None).cast("int"))
-    )
-    kept = prune_catalog(catalog, dictionary, ALWAYS_KEEP_BULK)
-    errors = dated.where(F.col("error").isNotNull()).select(
-        "entity_type", "quarter", F.concat_ws(": ", "source_name", "error").alias("message")
-    )
-    return Panel(facts, filers, kept, quarter_status(filers, kept, errors))

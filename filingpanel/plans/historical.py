@@ -15,13 +15,15 @@ from filingpanel.operators.prune import prune_catalog
 from filingpanel.plans.panel import (
     Panel,
     check_duplicate_rule,
-    chosen_files,
+    excluded_members,
     headers_of,
+    member_errors,
+    member_table,
     quarter_status,
-    readable,
-    values_of,
+    without_members,
 )
 from filingpanel.session import staged
+from filingpanel.sources.cells import HEADER_ROW
 from filingpanel.sources.xport import read_xport
 
 
@@ -52,20 +54,19 @@ def assemble_historical(
     dated = decoded.withColumns({"period": period, "quarter": quarter_label(period)})
     if skip_quarters:
         dated = dated.where(~F.coalesce(F.col("quarter").isin(*skip_quarters), F.lit(False)))
-    good = readable(dated).where(F.col("period").isNotNull())
-    all_rows = good.where(F.col("row_no") >= 0)
-    paths = chosen_files(all_rows, on_duplicate).select("path")
-    typed = all_rows.withColumn("entity_type", entity_type_of(F.col("entity_code")))
-    rows = apply_cutoff(typed.where(F.col("entity_type").isNotNull())).join(paths, "path", "left_semi")
+    members = member_table(dated)
+    used = without_members(dated, excluded_members(members, on_duplicate))
+    typed = used.withColumn("entity_type", entity_type_of(F.col("entity_code")))
+    rows = apply_cutoff(typed.where(F.col("entity_type").isNotNull() & (F.col("row_no") > HEADER_ROW)))
 
     keys = ("entity_type", "quarter", "period", "filer_id", "occurrence")
-    facts = values_of(rows, *keys).select(
-        *keys, "variable", F.col("num").alias("num_value"), F.col("raw").alias("str_value")
+    facts = rows.select(*keys, F.explode("cells").alias("_c")).select(
+        *keys, "_c.variable", F.col("_c.num").alias("num_value"), F.col("_c.raw").alias("str_value")
     )
     filers = rows.select(*keys, "entity_code")
     # Each entity type of a quarter has all columns of the quarter's file.
     splits = rows.select("entity_type", "path").distinct()
-    headers = headers_of(good, "quarter", "path", "member_ordinal").join(splits, "path")
+    headers = headers_of(used, "quarter", "path", "member_ordinal").join(splits, "path")
     counts = facts.groupBy("entity_type", "quarter", "variable").agg(F.count("*").alias("n_values"))
     catalog = headers.join(counts, ["entity_type", "quarter", "variable"], "left").select(
         "entity_type",
@@ -76,10 +77,6 @@ def assemble_historical(
         "ordinal",
         F.coalesce("n_values", F.lit(0)).alias("n_values"),
     )
-    kept = prune_catalog(catalog, dictionary, ALWAYS_KEEP_HISTORICAL)
-    errors = dated.where(F.col("error").isNotNull()).select(
-        F.lit(None).cast("string").alias("entity_type"),
-        "quarter",
-        F.concat_ws(": ", "source_name", "error").alias("message"),
-    )
-    return Panel(facts, filers, kept, quarter_status(filers, kept, errors))
+    kept = staged(prune_catalog(catalog, dictionary, ALWAYS_KEEP_HISTORICAL), "catalog")
+    status = quarter_status(filers, kept, member_errors(members, F.lit(None).cast("string")))
+    return Panel(facts, filers, kept, status)

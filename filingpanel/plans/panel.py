@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from filingpanel.constants import ENTITY_FORMS, ID_COLUMN, PERIOD_COLUMN
 from filingpanel.operators.describe import describe_columns, descriptions_for
 from filingpanel.operators.reshape import to_wide, with_lead_columns
-from filingpanel.sources.cells import HEADER_ROW
+from filingpanel.session import staged
+from filingpanel.sources.cells import HEADER_ROW, WHOLE_FILE
 
 PANEL_KEYS = ("entity_type", "quarter")
 
@@ -38,30 +39,51 @@ def check_duplicate_rule(rule: str) -> None:
         raise ValueError(f"unknown rule for several files of a quarter: {rule!r}")
 
 
-def readable(decoded: DataFrame) -> DataFrame:
-    """Decoded rows without the members that turned out unreadable."""
-    broken = decoded.where(F.col("error").isNotNull()).select("path", "member_ordinal").distinct()
-    return decoded.where(F.col("error").isNull()).join(broken, ["path", "member_ordinal"], "left_anti")
+def member_table(dated: DataFrame) -> DataFrame:
+    """One row per member file: its quarter, number of rows, and error if it was unreadable.
 
+    Written once: it decides several joins, and the written table's true size lets the planner
+    broadcast it or not. The values are not read for it.
+    """
+    members = dated.groupBy("path", "member_ordinal", "source_name", "quarter").agg(
+        F.count_if(F.col("row_no") > HEADER_ROW).alias("rows"), F.max("error").alias("error")
+    )
+    return staged(members, "members")
 
-def chosen_files(rows: DataFrame, on_duplicate: str) -> DataFrame:
-    """``(quarter, path)``: one file with rows per quarter, by path order."""
-    pick = F.min if on_duplicate == "first" else F.max
-    return rows.groupBy("quarter").agg(pick("path").alias("path"))
 
+def excluded_members(members: DataFrame, on_duplicate: str) -> DataFrame:
+    """``(path, member_ordinal)`` of members that take no part in the panel.
 
-def headers_of(decoded: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, variable, ordinal, kind)`` of the header rows; a repeated name counts once."""
-    exploded = decoded.where(F.col("row_no") == HEADER_ROW).select(*keys, F.explode("cells").alias("_c"))
-    return exploded.groupBy(*keys, F.col("_c.variable").alias("variable")).agg(
-        F.min("_c.ordinal").alias("ordinal"), F.min("_c.raw").alias("kind")
+    Those are unreadable, empty or undated members, all members of an unreadable file, and files other than the one that stands for
+    its quarter: the first (or last) by path among those with rows. Usually there are few, so
+    leaving them out is an anti-join with a tiny table instead of a semi-join with a large one.
+    """
+    pick = F.min if on_duplicate == "first" else F.max
+    broken = members.where((F.col("member_ordinal") == WHOLE_FILE) & F.col("error").isNotNull())
+    marked = members.join(broken.select("path", F.lit(True).alias("_broken")).distinct(), "path", "left")
+    usable = (
+        F.col("error").isNull() & F.col("_broken").isNull() & (F.col("rows") > 0) & F.col("quarter").isNotNull()
     )
+    chosen = marked.where(usable).groupBy("quarter").agg(pick("path").alias("_chosen"))
+    other_file = ~F.col("path").eqNullSafe(F.col("_chosen"))
+    excluded = marked.join(chosen, "quarter", "left").where(~usable | other_file)
+    return staged(excluded.select("path", "member_ordinal"), "excluded")
+
+
+def without_members(df: DataFrame, excluded: DataFrame) -> DataFrame:
+    return df.join(excluded, ["path", "member_ordinal"], "left_anti")
+
+
+def headers_of(dated: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, variable, ordinal, kind)`` of the header rows."""
+    exploded = dated.where(F.col("row_no") == HEADER_ROW).select(*keys, F.explode("cells").alias("_c"))
+    return exploded.select(*keys, "_c.variable", "_c.ordinal", F.col("_c.raw").alias("kind"))
 
 
-def values_of(rows: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, variable, num, raw)``: one row per value present."""
-    return rows.select(*keys, F.explode("cells").alias("_c")).select(
-        *keys, "_c.variable", "_c.num", "_c.raw"
+def member_errors(members: DataFrame, entity_type: Column) -> DataFrame:
+    """Unreadable members as rows for the status."""
+    return members.where(F.col("error").isNotNull()).select(
+        entity_type.alias("entity_type"), "quarter", F.concat_ws(": ", "source_name", "error").alias("message")
     )
 
 

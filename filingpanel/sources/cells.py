@@ -9,6 +9,10 @@ read.
 
 from __future__ import annotations
 
+import csv
+import struct
+import zipfile
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -17,6 +21,21 @@ import pandas as pd
 import pyarrow as pa
 
 HEADER_ROW = -1
+# Member number of an error that concerns the whole file.
+WHOLE_FILE = -1
+# What undecodable bytes raise. Errors of reading from a file system are not among them: they
+# fail the task, which Spark repeats.
+DECODE_ERRORS = (
+    ValueError,
+    EOFError,
+    LookupError,
+    ArithmeticError,
+    RuntimeError,
+    csv.Error,
+    struct.error,
+    zlib.error,
+    zipfile.BadZipFile,
+)
 CELL_SCHEMA = (
     "path string, source_name string, member_ordinal int, row_no bigint, filer_id bigint, "
     "occurrence int, entity_code int, error string, "
@@ -88,8 +107,9 @@ def header_batch(path: str, source: str, ordinal: int, variables: list[str], num
     )
 
 
-def error_batch(path: str, source: str, ordinal: int, message: str) -> pa.RecordBatch:
-    """A row that marks an unreadable member."""
+def error_batch(path: str, source: str, ordinal: int, problem: Exception | str) -> pa.RecordBatch:
+    """A row that marks an unreadable member, or with ``WHOLE_FILE`` an unreadable file."""
+    message = problem if isinstance(problem, str) else f"{type(problem).__name__}: {problem}"
     return pa.RecordBatch.from_pylist([_keys(path, source, ordinal) | {"error": message}], schema=_ARROW)
 
 

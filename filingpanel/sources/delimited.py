@@ -44,8 +44,8 @@ def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             try:
                 with open_file(path, content.as_py()) as stream:
                     yield from _decode_file(path, name, stream)
-            except (OSError, zipfile.BadZipFile) as problem:
-                yield cells.error_batch(path, name, 0, f"{type(problem).__name__}: {problem}")
+            except cells.DECODE_ERRORS as problem:
+                yield cells.error_batch(path, name, cells.WHOLE_FILE, problem)
 
 
 def _decode_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
@@ -129,5 +129,5 @@ def _decode_member(path: str, source: str, ordinal: int, text: io.TextIOBase) ->
             first_row += len(ids)
     except pd.errors.EmptyDataError:
         return  # a header without rows
-    except (ValueError, csv.Error, OSError, zipfile.BadZipFile) as problem:
-        yield cells.error_batch(path, source, ordinal, f"{type(problem).__name__}: {problem}")
+    except (ValueError, csv.Error) as problem:
+        yield cells.error_batch(path, source, ordinal, problem)

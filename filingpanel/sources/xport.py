@@ -53,8 +53,8 @@ def decode_xport(
                 path, name = path.as_py(), name.as_py()
                 try:
                     yield from _decode_file(path, name, content.as_py(), start, end, blank_is_data)
-                except (ValueError, OSError, zipfile.BadZipFile) as problem:
-                    yield cells.error_batch(path, name, 0, f"{type(problem).__name__}: {problem}")
+                except cells.DECODE_ERRORS as problem:
+                    yield cells.error_batch(path, name, cells.WHOLE_FILE, problem)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from cells.regrouped(decode_files(batches))
@@ -83,7 +83,7 @@ def _decode_file(path, name, content, start, end, blank_is_data) -> Iterator[pa.
         with zipfile.ZipFile(stream) as archive:
             member = next((m for m in archive.namelist() if m.lower().endswith(".xpt")), None)
             if member is None:
-                yield cells.error_batch(path, name, 0, "no transport file in the archive")
+                yield cells.error_batch(path, name, cells.WHOLE_FILE, "no transport file in the archive")
             elif _in_range(member.rsplit("/", 1)[-1], start, end):
                 data = io.BytesIO(archive.read(member))
                 yield from _decode_quarter(path, member, data, blank_is_data)
@@ -98,7 +98,7 @@ def _decode_quarter(path: str, source: str, stream, blank_is_data: bool) -> Iter
         upper = [n.upper() for n in names]
         numeric = [pd.api.types.is_numeric_dtype(chunk.dtypes.iloc[i]) for i in range(len(names))]
         if CODE_COLUMN not in upper:
-            yield cells.error_batch(path, source, 0, f"no {CODE_COLUMN} column")
+            yield cells.error_batch(path, source, cells.WHOLE_FILE, f"no {CODE_COLUMN} column")
             return
         kept = [i for i, n in enumerate(upper) if n != ID_COLUMN]
         if variables is None:

@@ -128,6 +128,20 @@ def test_a_late_error_rejects_the_whole_member(spark, tmp_path, rows):
     assert rows(panel.status, "state") == [("error",), ("processed",)]
 
 
+def test_a_damaged_archive_is_rejected_as_a_whole(spark, tmp_path, rows):
+    import zipfile
+
+    path = tmp_path / "in" / "x_20240331.zip"
+    path.parent.mkdir()
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("a.txt", delimited(["IDRSSD", "A"], [[1, 1]]))
+        archive.writestr("b.txt", delimited(["IDRSSD", "MARK"], [[1, 2]]))
+    path.write_bytes(path.read_bytes().replace(b"MARK\n1\t2", b"MARK\n1\t3"))
+    panel = bulk_panel(spark, str(path.parent))
+    assert panel.facts.count() == 0 and panel.filers.count() == 0
+    assert rows(panel.status, "state", "message")[0][1].startswith("x_20240331.zip: BadZipFile")
+
+
 def test_large_files_are_opened_by_the_task(spark, bulk_folder, rows):
     listed = files.read_files(spark, bulk_folder, "*.zip", inline_bytes=20)
     assert listed.where("content is null").count() == 1 and listed.count() == 2
