@@ -55,8 +55,10 @@ ALWAYS_KEEP_BULK = ("REPORTING_PERIOD", "RSSD_ID", "RSSD9001", "IDRSSD")
 ARCHIVE_FIRST = dt.date(1976, 3, 31)
 ARCHIVE_LAST = dt.date(2021, 6, 30)
 
-# File-name patterns.
-CALL_NAME = r"call?p?(\d{2})(\d{2})"
+# File-name patterns. A historical name holds two digits of the year and two of the
+# month; two-digit years from 76 on belong to the 1900s. A bulk name holds a date of eight digits.
+CALL_NAME = r"call?p?(\d{4})"
+CENTURY_FROM = 76
 EIGHT_DIGITS = r"(\d{8})"
 
 # Texts that the default missing-value rule of delimited readers treats as null.

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from filingpanel.constants import CALL_NAME, EIGHT_DIGITS
+from filingpanel.constants import CALL_NAME, CENTURY_FROM, EIGHT_DIGITS
 
 QUARTER_END = "quarter_end"
 MONTH_START = "month_start"
 
+_OLD_YEAR = f"(?:{CENTURY_FROM // 10}[{CENTURY_FROM % 10}-9]|[{CENTURY_FROM // 10 + 1}-9]\\d)"
+_QUARTER_MONTH = "(?:03|06|09|12)"
+_MONTH = "(?:0[1-9]|1[0-2])"
+_DAY = "(?:0[1-9]|[12]\\d|3[01])"
+_YEAR = "(?:198[5-9]|199\\d|20[0-2]\\d|2030)"
+
 
 def _as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -72,12 +78,12 @@ def period_from_call_name(name: Column | str) -> Column:
     Two-digit years from 76 on belong to the 1900s. Names without the pattern, or with a month
     that ends no quarter, give null.
     """
-    lowered = F.lower(_as_col(name))
-    # try_cast instead of cast: an absent match is the empty string, which ANSI mode refuses.
-    two_digit = F.regexp_extract(lowered, CALL_NAME, 1).try_cast("int")
-    month = F.regexp_extract(lowered, CALL_NAME, 2).try_cast("int")
-    year = two_digit + F.when(two_digit >= 76, 1900).otherwise(2000)
-    return F.when(month.isin(3, 6, 9, 12), F.last_day(F.make_date(year, month, F.lit(1))))
+    # Each step feeds the next once: an expression that names its input several times would
+    # have it evaluated as often.
+    digits = F.regexp_extract(F.lower(_as_col(name)), CALL_NAME, 1)
+    with_century = F.regexp_replace(digits, rf"^({_OLD_YEAR}{_QUARTER_MONTH})$", "19$1")
+    with_century = F.regexp_replace(with_century, rf"^(\d\d{_QUARTER_MONTH})$", "20$1")
+    return F.last_day(F.try_to_date(with_century, "yyyyMM"))
 
 
 def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Column:
@@ -87,17 +93,9 @@ def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Colum
     follows from the month. Names that fit neither order give null.
     """
     digits = F.regexp_extract(_as_col(name), EIGHT_DIGITS, 1)
-
-    def number(start: int, length: int) -> Column:
-        return F.substring(digits, start, length).try_cast("int")
-
-    def start_of_last_month(year: Column, month: Column, day: Column) -> Column:
-        plausible = month.between(1, 12) & day.between(1, 31) & year.between(1985, 2030)
-        return F.when(plausible, F.make_date(year, (F.ceil(month / 3) * 3).cast("int"), F.lit(1)))
-
-    month_first = start_of_last_month(number(5, 4), number(1, 2), number(3, 2))
-    year_first = start_of_last_month(number(1, 4), number(5, 2), number(7, 2))
-    return _styled(F.coalesce(month_first, year_first), style)
+    year_month = F.regexp_replace(digits, f"^({_MONTH}){_DAY}({_YEAR})$", "$2$1")
+    year_month = F.regexp_replace(year_month, f"^({_YEAR}{_MONTH}){_DAY}$", "$1")
+    return reporting_period(F.try_to_date(year_month, "yyyyMM"), style)
 
 
 def call_file_name(period: Column | str, suffix: str = ".zip") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,20 +18,21 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 _TAG = r"<[^>]+>"
 _NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
 
-# Dates as they occur in dictionary exports, most frequent first.
+# Dates as they occur in dictionary exports, most frequent first: the form of the text, and how to
+# read it. Trying a format on a text of another form costs an exception per row.
 DATE_FORMATS = (
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy",
-    "yyyy-MM-dd",
-    "yyyy-MM-dd HH:mm:ss",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyyMMdd",
-    "d-MMM-yyyy",
-    "d MMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d [AP]M", "M/d/yyyy h:mm:ss a"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (r"\d{4}-\d\d-\d\d", "yyyy-MM-dd"),
+    (r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", "yyyy-MM-dd HH:mm:ss"),
+    (r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d", "M/d/yyyy H:mm:ss"),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d", "M/d/yyyy H:mm"),
+    (r"\d{8}", "yyyyMMdd"),
+    (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
+    (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
+    (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
+    (r"[A-Z][a-z]{3,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
 )
 
 
@@ -70,10 +72,14 @@ def parse_filer_id(text: Column) -> Column:
     return parse_number(text).try_cast("bigint")
 
 
-def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """Text in any of ``formats`` as DATE, null where none fits."""
+def parse_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
+    """Text in any of ``formats`` (pattern, format) as DATE, null where none fits."""
     trimmed = F.trim(text)
-    return F.coalesce(*[F.try_to_timestamp(trimmed, F.lit(f)).cast("date") for f in formats])
+    parsed = None
+    for form, date_format in formats:
+        branch = (trimmed.rlike(f"^{form}$"), F.try_to_date(trimmed, date_format))
+        parsed = F.when(*branch) if parsed is None else parsed.when(*branch)
+    return parsed
 
 
 def decode_bytes(content: Column) -> Column:

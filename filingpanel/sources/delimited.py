@@ -58,13 +58,13 @@ def _decode_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBa
         members = [m for m in archive.namelist() if m.endswith((".txt", ".csv"))]
         for ordinal, member in enumerate(members):
             with archive.open(member) as probe:
-                encoding = _encoding_of(probe)
+                encoding = encoding_of(probe)
             with archive.open(member) as data:
                 text = io.TextIOWrapper(data, encoding=encoding, newline="")
                 yield from _decode_member(path, member, ordinal, text)
 
 
-def _encoding_of(stream) -> str:
+def encoding_of(stream) -> str:
     """UTF-8 if every byte of the member fits it, else Latin-1; reads in pieces."""
     decoder = codecs.getincrementaldecoder("utf-8")()
     try:

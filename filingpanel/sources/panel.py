@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ENTITY_CODES, ID_COLUMN, LEAD_COLUMNS, PERIOD_COLUMN
-from filingpanel.functions.names import megabytes, parent_name, stem
+from filingpanel.functions.names import megabytes
 from filingpanel.operators.coverage import filer_counts
 from filingpanel.operators.prune import profile_columns
 from filingpanel.plans.panel import Panel
@@ -23,16 +24,39 @@ def read_panel(spark: SparkSession, folder: str) -> Panel:
     return Panel(*[spark.read.parquet(os.path.join(folder, t)) for t in ("facts", "filers", "catalog", "status")])
 
 
+def processed_quarters(spark: SparkSession, folder: str, entities: Sequence[str]) -> list[str]:
+    """Quarters that the panel's status reports as processed for any of the entity types.
+
+    The driver sees at most one label per calendar quarter.
+    """
+    status = os.path.join(folder, "status")
+    if list_or_none(spark, status) is None:
+        return []
+    done = spark.read.parquet(status).where((F.col("state") == "processed") & F.col("entity_type").isin(*entities))
+    return sorted(r["quarter"] for r in done.select("quarter").distinct().collect())
+
+
+def list_or_none(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The Parquet files below a folder, or None if there is no such folder yet."""
+    try:
+        return list_files(spark, folder, "*.parquet", recursive=True)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def list_wide_files(spark: SparkSession, folder: str, entities: Sequence[str] = tuple(ENTITY_CODES)) -> DataFrame:
-    """``(entity_type, quarter, path, length)`` of wide quarterly files.
+    """``(entity_type, quarter, path, length)`` of wide quarterly datasets, files or folders.
 
-    Files below entity folders are tagged with the folder; if there are none, files directly in
-    the folder are tagged ``All``. The quarter is the file's name without suffix.
+    Datasets below entity folders are tagged with the folder; if there are none, those directly
+    in the folder are tagged ``All``. The quarter is the dataset's name without suffix.
     """
     files = list_files(spark, folder, "*.parquet", recursive=True)
-    tagged = files.select(
-        parent_name(F.col("path")).alias("_parent"), stem(F.col("path")).alias("quarter"), "path", "length"
-    )
+    parts = {"_parent": 2, "quarter": 3, "path": 1}
+    dataset = r"^(.*?([^/]+)/([^/]+)\.parquet)(?:/[^/]*)?$"
+    named = files.select("length", *[F.regexp_extract("path", dataset, i).alias(c) for c, i in parts.items()])
+    tagged = named.groupBy("_parent", "quarter", "path").agg(F.sum("length").alias("length"))
     below = tagged.where(F.col("_parent").isin(*entities)).withColumnRenamed("_parent", "entity_type")
     if not below.isEmpty():
         return below

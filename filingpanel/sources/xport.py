@@ -13,7 +13,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from filingpanel.constants import CALL_NAME, CODE_COLUMN, ID_COLUMN
+from filingpanel.constants import CALL_NAME, CENTURY_FROM, CODE_COLUMN, ID_COLUMN
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.sources import cells
 from filingpanel.sources.files import open_file, read_files
@@ -67,8 +67,8 @@ def _in_range(name: str, start: dt.date | None, end: dt.date | None) -> bool:
     match = re.search(CALL_NAME, name.lower())
     if match is None:
         return False
-    year, month = int(match[1]), int(match[2])
-    month_key = (year + (1900 if year >= 76 else 2000)) * 12 + month
+    year, month = int(match[1][:2]), int(match[1][2:])
+    month_key = (year + (1900 if year >= CENTURY_FROM else 2000)) * 12 + month
     low = start.year * 12 + start.month if start else month_key
     high = end.year * 12 + end.month if end else month_key
     return low <= month_key <= high

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ARCHIVE_FIRST, ARCHIVE_LAST
-from filingpanel.functions import names, periods, text
+from filingpanel.functions import periods, text
 from filingpanel.operators import (
     columns,
     coverage,
@@ -903,7 +903,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = merge.union_sources(
         [t.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).count() for t in read]
     )
-    name = names.stem(F.col("path"))
+    name = F.regexp_extract("path", r"([^/]+)\.parquet(?:/|$)", 1)
     grouped = files.withColumn("folder", F.when(name.isin("customer", "supplier"), name).otherwise("Other"))
     sizes = inventory.size_by(grouped, F.col("folder"), "folder").where(F.col("size_mb") > 0).drop("size_mb")
     return sizes.join(grouped.groupBy("folder").agg(F.sum("count").alias("rows")), "folder")
@@ -961,6 +961,7 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""SELECT {QUARTER_SQL} AS quarter, count(*) AS "rows", round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1""")
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = os.path.join(sf_dir, "*orders.parquet")  # a pattern may match a file as well as a folder
     schema = table(spark, sf_dir, "orders").schema
     out, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-checkpoint")
 
@@ -968,6 +969,6 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         return coverage.tag_quarter(rows, "o_orderdate").select("o_orderkey", "o_totalprice", "quarter")
 
     for _ in range(2):  # The second run finds no new file and must add nothing.
-        append_new_rows(spark, sf_dir, schema, tagged, out, checkpoint, ("quarter",), "orders.parquet").awaitTermination()
+        append_new_rows(spark, source, schema, tagged, out, checkpoint, ("quarter",)).awaitTermination()
     stored = spark.read.parquet(out)
     return stored.groupBy("quarter").agg(F.count("*").alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))

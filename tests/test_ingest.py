@@ -11,7 +11,9 @@ from filingpanel.plans.bulk import bulk_panel, undated_files
 from filingpanel.plans.dictionary import store_dictionary
 from filingpanel.plans.historical import historical_panel
 from filingpanel.plans.panel import wide_panel
+from filingpanel.operators.status import run_statistics
 from filingpanel.plans.report import coverage_report
+from filingpanel.plans.update import export_wide, update_bulk, update_historical
 from filingpanel.sinks.panel import (
     write_dictionary,
     write_new,
@@ -360,6 +362,45 @@ def test_dictionary_export(spark, tmp_path, rows, encoding, text):
     assert [r.Variable for r in csv.collect()] == ["RCFD0001", "RCON0010", "RCON2170"]
 
 
+def test_zipped_dictionary(spark, tmp_path, rows):
+    members = {"a/readme.txt": b"x", "deep/MDRM.CSV": (EXPORT + "RCFD,0001,,,caf\xe9,N,\n").encode("latin-1"), "z.csv": b"no"}
+    (tmp_path / "d.zip").write_bytes(zipped(members))
+    stored = store_dictionary(spark, str(tmp_path / "d.zip"), str(tmp_path / "out"))
+    assert rows(stored) == [
+        ("RCFD0001", "caf\xe9", ""), ("RCON0010", 'A "quoted" & broken name', "FFIEC 031"), ("RCON2170", "Total assets, all", "FFIEC 041")
+    ]
+
+
+def test_updates_skip_what_is_done(spark, historical_folder, bulk_folder, tmp_path, rows):
+    out = str(tmp_path / "panel")
+    first = update_historical(spark, historical_folder, out, end=D(2010, 12, 31))
+    assert rows(first.where("state = 'processed'"), "quarter", "entity_type") == [("2010Q4", e) for e in sorted(ENTITY_CODES)]
+    second = update_historical(spark, historical_folder, out, spark.createDataFrame(KNOWN, FORMS))
+    assert rows(run_statistics(second.where("entity_type is not null")), "entity_type", "processed", "skipped", "records") == [
+        ("FFIEC_002", 1, 1, 2), ("FFIEC_031_041", 0, 1, 0), ("FRB_2886b", 1, 1, 2)
+    ]
+    update_bulk(spark, bulk_folder, out)
+    again = update_bulk(spark, bulk_folder, out)
+    assert rows(again.where("state != 'error'"), "quarter", "state") == [("2010Q4", "skipped"), ("2011Q1", "skipped"), ("2024Q2", "skipped")]
+    counts = rows(read_panel(spark, out).filers.groupBy("entity_type", "quarter").count())
+    assert ("FFIEC_031_041", "2011Q1", 3) in counts and len(counts) == 7
+    forced = update_bulk(spark, bulk_folder, out, force=True)
+    assert forced.where("state = 'processed'").count() == 2
+    assert rows(read_panel(spark, out).filers.groupBy("entity_type", "quarter").count()) == counts
+
+    wide = str(tmp_path / "wide")
+    assert len(export_wide(spark, out, wide, spark.createDataFrame(KNOWN, FORMS))) == 7
+    exported = spark.read.parquet(f"{wide}/FFIEC_002/2011Q1.parquet")
+    assert exported.columns[:2] == ["REPORTING_PERIOD", "RSSD_ID"] and "RCONON" in exported.columns
+    assert column_descriptions(exported)["RCON2170"] == "Total assets"
+    both = summarize_wide_files(spark, wide, check_null_columns=True)
+    assert rows(both, "entity_type", "quarter", "num_banks", "num_variables", "num_null_columns") == [
+        ("FFIEC_002", "2010Q4", 2, 4, 0), ("FFIEC_002", "2011Q1", 2, 5, 1),
+        ("FFIEC_031_041", "2010Q4", 1, 4, 0), ("FFIEC_031_041", "2011Q1", 3, 4, 0), ("FFIEC_031_041", "2024Q2", 2, 1, 0),
+        ("FRB_2886b", "2010Q4", 2, 5, 0), ("FRB_2886b", "2011Q1", 2, 5, 0),
+    ]
+
+
 def test_stored_dictionary_without_forms(spark, tmp_path, rows):
     path = str(tmp_path / "d")
     spark.createDataFrame([("A", "a")], "Variable string, Description string").write.parquet(path)
