@@ -22,6 +22,7 @@ from filingpanel.plans.panel import (
     member_errors,
     member_table,
     quarter_status,
+    with_occurrence,
     without_members,
 )
 from filingpanel.session import staged
@@ -84,7 +85,7 @@ def assemble_bulk(
     members = member_table(dated)
     excluded = excluded_members(members, on_duplicate)
     used = without_members(dated, excluded)
-    rows = used.where(F.col("row_no") > HEADER_ROW)
+    rows = with_occurrence(used.where(F.col("row_no") > HEADER_ROW))
     columns = staged(_merged_columns(used, rows), "columns")
     keys = ("entity_type", "quarter", "period", "filer_id", "occurrence")
     catalog = columns.where("first").select(

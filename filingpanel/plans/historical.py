@@ -20,6 +20,7 @@ from filingpanel.plans.panel import (
     member_errors,
     member_table,
     quarter_status,
+    with_occurrence,
     without_members,
 )
 from filingpanel.session import staged
@@ -57,7 +58,8 @@ def assemble_historical(
     members = member_table(dated)
     used = without_members(dated, excluded_members(members, on_duplicate))
     typed = used.withColumn("entity_type", entity_type_of(F.col("entity_code")))
-    rows = apply_cutoff(typed.where(F.col("entity_type").isNotNull() & (F.col("row_no") > HEADER_ROW)))
+    kept_rows = typed.where(F.col("entity_type").isNotNull() & (F.col("row_no") > HEADER_ROW))
+    rows = with_occurrence(apply_cutoff(kept_rows))
 
     keys = ("entity_type", "quarter", "period", "filer_id", "occurrence")
     facts = rows.select(*keys, F.explode("cells").alias("_c")).select(

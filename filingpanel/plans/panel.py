@@ -74,6 +74,21 @@ def without_members(df: DataFrame, excluded: DataFrame) -> DataFrame:
     return df.join(excluded, ["path", "member_ordinal"], "left_anti")
 
 
+def with_occurrence(rows: DataFrame) -> DataFrame:
+    """Tell rows with the same filer id within a member apart.
+
+    ``occurrence`` is 1 for a filer's first row, so that members align on it, and a larger number
+    for every further one, as it is for rows without an id. Only ids that do repeat are joined
+    back, so one that repeats endlessly is no burden on a single task.
+    """
+    key = ["path", "member_ordinal", "filer_id"]
+    firsts = rows.groupBy(*key).agg(F.min("row_no").alias("_first"), F.count("*").alias("_n"))
+    repeated = staged(firsts.where((F.col("_n") > 1) & F.col("filer_id").isNotNull()).drop("_n"), "repeated")
+    is_first = F.col("filer_id").isNotNull() & (F.coalesce("_first", "row_no") == F.col("row_no"))
+    occurrence = F.when(is_first, F.lit(1).cast("bigint")).otherwise(F.col("row_no") + 2)
+    return rows.join(repeated, key, "left").withColumn("occurrence", occurrence).drop("_first")
+
+
 def headers_of(dated: DataFrame, *keys: str) -> DataFrame:
     """``(*keys, variable, ordinal, kind)`` of the header rows."""
     exploded = dated.where(F.col("row_no") == HEADER_ROW).select(*keys, F.explode("cells").alias("_c"))

@@ -1,6 +1,6 @@
 """The row shape that all archive decoders emit.
 
-One row per filer and member file, with its present values as an array: the path and keys are
+One row per filer row of a member file, with its present values as an array: the path and keys are
 stored once per filer instead of once per value, roster reads prune the array away, and value
 reads explode it inside Spark. A header row (``row_no`` = -1) lists every column of the member,
 so columns without any value stay known. A row with ``error`` marks a member that could not be
@@ -13,7 +13,6 @@ import csv
 import struct
 import zipfile
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,6 +26,7 @@ WHOLE_FILE = -1
 # fail the task, which Spark repeats.
 DECODE_ERRORS = (
     ValueError,
+    TypeError,
     EOFError,
     LookupError,
     ArithmeticError,
@@ -38,7 +38,7 @@ DECODE_ERRORS = (
 )
 CELL_SCHEMA = (
     "path string, source_name string, member_ordinal int, row_no bigint, filer_id bigint, "
-    "occurrence int, entity_code int, error string, "
+    "entity_code int, error string, "
     "cells array<struct<variable:string, ordinal:int, num:double, raw:string>>"
 )
 _CELL = pa.struct(
@@ -51,7 +51,6 @@ _ARROW = pa.schema(
         ("member_ordinal", pa.int32()),
         ("row_no", pa.int64()),
         ("filer_id", pa.int64()),
-        ("occurrence", pa.int32()),
         ("entity_code", pa.int32()),
         ("error", pa.string()),
         ("cells", pa.list_(_CELL)),
@@ -59,25 +58,6 @@ _ARROW = pa.schema(
 )
 
 
-def rows_per_chunk(columns: int) -> int:
-    """Rows decoded at a time, so that a chunk has about half a million values at most."""
-    return max(200, 500_000 // max(columns, 1))
-
-
-class Occurrences:
-    """Numbers repeated filer ids within a member 1, 2, ... across chunks."""
-
-    def __init__(self) -> None:
-        self._seen: Counter = Counter()
-
-    def number(self, ids: pd.Series) -> np.ndarray:
-        numbers = np.empty(len(ids), dtype="int32")
-        for position, key in enumerate(ids.fillna(-1).tolist()):
-            self._seen[key] += 1
-            numbers[position] = self._seen[key]
-        return numbers
-
-
 def regrouped(batches: Iterable[pa.RecordBatch], cells: int = 200_000) -> Iterator[pa.RecordBatch]:
     """The same rows in fewer batches: many small members would otherwise travel one by one."""
     waiting: list[pa.RecordBatch] = []
@@ -109,8 +89,13 @@ def header_batch(path: str, source: str, ordinal: int, variables: list[str], num
 
 def error_batch(path: str, source: str, ordinal: int, problem: Exception | str) -> pa.RecordBatch:
     """A row that marks an unreadable member, or with ``WHOLE_FILE`` an unreadable file."""
-    message = problem if isinstance(problem, str) else f"{type(problem).__name__}: {problem}"
-    return pa.RecordBatch.from_pylist([_keys(path, source, ordinal) | {"error": message}], schema=_ARROW)
+    return pa.RecordBatch.from_pylist(
+        [_keys(path, source, ordinal) | {"error": error_text(problem)}], schema=_ARROW
+    )
+
+
+def error_text(problem: Exception | str) -> str:
+    return problem if isinstance(problem, str) else f"{type(problem).__name__}: {problem}"
 
 
 def _keys(path: str, source: str, ordinal: int) -> dict:
@@ -123,7 +108,6 @@ def value_batch(
     ordinal: int,
     first_row: int,
     ids: pd.Series,
-    occurrence: np.ndarray,
     codes: pd.Series | None,
     variables: list[str],
     numbers: np.ndarray,
@@ -165,7 +149,6 @@ def value_batch(
             same(ordinal, pa.int32()),
             pa.array(np.arange(first_row, first_row + rows), pa.int64()),
             whole(ids, pa.int64()),
-            pa.array(occurrence, pa.int32()),
             whole(codes, pa.int32()),
             pa.nulls(rows, pa.string()),
             pa.ListArray.from_arrays(pa.array(offsets), cells),

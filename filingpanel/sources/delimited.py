@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from filingpanel.operators.columns import find_filer_column
-from filingpanel.sources import cells
+from filingpanel.sources import cells, slices
 from filingpanel.sources.files import open_file, read_files
 from filingpanel.sources.headers import unique_names
 
 PATTERN = "*.{txt,csv,zip}"
 _SURPLUS = "\x00surplus"
+LOOSE = "utf-8, ignoring other bytes"
 
 
 def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN) -> DataFrame:
@@ -30,29 +31,31 @@ def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN
 
 def decode_delimited(files: DataFrame) -> DataFrame:
     """Decode files given as ``(path, file_name, content)``; one header, then rows, per member."""
-    return files.select("path", "file_name", "content").mapInArrow(_decode, cells.CELL_SCHEMA)
+    cut = files.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
+    return slices.spread(cut).mapInArrow(_parse, cells.CELL_SCHEMA)
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from cells.regrouped(_decode_files(batches))
-
-
-def _decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, name, content in zip(*(batch.column(i) for i in range(3))):
             path, name = path.as_py(), name.as_py()
             try:
                 with open_file(path, content.as_py()) as stream:
-                    yield from _decode_file(path, name, stream)
+                    yield from _cut_file(path, name, stream)
             except cells.DECODE_ERRORS as problem:
-                yield cells.error_batch(path, name, cells.WHOLE_FILE, problem)
+                yield _failed(path, name, cells.WHOLE_FILE, problem)
+
+
+def _failed(path: str, source: str, ordinal: int, problem: Exception | str) -> pa.RecordBatch:
+    return slices.slice_batch(
+        path=path, source_name=source, member_ordinal=ordinal, error=cells.error_text(problem)
+    )
 
 
-def _decode_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
+def _cut_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
     if not name.lower().endswith(".zip"):
         # A loose file is always read as UTF-8, without the bytes that are not.
-        text = io.TextIOWrapper(stream, encoding="utf-8", errors="ignore", newline="")
-        yield from _decode_member(path, name, 0, text)
+        yield from _cut_member(path, name, 0, stream, LOOSE)
         return
     with zipfile.ZipFile(stream) as archive:
         members = [m for m in archive.namelist() if m.endswith((".txt", ".csv"))]
@@ -60,74 +63,96 @@ def _decode_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBa
             with archive.open(member) as probe:
                 encoding = encoding_of(probe)
             with archive.open(member) as data:
-                text = io.TextIOWrapper(data, encoding=encoding, newline="")
-                yield from _decode_member(path, member, ordinal, text)
+                yield from _cut_member(path, member, ordinal, data, encoding)
 
 
 def encoding_of(stream) -> str:
     """UTF-8 if every byte of the member fits it, else Latin-1; reads in pieces."""
     decoder = codecs.getincrementaldecoder("utf-8")()
+    valid = True
+    # Reads to the end in any case: only then is the archive's checksum compared.
+    while piece := stream.read(1 << 20):
+        try:
+            if valid:
+                decoder.decode(piece)
+        except UnicodeDecodeError:
+            valid = False
     try:
-        while piece := stream.read(1 << 20):
-            decoder.decode(piece)
         decoder.decode(b"", final=True)
     except UnicodeDecodeError:
-        return "latin-1"
-    return "utf-8"
+        valid = False
+    return "utf-8" if valid else "latin-1"
+
+
+def _cut_member(path: str, source: str, ordinal: int, data: BinaryIO, encoding: str) -> Iterator[pa.RecordBatch]:
+    head = None
+    for number, piece in enumerate(slices.text_slices(data)):
+        if head is None:
+            end = slices.header_end(piece)
+            head, piece = piece[:end], piece[end:]
+        yield slices.slice_batch(
+            path=path,
+            source_name=source,
+            member_ordinal=ordinal,
+            slice_no=number,
+            first_row=number * slices.ROWS_PER_SLICE,
+            encoding=encoding,
+            head=head,
+            body=piece,
+        )
+    if head is None:
+        yield _failed(path, source, ordinal, "empty")
 
 
-def _header_of(text: io.TextIOBase) -> list[str]:
-    """The column names; leaves the stream at the first row."""
-    for fields in csv.reader(text, delimiter="\t"):
-        if any(field.strip() for field in fields):
-            fields[0] = fields[0].removeprefix("\ufeff")
-            return unique_names(fields)
-    return []
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from cells.regrouped(
+        decoded for batch in batches for piece in batch.to_pylist() for decoded in _parse_slice(piece)
+    )
 
 
-def _decode_member(path: str, source: str, ordinal: int, text: io.TextIOBase) -> Iterator[pa.RecordBatch]:
-    """Rows with a usable filer id, in chunks. A later error rejects the member's earlier rows too."""
+def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
+    """Rows with a usable filer id. An error in any slice rejects the member as a whole later on."""
+    member = (piece["path"], piece["source_name"], piece["member_ordinal"])
+    if piece["error"] is not None:
+        yield cells.error_batch(*member, piece["error"])
+        return
+    encoding, errors = ("utf-8", "ignore") if piece["encoding"] == LOOSE else (piece["encoding"], "strict")
     try:
-        names = _header_of(text)
+        names = _names(piece["head"].decode(encoding, errors))
         id_column = find_filer_column(names, mode="first")
         if id_column is None:
-            yield cells.error_batch(path, source, ordinal, "no filer id column")
+            yield cells.error_batch(*member, "no filer id column")
             return
         variables = [n.upper() for n in names if n != id_column]
-        yield cells.header_batch(path, source, ordinal, variables, [None] * len(variables))
-        # One column more than the header has: the parser's own check of row widths starts anew
-        # with every chunk. Trailing empty fields are no surplus.
-        chunks = pd.read_csv(
-            text,
+        if piece["slice_no"] == 0:
+            yield cells.header_batch(*member, variables, [None] * len(variables))
+        # One column more than the header has: the parser takes the first row of what it is given
+        # for regular, however long. Trailing empty fields are no surplus.
+        rows = pd.read_csv(
+            io.BytesIO(piece["body"]),
             sep="\t",
             dtype=str,
             header=None,
             names=[*names, _SURPLUS],
             index_col=False,
-            chunksize=cells.rows_per_chunk(len(names)),
+            encoding=encoding,
+            encoding_errors=errors,
         )
-        first_row, occurrences = 0, cells.Occurrences()
-        for chunk in chunks:
-            if chunk[_SURPLUS].notna().any():
-                raise ValueError(f"a row has more than {len(names)} fields")
-            ids = pd.to_numeric(chunk[id_column], errors="coerce").replace([np.inf, -np.inf], np.nan)
-            valid = ids.notna()
-            ids = np.trunc(ids[valid])
-            texts = chunk.loc[valid].drop(columns=[id_column, _SURPLUS]).to_numpy(dtype=object)
-            yield cells.value_batch(
-                path,
-                source,
-                ordinal,
-                first_row,
-                ids,
-                occurrences.number(ids),
-                None,
-                variables,
-                np.full(texts.shape, np.nan),
-                texts,
-            )
-            first_row += len(ids)
+        if rows[_SURPLUS].notna().any():
+            raise ValueError(f"a row has more than {len(names)} fields")
+        ids = pd.to_numeric(rows[id_column], errors="coerce").replace([np.inf, -np.inf], np.nan)
+        valid = ids.notna()
+        ids = np.trunc(ids[valid])
+        texts = rows.loc[valid].drop(columns=[id_column, _SURPLUS]).to_numpy(dtype=object)
+        numbers = np.full(texts.shape, np.nan)
+        yield cells.value_batch(*member, piece["first_row"], ids, None, variables, numbers, texts)
     except pd.errors.EmptyDataError:
-        return  # a header without rows
+        return  # no rows
     except (ValueError, csv.Error) as problem:
-        yield cells.error_batch(path, source, ordinal, problem)
+        yield cells.error_batch(*member, problem)
+
+
+def _names(head: str) -> list[str]:
+    """The column names of a header row, after any blank lines."""
+    rows = csv.reader(io.StringIO(head.removeprefix("\ufeff"), newline=""), delimiter="\t")
+    return unique_names(next((fields for fields in rows if any(f.strip() for f in fields)), []))

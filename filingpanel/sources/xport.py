@@ -7,6 +7,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingpanel.constants import CALL_NAME, CENTURY_FROM, CODE_COLUMN, ID_COLUMN
 from filingpanel.operators.columns import find_filer_column
-from filingpanel.sources import cells
+from filingpanel.sources import cells, slices
 from filingpanel.sources.files import open_file, read_files
 
 PATTERN = "*.{xpt,zip}"
@@ -47,19 +48,30 @@ def decode_xport(
 ) -> DataFrame:
     """Decode files given as ``(path, file_name, content)``; one quarter file per row."""
 
-    def decode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, name, content in zip(*(batch.column(i) for i in range(3))):
                 path, name = path.as_py(), name.as_py()
                 try:
-                    yield from _decode_file(path, name, content.as_py(), start, end, blank_is_data)
+                    yield from _cut_file(path, name, content.as_py(), start, end)
                 except cells.DECODE_ERRORS as problem:
-                    yield cells.error_batch(path, name, cells.WHOLE_FILE, problem)
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from cells.regrouped(decode_files(batches))
+                    yield slices.slice_batch(
+                        path=path,
+                        source_name=name,
+                        member_ordinal=cells.WHOLE_FILE,
+                        error=cells.error_text(problem),
+                    )
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cells.regrouped(
+            decoded
+            for batch in batches
+            for piece in batch.to_pylist()
+            for decoded in _parse_slice(piece, blank_is_data)
+        )
 
-    return files.select("path", "file_name", "content").mapInArrow(decode, cells.CELL_SCHEMA)
+    pieces = files.select("path", "file_name", "content").mapInArrow(cut, slices.SLICE_SCHEMA)
+    return slices.spread(pieces).mapInArrow(parse, cells.CELL_SCHEMA)
 
 
 def _in_range(name: str, start: dt.date | None, end: dt.date | None) -> bool:
@@ -74,57 +86,101 @@ def _in_range(name: str, start: dt.date | None, end: dt.date | None) -> bool:
     return low <= month_key <= high
 
 
-def _decode_file(path, name, content, start, end, blank_is_data) -> Iterator[pa.RecordBatch]:
+def _cut_file(path, name, content, start, end) -> Iterator[pa.RecordBatch]:
     with open_file(path, content) as stream:
         if not name.lower().endswith(".zip"):
             if _in_range(name, start, end):
-                yield from _decode_quarter(path, name, stream, blank_is_data)
+                yield from _cut_quarter(path, name, stream)
             return
         with zipfile.ZipFile(stream) as archive:
             member = next((m for m in archive.namelist() if m.lower().endswith(".xpt")), None)
             if member is None:
-                yield cells.error_batch(path, name, cells.WHOLE_FILE, "no transport file in the archive")
-            elif _in_range(member.rsplit("/", 1)[-1], start, end):
-                data = io.BytesIO(archive.read(member))
-                yield from _decode_quarter(path, member, data, blank_is_data)
-
-
-def _decode_quarter(path: str, source: str, stream, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
-    source = source.rsplit("/", 1)[-1]
-    first_row, occurrences, variables = 0, cells.Occurrences(), None
-    for chunk in pd.read_sas(stream, format="xport", chunksize=cells.rows_per_chunk(1_000)):
-        names = [c.decode("latin-1") if isinstance(c, bytes) else str(c) for c in chunk.columns]
-        chunk.columns = names
-        upper = [n.upper() for n in names]
-        numeric = [pd.api.types.is_numeric_dtype(chunk.dtypes.iloc[i]) for i in range(len(names))]
-        if CODE_COLUMN not in upper:
-            yield cells.error_batch(path, source, cells.WHOLE_FILE, f"no {CODE_COLUMN} column")
-            return
-        kept = [i for i, n in enumerate(upper) if n != ID_COLUMN]
-        if variables is None:
-            variables = [upper[i] for i in kept]
-            yield cells.header_batch(path, source, 0, variables, [numeric[i] for i in kept])
-        numbers = np.full((len(chunk), len(kept)), np.nan)
-        texts = np.full((len(chunk), len(kept)), None, dtype=object)
-        for position, i in enumerate(kept):
-            column = chunk.iloc[:, i]
-            if numeric[i]:
-                values = column.to_numpy(dtype=float)
-                numbers[:, position] = np.where(np.abs(values) < _ZERO_BELOW, 0.0, values)
-            else:
-                decoded = column.map(_text, na_action="ignore")
-                texts[:, position] = decoded if blank_is_data else decoded.where(decoded != "", None)
-        id_column = find_filer_column(names)
-        ids = pd.Series(np.nan, index=chunk.index)
-        if id_column is not None:
-            ids = np.trunc(pd.to_numeric(chunk[id_column], errors="coerce"))
-        code = chunk.iloc[:, upper.index(CODE_COLUMN)]
-        codes = pd.to_numeric(code, errors="coerce")
-        codes = codes.where(codes == np.trunc(codes))
-        yield cells.value_batch(
-            path, source, 0, first_row, ids, occurrences.number(ids), codes, variables, numbers, texts
+                raise ValueError("no transport file in the archive")
+            source = member.rsplit("/", 1)[-1]
+            if _in_range(source, start, end):
+                yield from _cut_quarter(path, source, io.BytesIO(archive.read(member)))
+
+
+def _cut_quarter(path: str, source: str, stream: BinaryIO) -> Iterator[pa.RecordBatch]:
+    """Rows have a fixed length, so every piece is the file's header with some of its rows."""
+    layout = pd.read_sas(stream, format="xport", iterator=True)
+    begin, length = layout.record_start, layout.record_length
+    stream.seek(0)
+    head = stream.read(begin)
+    rows = _row_count(stream, begin, length)
+    per_slice = max(1, slices.SLICE_BYTES // max(length, 1))
+    for number, first in enumerate(range(0, max(rows, 1), per_slice)):
+        count = min(per_slice, rows - first)
+        stream.seek(begin + first * length)
+        yield slices.slice_batch(
+            path=path,
+            source_name=source,
+            member_ordinal=0,
+            slice_no=number,
+            first_row=first,
+            rows=count,
+            head=head,
+            body=stream.read(count * length),
         )
-        first_row += len(chunk)
+
+
+def _row_count(stream: BinaryIO, begin: int, length: int) -> int:
+    """Rows between the header and the blank padding, which can look like rows if they are short."""
+    size = stream.seek(0, io.SEEK_END)
+    rows = (size - begin) // length if length else 0
+    while rows:
+        stream.seek(begin + (rows - 1) * length)
+        if begin + (rows - 1) * length < size - 79 or stream.read(length).strip(b" "):
+            break
+        rows -= 1
+    return rows
+
+
+def _parse_slice(piece: dict, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
+    member = (piece["path"], piece["source_name"], piece["member_ordinal"])
+    if piece["error"] is not None:
+        yield cells.error_batch(*member, piece["error"])
+        return
+    try:
+        yield from _decode_slice(piece, member, blank_is_data)
+    except cells.DECODE_ERRORS as problem:
+        yield cells.error_batch(*member, problem)
+
+
+def _decode_slice(piece: dict, member: tuple, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
+    padding = b" " * (-len(piece["body"]) % 80)
+    reader = pd.read_sas(io.BytesIO(piece["head"] + piece["body"] + padding), format="xport", iterator=True)
+    names = list(reader.columns)
+    upper = [n.upper() for n in names]
+    if CODE_COLUMN not in upper:
+        yield cells.error_batch(*member, f"no {CODE_COLUMN} column")
+        return
+    numeric = [field["ntype"] == "numeric" for field in reader.fields]
+    kept = [i for i, n in enumerate(upper) if n != ID_COLUMN]
+    variables = [upper[i] for i in kept]
+    if piece["slice_no"] == 0:
+        yield cells.header_batch(*member, variables, [numeric[i] for i in kept])
+    if not piece["rows"]:
+        return
+    reader.nobs = piece["rows"]  # known exactly; the reader estimates it from the padding
+    rows = reader.read()
+    numbers = np.full((len(rows), len(kept)), np.nan)
+    texts = np.full((len(rows), len(kept)), None, dtype=object)
+    for position, i in enumerate(kept):
+        column = rows.iloc[:, i]
+        if numeric[i]:
+            values = column.to_numpy(dtype=float)
+            numbers[:, position] = np.where(np.abs(values) < _ZERO_BELOW, 0.0, values)
+        else:
+            decoded = column.map(_text, na_action="ignore")
+            texts[:, position] = decoded if blank_is_data else decoded.where(decoded != "", None)
+    id_column = find_filer_column(names)
+    ids = pd.Series(np.nan, index=rows.index)
+    if id_column is not None:
+        ids = np.trunc(pd.to_numeric(rows[id_column], errors="coerce"))
+    codes = pd.to_numeric(rows.iloc[:, upper.index(CODE_COLUMN)], errors="coerce")
+    codes = codes.where(codes == np.trunc(codes))
+    yield cells.value_batch(*member, piece["first_row"], ids, codes, variables, numbers, texts)
 
 
 def _text(value) -> str:
