@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -34,28 +34,45 @@ def to_long(df: DataFrame, ids: Sequence[str], variables: Sequence[str]) -> Data
     return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 
 
-def pivot_values(facts: DataFrame, keys: Sequence[str], dtypes: dict[str, str]) -> DataFrame:
+# Stands for a null filer id while rows are grouped and joined on it.
+_NO_ID = 1 - 2**63
+
+
+def pivot_values(facts: DataFrame, keys: Sequence[str], dtypes: Mapping[str, str]) -> DataFrame:
     """One row per key with a column per variable of ``dtypes`` (``double`` or ``string``).
 
     Explicit variables spare the job that would look them up. Rows are brought together by key
-    up front: a key's values are unique, so combining them map-side would not shrink anything,
-    and the pivot then needs no further shuffle. A key holds at most one value per variable.
+    up front: a key holds at most one value per variable, so combining map-side would not shrink
+    anything, and the pivot then needs no further shuffle.
+
+    Numbers are pivoted by position, at a cost per value that does not depend on the number of
+    variables. Spark can do so for fixed-width types only; texts, which are few, take one
+    condition per variable, and the two halves meet without another shuffle.
     """
-    variables = list(dtypes)
-    together = facts.repartition(*keys)
-    pivoted = (
-        together.groupBy(*keys)
-        .pivot("variable", variables)
-        .agg(F.first("num_value", ignorenulls=True).alias("n"), F.first("str_value", ignorenulls=True).alias("s"))
-    )
-    suffix = {"double": "n", "string": "s"}
-    return pivoted.select(
-        *keys, *[F.col(f"`{v}_{suffix[dtypes[v]]}`").alias(v) for v in variables]
-    )
+    numbers = [v for v, kind in dtypes.items() if kind != "string"]
+    texts = [v for v, kind in dtypes.items() if kind == "string"]
+    nullable = [k for k in keys if facts.schema[k].dataType.typeName() == "long"]
+    filled = facts.withColumns({k: F.coalesce(k, F.lit(_NO_ID)) for k in nullable})
+
+    def together(rows: DataFrame) -> GroupedData:
+        return rows.repartition(*keys).groupBy(*keys)
+
+    # Every key stays on this side, whether it has numbers or not; variables not listed are ignored.
+    wide = together(filled.select(*keys, "variable", "num_value"))
+    wide = wide.pivot("variable", numbers or [""]).agg(F.first("num_value", ignorenulls=True))
+    if texts:
+        picked = [
+            F.first(F.when(F.col("variable") == v, F.col("str_value")), ignorenulls=True).alias(v) for v in texts
+        ]
+        strings = filled.where(F.col("variable").isin(*texts)).select(*keys, "variable", "str_value")
+        wide = wide.join(together(strings).agg(*picked), list(keys), "left")
+    # As SQL text: one call for hundreds of columns instead of one each.
+    restored = [f"if({k} = {_NO_ID}L, null, {k}) AS {k}" if k in nullable else k for k in keys]
+    return wide.selectExpr(*restored, *[_quoted(v) for v in dtypes])
 
 
 def to_wide(
-    facts: DataFrame, filers: DataFrame, dtypes: dict[str, str], keys: Sequence[str] = ROW_KEYS
+    facts: DataFrame, filers: DataFrame, dtypes: Mapping[str, str], keys: Sequence[str] = ROW_KEYS
 ) -> DataFrame:
     """The wide panel: every filer of the roster, also those without any value.
 
@@ -78,4 +95,8 @@ def with_lead_columns(wide: DataFrame, order: Sequence[str] = (PERIOD_COLUMN, ID
     others = [c for c in named.columns if c not in (*order, "entity_type", "quarter", "occurrence")]
     if rest == "sorted":
         others = sorted(others)
-    return named.select(*order, *[F.col(f"`{c}`") for c in others])
+    return named.selectExpr(*order, *[_quoted(c) for c in others])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

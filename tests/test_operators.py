@@ -305,11 +305,24 @@ def test_long_wide_round_trip(spark, rows):
     assert rows(back) == sorted(data, key=repr)
 
 
-def test_wide_form_needs_one_shuffle(spark):
-    facts = spark.createDataFrame([(1, "a", 1.0, None)], "filer_id int, variable string, num_value double, str_value string")
-    wide = reshape.to_wide(facts, facts.select("filer_id"), {"a": "double"}, ["filer_id"])
-    plan = wide._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+def test_wide_form_shuffles_every_value_once(spark):
+    facts = spark.createDataFrame(
+        [(1, "a", 1.0, None), (2, "t", None, "x"), (None, "a", 3.0, None)],
+        "filer_id bigint, variable string, num_value double, str_value string",
+    )
+
+    def plan(dtypes):
+        wide = reshape.to_wide(facts, facts.select("filer_id"), dtypes, ["filer_id"])
+        return wide, wide._jdf.queryExecution().executedPlan().toString()
+
+    many = {f"v{i}": "double" for i in range(300)}
+    _, numeric = plan({"a": "double", **many})
+    assert numeric.count("Exchange hashpartitioning") == 1 and "pivotfirst" in numeric, numeric
+    wide, mixed = plan({"a": "double", "t": "string"})
+    assert mixed.count("Exchange hashpartitioning") == 2 and "pivotfirst" in mixed, mixed
+    assert sorted(map(tuple, wide.collect()), key=repr) == sorted([(1, 1.0, None), (2, None, "x"), (None, 3.0, None)], key=repr)
+    only_text, _ = plan({"t": "string"})
+    assert sorted(map(tuple, only_text.collect()), key=repr) == sorted([(1, None), (2, "x"), (None, None)], key=repr)
 
 
 # --- coverage ---
