@@ -31,9 +31,9 @@ from filingpanel.operators import (
     reshape,
     status,
 )
-from filingpanel.session import shared_folder
+from filingpanel.session import shared_folder, staged
 from filingpanel.sinks.panel import write_partitioned
-from filingpanel.sources.delimited import decode_delimited
+from filingpanel.sources.delimited import read_delimited
 from filingpanel.streaming.incremental import append_new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -909,28 +909,26 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.join(grouped.groupBy("folder").agg(F.sum("count").alias("rows")), "folder")
 
 
-@registered("""SELECT s_suppkey AS filer_id, 'RCON_BALANCE' AS variable, s_acctbal AS num_value, NULL AS raw FROM supplier
-    UNION ALL SELECT s_suppkey, 'RCON_NATION', s_nationkey::DOUBLE, NULL FROM supplier
-    UNION ALL SELECT s_suppkey, 'RCFD NAME', NULL, s_name || chr(9) || '"x"' FROM supplier""")
+@registered("""SELECT o_orderkey AS filer_id, 'RCON_PRICE' AS variable, o_totalprice AS num_value, NULL AS str_value FROM orders
+    UNION ALL SELECT o_orderkey, 'RCON_FILER', o_custkey::DOUBLE, NULL FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT o_orderkey, 'RCFD_NOTE', NULL, '"' || o_orderpriority || '"' || chr(9) || chr(10) || o_orderstatus FROM orders""")
 def delimited_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.format_string(
-        'rcon_nation\tIDRSSD\trcon_balance\tempty\t"rcfd name"\n%s\t%s\t%s\tNA\t"%s\t""x"""\nnote\tabout ids\tx\tx\tx\n',
-        F.col("s_nationkey").cast("string"),
-        F.col("s_suppkey").cast("string"),
-        F.col("s_acctbal").cast("string"),
-        F.col("s_name"),
-    )
-    files = table(spark, sf_dir, "supplier").select(
-        F.col("s_name").alias("path"), F.lit("Call_20010630.txt").alias("file_name"), line.cast("binary").alias("content")
-    )
-    cells = decode_delimited(files).where(F.col("row_no") >= 0).select("filer_id", F.explode("cells").alias("c"))
-    number = text.parse_number(F.col("c.raw"))
-    return cells.select(
-        "filer_id",
-        "c.variable",
-        number.alias("num_value"),
-        F.when(number.isNull(), F.col("c.raw")).alias("raw"),
-    )
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit('"\t\n'), "o_orderstatus")
+    schedule = table(spark, sf_dir, "orders").select(
+        F.col("o_totalprice").alias("rcon_price"),
+        F.col("o_orderkey").alias("IDRSSD"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).otherwise("N/A").alias("rcon_filer"),
+        note.alias("rcfd_note"),
+    )
+    folder = shared_folder(spark, "schedules")
+    writer = schedule.write.option("sep", "\t").option("header", True).option("escape", '"')
+    writer.option("maxRecordsPerFile", 10_000).csv(folder)
+    # Written once: the verdicts and the values both start from the decoded rows.
+    rows = staged(read_delimited(spark, folder, pattern="*.csv"), "decoded").where(F.col("row_no") >= 0)
+    cells = rows.select("path", "filer_id", F.explode("cells").alias("c")).select("path", "filer_id", "c.variable", "c.raw")
+    verdicts = inference.numeric_verdicts(cells, ["path", "variable"])
+    typed = inference.typed_values(cells, verdicts, ["path", "variable"])
+    return typed.select("filer_id", "variable", "num_value", "str_value")
 
 
 @registered("SELECT doc_id, text FROM documents")
