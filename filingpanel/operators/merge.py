@@ -9,27 +9,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def merge_schedules(members: Sequence[DataFrame], key: str, coalesce: bool = False) -> DataFrame:
+def merge_schedules(
+    members: Sequence[DataFrame], key: str, coalesce: bool = False, hot_keys: bool = False
+) -> DataFrame:
     """Full outer merge of wide members; of a column in several members the first member's wins.
 
     First wins per column, not per value: a filer that only a later member has gets NULL there.
     ``coalesce=True`` fills those from the later members instead. Repeated keys multiply rows.
     Every further member costs two shuffles; see ``merge_unique_schedules`` for many members.
+
+    A key repeated so often that its rows are too many for one task needs ``hot_keys=True``: the
+    full join, which cannot be split, is then put together from joins that can.
     """
+    join = _splittable_full_join if hot_keys else _full_join
 
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
         shared = [c for c in right.columns if c in left.columns and c != key]
         if not coalesce:
             # Dropped before the join, so the losing columns are never read or shuffled.
-            return left.join(right.drop(*shared), key, "full")
+            return join(left, right.drop(*shared), key)
         renamed = right.withColumnsRenamed({c: f"_later_{i}" for i, c in enumerate(shared)})
-        joined = left.join(renamed, key, "full")
         filled = {c: F.coalesce(F.col(f"`{c}`"), F.col(f"_later_{i}")) for i, c in enumerate(shared)}
-        return joined.withColumns(filled).drop(*[f"_later_{i}" for i in range(len(shared))])
+        return join(left, renamed, key).withColumns(filled).drop(*[f"_later_{i}" for i in range(len(shared))])
 
     return reduce(step, members)
 
 
+def _full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    return left.join(right, key, "full")
+
+
+def _splittable_full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Matches and the rest of either side apart: adaptive execution can split each of these."""
+    both = left.join(right, key)
+    only_left = left.join(right.select(key), key, "left_anti")
+    only_right = right.join(left.select(key), key, "left_anti")
+    return union_sources([both, only_left, only_right])
+
+
 def merge_unique_schedules(members: Sequence[DataFrame], key: str) -> DataFrame:
     """As ``merge_schedules`` for members in which every key occurs once: one shuffle for any number.
 

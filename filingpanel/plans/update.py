@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import CUTOFF_ENTITY, ENTITY_CODES, ID_COLUMN, LEAD_COLUMNS, PERIOD_COLUMN
+from filingpanel.functions.periods import QUARTER_END
 from filingpanel.operators.merge import union_sources
 from filingpanel.plans.bulk import bulk_panel
 from filingpanel.plans.historical import historical_panel
@@ -34,9 +35,8 @@ def update_historical(
     """
     others = [e for e in ENTITY_CODES if e != CUTOFF_ENTITY]
     skip = [] if force else processed_quarters(spark, folder, others)
-    panel = historical_panel(
-        spark, paths, dictionary, start, end, skip, on_duplicate="last" if force else "first"
-    )
+    rule = "last" if force else "first"
+    panel = historical_panel(spark, paths, dictionary, start, end, skip, rule)
     return _write(spark, panel, folder, skip, tuple(ENTITY_CODES))
 
 
@@ -48,12 +48,12 @@ def update_bulk(
     start: dt.date | None = None,
     end: dt.date | None = None,
     force: bool = False,
+    period_style: str = QUARTER_END,
 ) -> DataFrame:
     """Add the bulk quarters of commercial banks that the panel in ``folder`` lacks."""
     skip = [] if force else processed_quarters(spark, folder, [CUTOFF_ENTITY])
-    panel = bulk_panel(
-        spark, paths, dictionary, start, end, skip, on_duplicate="last" if force else "first"
-    )
+    rule = "last" if force else "first"
+    panel = bulk_panel(spark, paths, dictionary, start, end, skip, period_style, rule)
     return _write(spark, panel, folder, skip, (CUTOFF_ENTITY,))
 
 
@@ -73,26 +73,21 @@ def _write(
 
 
 def export_wide(
-    spark: SparkSession,
-    folder: str,
-    out: str,
-    dictionary: DataFrame | None = None,
-    order: Sequence[str] = LEAD_COLUMNS,
-    rest: str = "original",
+    spark: SparkSession, folder: str, out: str, dictionary: DataFrame | None = None
 ) -> list[str]:
     """Write every entity type's quarters as wide datasets ``out/<entity type>/<quarter>.parquet``.
 
-    Each has its own columns, pruned and described. Reads only the quarter's partitions of the
-    panel in ``folder``; the driver sees the list of quarters and column names.
+    Each has its own columns, pruned and described, in the order its kind of archive is published
+    in: period, id and the file's own order for historical quarters, id, period and sorted names
+    for bulk quarters (whose rows have no entity code). Reads only the quarter's partitions of
+    the panel in ``folder``; the driver sees the list of quarters and column names.
     """
     panel = read_panel(spark, folder)
-    datasets = panel.filers.select(*PANEL_KEYS).distinct().orderBy(*PANEL_KEYS).collect()
+    datasets = panel.filers.groupBy(*PANEL_KEYS).agg(F.max("entity_code").isNull().alias("bulk"))
     written = []
-    for entity_type, quarter in datasets:
+    for entity_type, quarter, bulk in datasets.orderBy(*PANEL_KEYS).collect():
         target = os.path.join(out, entity_type, f"{quarter}.parquet")
+        order, rest = ((ID_COLUMN, PERIOD_COLUMN), "sorted") if bulk else (LEAD_COLUMNS, "original")
         write_wide(wide_panel(panel, entity_type, quarter, dictionary, order, rest), target)
         written.append(target)
     return written
-
-
-BULK_ORDER = (ID_COLUMN, PERIOD_COLUMN)

@@ -209,6 +209,56 @@ def test_repeated_ids_and_chunks_keep_every_row(spark, tmp_path, rows):
     assert wide_panel(panel, "FFIEC_031_041").count() == 3200
 
 
+def model_of(members: list[bytes]):
+    """The merged wide table of an archive, with an ordinary data frame library."""
+    import io
+
+    import pandas as pd
+
+    merged = None
+    for content in members:
+        frame = pd.read_csv(io.BytesIO(content), sep="\t", dtype=str).rename(columns={"IDRSSD": "RSSD_ID"})
+        frame["RSSD_ID"] = pd.to_numeric(frame["RSSD_ID"], errors="coerce")
+        frame = frame.dropna(subset=["RSSD_ID"]).astype({"RSSD_ID": int})
+        for column in frame.columns.drop("RSSD_ID"):
+            numbers = pd.to_numeric(frame[column], errors="coerce")
+            if numbers.notna().equals(frame[column].notna()):
+                frame[column] = numbers.astype(float)
+        if merged is not None:
+            frame = merged.merge(frame.drop(columns=[c for c in frame if c in merged and c != "RSSD_ID"]), on="RSSD_ID", how="outer")
+        merged = frame
+    return merged
+
+
+def test_random_archives_like_a_data_frame_model(spark, tmp_path):
+    import random
+
+    import pandas as pd
+
+    pick = random.Random(5)
+    contents, expected = {}, {}
+    choices = ["1", "2.5", "1e3", "", "NA", "-7", "text", '"quoted\ttab"', "12%", " 8 "]
+    for quarter, stamp in (("2012Q1", "03312012"), ("2012Q2", "06302012"), ("2013Q4", "12312013")):
+        members = []
+        for _ in range(5):
+            names = pick.sample([f"V{i:02d}" for i in range(20)], 8)
+            ids = pick.sample(range(1, 60), 30)
+            some = {n: choices if pick.random() < 0.3 else choices[:6] for n in names}
+            members.append(delimited(["IDRSSD", *names], [["bad id", *names]] + [[i, *[pick.choice(some[n]) for n in names]] for i in ids]))
+        contents[f"Bulk {stamp}.zip"] = zipped({f"m{i}.txt": m for i, m in enumerate(members)})
+        expected[quarter] = model_of(members)
+    panel = bulk_panel(spark, save(tmp_path / "in", contents))
+    for quarter, model in expected.items():
+        wide = wide_panel(panel, "FFIEC_031_041", quarter, rest="sorted").drop("REPORTING_PERIOD").toPandas()
+        filled = [c for c in sorted(model.columns.drop("RSSD_ID")) if model[c].notna().any()]
+        assert list(wide.columns) == ["RSSD_ID", *filled]
+        left = wide.sort_values("RSSD_ID").reset_index(drop=True)
+        right = model[["RSSD_ID", *filled]].sort_values("RSSD_ID").reset_index(drop=True)
+        for column in filled:
+            pd.testing.assert_series_equal(left[column], right[column], check_dtype=False)
+        assert left["RSSD_ID"].tolist() == right["RSSD_ID"].tolist()
+
+
 def test_two_files_of_a_quarter(spark, tmp_path, rows):
     files_ = {
         "a_20240331.txt": b"",
@@ -431,6 +481,9 @@ def test_updates_skip_what_is_done(spark, historical_folder, bulk_folder, tmp_pa
     exported = spark.read.parquet(f"{wide}/FFIEC_002/2011Q1.parquet")
     assert exported.columns[:2] == ["REPORTING_PERIOD", "RSSD_ID"] and "RCONON" in exported.columns
     assert column_descriptions(exported)["RCON2170"] == "Total assets"
+    assert spark.read.parquet(f"{wide}/FFIEC_031_041/2011Q1.parquet").columns == [
+        "RSSD_ID", "REPORTING_PERIOD", "NAME", "RCON1", "RCON3", "TEXT"
+    ]
     both = summarize_wide_files(spark, wide, check_null_columns=True)
     assert rows(both, "entity_type", "quarter", "num_banks", "num_variables", "num_null_columns") == [
         ("FFIEC_002", "2010Q4", 2, 4, 0), ("FFIEC_002", "2011Q1", 2, 5, 1),

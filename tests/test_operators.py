@@ -238,6 +238,7 @@ def test_repeated_ids(spark):
     a = spark.createDataFrame([(1, 1), (1, 2)], "id int, x int")
     b = spark.createDataFrame([(1, 3), (1, 4)], "id int, y int")
     assert merge.merge_schedules([a, b], "id").count() == 4
+    assert merge.merge_schedules([a, b], "id", hot_keys=True).count() == 4
     with pytest.raises(PySparkException, match="repeats a filer id"):
         merge.merge_unique_schedules([a, b], "id").collect()
 
@@ -263,7 +264,11 @@ def test_merge_like_pandas(spark, data):
         [tuple(None if pd.isna(v) else v for v in r) for r in model[order].itertuples(index=False)], key=repr
     )
     sparks = [spark.createDataFrame(v, "id int, " + ", ".join(f"{n} int" for n in names)) for v, names in frames]
-    for merged in (merge.merge_schedules(sparks, "id"), merge.merge_unique_schedules(sparks, "id")):
+    for merged in (
+        merge.merge_schedules(sparks, "id"),
+        merge.merge_schedules(sparks, "id", hot_keys=True),
+        merge.merge_unique_schedules(sparks, "id"),
+    ):
         assert sorted([tuple(r) for r in merged.select(*order).collect()], key=repr) == expected
 
 
