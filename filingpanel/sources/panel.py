@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import os
+import re
+from collections import defaultdict
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from filingpanel.constants import ENTITY_CODES, ID_COLUMN, LEAD_COLUMNS, PERIOD_COLUMN
-from filingpanel.functions.names import megabytes
+from filingpanel.functions.names import base_name, megabytes
 from filingpanel.operators.coverage import filer_counts
+from filingpanel.operators.merge import union_sources
 from filingpanel.operators.prune import profile_columns
 from filingpanel.plans.panel import Panel
 from filingpanel.sources.files import list_files
@@ -67,47 +72,73 @@ def list_wide_files(spark: SparkSession, folder: str, entities: Sequence[str] =
 def summarize_wide_files(
     spark: SparkSession, folder: str, check_null_columns: bool = False, entities: Sequence[str] = tuple(ENTITY_CODES)
 ) -> DataFrame:
-    """The coverage summary of wide quarterly files that have a schema each.
+    """The coverage summary of wide quarterly datasets that have a schema each.
 
-    Types of a column may differ between quarters, so each file is read with its own schema
-    and contributes one aggregated row. Only the two lead columns are read, unless null columns
-    are asked for.
+    Types of a column may differ between quarters, so files of one schema are read together, and
+    those of another apart. Only the two lead columns are read, whose schemas are few, unless null
+    columns are asked for. The driver sees the schemas.
     """
-    listed = list_wide_files(spark, folder, entities).orderBy("entity_type", "quarter", "path").collect()
+    listed = list_wide_files(spark, folder, entities).collect()
     if not listed:
         raise ValueError(f"no panel files in {folder}")
-    key = ["entity_type", "quarter", "file_path"]
-    parts = []
-    for file in listed:
-        wide = spark.read.parquet(file["path"])
-        variables = [c for c in wide.columns if c not in LEAD_COLUMNS]
-        tags = {
-            "entity_type": F.lit(file["entity_type"]),
-            "quarter": F.lit(file["quarter"]),
-            "file_path": F.lit(os.path.basename(file["path"])),
-        }
-        counted = filer_counts(wide, (), ID_COLUMN, PERIOD_COLUMN).withColumns(tags)
-        parts.append(
-            counted.withColumns(
-                {
-                    "date": F.col("date").cast("timestamp"),
-                    "num_variables": F.lit(len(variables)).cast("bigint"),
-                    "file_size_mb": megabytes(F.lit(file["length"])),
-                }
-            )
-        )
-        if check_null_columns and variables:
-            empty = profile_columns(wide, variables).agg(F.count_if("all_null").alias("num_null_columns"))
-            parts.append(empty.withColumns(tags))
-    while len(parts) > 1:
-        # Pairwise union keeps the plan shallow for hundreds of files.
-        pairs = zip(parts[::2], parts[1::2])
-        rest = parts[-1:] if len(parts) % 2 else []
-        parts = [a.unionByName(b, allowMissingColumns=True) for a, b in pairs] + rest
-    merged = parts[0] if "num_null_columns" in parts[0].columns else parts[0].withColumn("num_null_columns", F.lit(0))
-    values = ("date", "num_banks", "num_variables", "num_null_columns", "file_size_mb")
-    summary = merged.groupBy(*key).agg(*[F.max(v).alias(v) for v in values])
-    empty_columns = F.coalesce("num_null_columns", F.lit(0)).cast("bigint")
-    return summary.withColumns(
-        {"num_null_columns": empty_columns, "num_non_null_vars": F.col("num_variables") - empty_columns}
+    with ThreadPool(_FOOTERS_AT_ONCE) as pool:
+        schemas = pool.map(lambda file: spark.read.parquet(file["path"]).schema, listed)
+    by_lead, by_schema = defaultdict(list), defaultdict(list)
+    known = []
+    for file, schema in zip(listed, schemas):
+        lead = StructType([f for f in schema.fields if f.name in LEAD_COLUMNS])
+        by_lead[lead.simpleString()].append((file["path"], lead))
+        by_schema[schema.simpleString()].append((file["path"], schema))
+        variables = len(schema) - len(lead)
+        known.append((_same_path(file["path"]), file["entity_type"], file["quarter"], variables, file["length"]))
+
+    def scans(groups):
+        for files in groups.values():
+            rows = spark.read.schema(files[0][1]).parquet(*[path for path, _ in files])
+            yield files[0][1], rows.withColumn(_DATASET, _dataset_of_row())
+
+    counted = [
+        filer_counts(rows, (_DATASET,), ID_COLUMN, PERIOD_COLUMN).withColumn("date", F.col("date").cast("timestamp"))
+        for _, rows in scans(by_lead)
+    ]
+    info = spark.createDataFrame(
+        known, f"{_DATASET} string, entity_type string, quarter string, num_variables bigint, length bigint"
     )
+    summary = info.join(union_sources(counted), _DATASET, "left")
+    if check_null_columns:
+        empty = []
+        for schema, rows in scans(by_schema):
+            variables = [n for n in schema.names if n not in LEAD_COLUMNS]
+            if variables:
+                profile = profile_columns(rows, variables, (_DATASET,))
+                empty.append(profile.groupBy(_DATASET).agg(F.count_if("all_null").alias("num_null_columns")))
+        if empty:
+            summary = summary.join(union_sources(empty), _DATASET, "left")
+    nulls = F.col("num_null_columns") if "num_null_columns" in summary.columns else F.lit(None)
+    return summary.select(
+        "entity_type",
+        "quarter",
+        "date",
+        F.coalesce("num_banks", F.lit(0)).alias("num_banks"),
+        "num_variables",
+        (F.col("num_variables") - F.coalesce(nulls, F.lit(0))).alias("num_non_null_vars"),
+        F.coalesce(nulls, F.lit(0)).cast("bigint").alias("num_null_columns"),
+        megabytes(F.col("length")).alias("file_size_mb"),
+        base_name(F.col(_DATASET)).alias("file_path"),
+    )
+
+
+_DATASET = "_dataset"
+_FOOTERS_AT_ONCE = 16
+
+
+def _same_path(path: str) -> str:
+    """A path in the one spelling used to compare paths from listings and from rows."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
+
+
+def _dataset_of_row() -> Column:
+    """The dataset (file, or folder with the suffix) that a row comes from."""
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    dataset = F.regexp_extract(path, r"^(.*?[^/]+\.parquet)(?:/[^/]*)?$", 1)
+    return F.regexp_replace(dataset, r"^(\w+):/+", "$1:/")
