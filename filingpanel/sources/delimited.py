@@ -105,9 +105,8 @@ def _cut_member(path: str, source: str, ordinal: int, data: BinaryIO, encoding:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from cells.regrouped(
-        decoded for batch in batches for piece in batch.to_pylist() for decoded in _parse_slice(piece)
-    )
+    pieces = slices.pieces_of(batches)
+    yield from cells.regrouped(decoded for piece in pieces for decoded in _parse_slice(piece))
 
 
 def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
@@ -129,7 +128,7 @@ def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
         # One column more than the header has: the parser takes the first row of what it is given
         # for regular, however long. Trailing empty fields are no surplus.
         rows = pd.read_csv(
-            io.BytesIO(piece["body"]),
+            io.BytesIO(slices.body_of(piece)),
             sep="\t",
             dtype=str,
             header=None,

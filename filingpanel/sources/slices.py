@@ -20,7 +20,7 @@ SLICE_BYTES = 4 * 1024 * 1024
 ROWS_PER_SLICE = 1 << 32
 SLICE_SCHEMA = (
     "path string, source_name string, member_ordinal int, slice_no int, first_row bigint, rows int, "
-    "encoding string, head binary, body binary, error string"
+    "encoding string, head binary, body binary, body_size int, error string"
 )
 _ARROW = pa.schema(
     [
@@ -33,6 +33,7 @@ _ARROW = pa.schema(
         ("encoding", pa.string()),
         ("head", pa.binary()),
         ("body", pa.binary()),
+        ("body_size", pa.int32()),
         ("error", pa.string()),
     ]
 )
@@ -40,11 +41,33 @@ _ARROW = pa.schema(
 csv.field_size_limit(2**31 - 1)
 
 
-def slice_batch(**values) -> pa.RecordBatch:
-    """One slice (or, with ``error``, one unreadable member) as a batch of one row."""
+def slice_batch(body: bytes | None = None, **values) -> pa.RecordBatch:
+    """One slice (or, with ``error``, one unreadable member) as a batch of one row.
+
+    The body is compressed here, so what a task receives at a time is bounded by the size of its
+    shuffle partition; a slice is unpacked only when its turn comes.
+    """
+    if body is not None:
+        values |= {"body": _codec().compress(body, asbytes=True), "body_size": len(body)}
     return pa.RecordBatch.from_pylist([values], schema=_ARROW)
 
 
+def body_of(piece: dict) -> bytes:
+    """The bytes of a slice."""
+    return _codec().decompress(piece["body"], decompressed_size=piece["body_size"], asbytes=True)
+
+
+def _codec() -> pa.Codec:
+    return pa.Codec("lz4")
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The slices of a task one by one."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield batch.slice(row, 1).to_pylist()[0]
+
+
 def spread(slices: DataFrame) -> DataFrame:
     """Slices in partitions of even size, whatever file they come from."""
     return slices.hint("rebalance")

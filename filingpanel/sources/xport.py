@@ -63,12 +63,8 @@ def decode_xport(
                     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from cells.regrouped(
-            decoded
-            for batch in batches
-            for piece in batch.to_pylist()
-            for decoded in _parse_slice(piece, blank_is_data)
-        )
+        pieces = slices.pieces_of(batches)
+        yield from cells.regrouped(decoded for piece in pieces for decoded in _parse_slice(piece, blank_is_data))
 
     pieces = files.select("path", "file_name", "content").mapInArrow(cut, slices.SLICE_SCHEMA)
     return slices.spread(pieces).mapInArrow(parse, cells.CELL_SCHEMA)
@@ -148,8 +144,9 @@ def _parse_slice(piece: dict, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
 
 
 def _decode_slice(piece: dict, member: tuple, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
-    padding = b" " * (-len(piece["body"]) % 80)
-    reader = pd.read_sas(io.BytesIO(piece["head"] + piece["body"] + padding), format="xport", iterator=True)
+    body = slices.body_of(piece)
+    padding = b" " * (-len(body) % 80)
+    reader = pd.read_sas(io.BytesIO(piece["head"] + body + padding), format="xport", iterator=True)
     names = list(reader.columns)
     upper = [n.upper() for n in names]
     if CODE_COLUMN not in upper:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import math
 import struct
@@ -21,6 +22,7 @@ def zipped(members: dict[str, bytes]) -> bytes:
     return buffer.getvalue()
 
 
+@functools.cache
 def _ibm_double(value: float | None) -> bytes:
     if value is None:
         return b"." + bytes(7)
@@ -80,12 +82,12 @@ def xport(columns: dict[str, list], width: int = 8) -> bytes:
             bytes(52),
         )
     parts += [_padded(descriptors), _record(head.format("OBS") + "0" * 30)]
-    data = b""
+    data = []
     for row in zip(*columns.values()):
         for name, value in zip(names, row):
             if name in texts:
                 raw = value if isinstance(value, bytes) else (value or "").encode()
-                data += raw.ljust(width)
+                data.append(raw.ljust(width))
             else:
-                data += _ibm_double(value)
-    return b"".join(parts) + _padded(data)
+                data.append(_ibm_double(value))
+    return b"".join(parts) + _padded(b"".join(data))
