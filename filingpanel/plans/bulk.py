@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ALWAYS_KEEP_BULK, CUTOFF_ENTITY
-from filingpanel.functions.names import base_name
-from filingpanel.functions.periods import QUARTER_END, period_from_bulk_name, quarter_label
+from filingpanel.functions.periods import QUARTER_END, period_from_bulk_name, quarter_label, reporting_period
 from filingpanel.functions.text import parse_number
 from filingpanel.operators.inference import numeric_verdicts
 from filingpanel.operators.prune import prune_catalog
@@ -74,12 +73,11 @@ def assemble_bulk(
 ) -> Panel:
     """The panel from decoded rows. ``decoded`` should be a written table: it is read several times."""
     check_duplicate_rule(on_duplicate)
-    name = base_name(F.col("path"))
     dated = decoded.withColumns(
         {
             "entity_type": F.lit(CUTOFF_ENTITY),
-            "quarter": quarter_label(period_from_bulk_name(name)),
-            "period": period_from_bulk_name(name, period_style),
+            "quarter": quarter_label("period"),
+            "period": reporting_period("period", period_style),
         }
     )
     members = member_table(dated)
@@ -99,7 +97,7 @@ def assemble_bulk(
     )
     filers = rows.select(*keys).distinct().withColumn("entity_code", F.lit(None).cast("int"))
     kept = prune_catalog(catalog, dictionary, ALWAYS_KEEP_BULK)
-    status = quarter_status(filers, kept, member_errors(members, F.lit(CUTOFF_ENTITY)))
+    status = quarter_status(filers, kept, member_errors(dated, F.lit(CUTOFF_ENTITY)))
     return Panel(_merged_values(rows, columns, keys), filers, kept, status)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ALWAYS_KEEP_HISTORICAL
-from filingpanel.functions.periods import period_from_call_name, quarter_label
+from filingpanel.functions.periods import quarter_label
 from filingpanel.operators.entities import apply_cutoff, entity_type_of
 from filingpanel.operators.prune import prune_catalog
 from filingpanel.plans.panel import (
@@ -51,8 +51,7 @@ def assemble_historical(
 ) -> Panel:
     """The panel from decoded rows. ``decoded`` should be a written table: it is read several times."""
     check_duplicate_rule(on_duplicate)
-    period = period_from_call_name("source_name")
-    dated = decoded.withColumns({"period": period, "quarter": quarter_label(period)})
+    dated = decoded.withColumn("quarter", quarter_label("period"))
     if skip_quarters:
         dated = dated.where(~F.coalesce(F.col("quarter").isin(*skip_quarters), F.lit(False)))
     members = member_table(dated)
@@ -80,5 +79,5 @@ def assemble_historical(
         F.coalesce("n_values", F.lit(0)).alias("n_values"),
     )
     kept = staged(prune_catalog(catalog, dictionary, ALWAYS_KEEP_HISTORICAL), "catalog")
-    status = quarter_status(filers, kept, member_errors(members, F.lit(None).cast("string")))
+    status = quarter_status(filers, kept, member_errors(dated, F.lit(None).cast("string")))
     return Panel(facts, filers, kept, status)

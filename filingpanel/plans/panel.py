@@ -40,13 +40,13 @@ def check_duplicate_rule(rule: str) -> None:
 
 
 def member_table(dated: DataFrame) -> DataFrame:
-    """One row per member file: its quarter, number of rows, and error if it was unreadable.
+    """One row per member file: its quarter, number of rows, and whether it was unreadable.
 
     Written once: it decides several joins, and the written table's true size lets the planner
     broadcast it or not. The values are not read for it.
     """
     members = dated.groupBy("path", "member_ordinal", "source_name", "quarter").agg(
-        F.count_if(F.col("row_no") > HEADER_ROW).alias("rows"), F.max("error").alias("error")
+        F.count_if(F.col("row_no") > HEADER_ROW).alias("rows"), (F.count("error") > 0).alias("failed")
     )
     return staged(members, "members")
 
@@ -59,10 +59,10 @@ def excluded_members(members: DataFrame, on_duplicate: str) -> DataFrame:
     leaving them out is an anti-join with a tiny table instead of a semi-join with a large one.
     """
     pick = F.min if on_duplicate == "first" else F.max
-    broken = members.where((F.col("member_ordinal") == WHOLE_FILE) & F.col("error").isNotNull())
+    broken = members.where((F.col("member_ordinal") == WHOLE_FILE) & F.col("failed"))
     marked = members.join(broken.select("path", F.lit(True).alias("_broken")).distinct(), "path", "left")
     usable = (
-        F.col("error").isNull() & F.col("_broken").isNull() & (F.col("rows") > 0) & F.col("quarter").isNotNull()
+        ~F.col("failed") & F.col("_broken").isNull() & (F.col("rows") > 0) & F.col("quarter").isNotNull()
     )
     chosen = marked.where(usable).groupBy("quarter").agg(pick("path").alias("_chosen"))
     other_file = ~F.col("path").eqNullSafe(F.col("_chosen"))
@@ -95,9 +95,10 @@ def headers_of(dated: DataFrame, *keys: str) -> DataFrame:
     return exploded.select(*keys, "_c.variable", "_c.ordinal", F.col("_c.raw").alias("kind"))
 
 
-def member_errors(members: DataFrame, entity_type: Column) -> DataFrame:
+def member_errors(dated: DataFrame, entity_type: Column) -> DataFrame:
     """Unreadable members as rows for the status."""
-    return members.where(F.col("error").isNotNull()).select(
+    failed = dated.where(F.col("error").isNotNull())
+    return failed.dropDuplicates(["path", "member_ordinal", "source_name"]).select(
         entity_type.alias("entity_type"), "quarter", F.concat_ws(": ", "source_name", "error").alias("message")
     )
 

@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 
 HEADER_ROW = -1
+_MEMBER = ("path", "source_name", "member_ordinal", "period")
 # Member number of an error that concerns the whole file.
 WHOLE_FILE = -1
 # What undecodable bytes raise. Errors of reading from a file system are not among them: they
@@ -37,7 +38,7 @@ DECODE_ERRORS = (
     zipfile.BadZipFile,
 )
 CELL_SCHEMA = (
-    "path string, source_name string, member_ordinal int, row_no bigint, filer_id bigint, "
+    "path string, source_name string, member_ordinal int, period date, row_no bigint, filer_id bigint, "
     "entity_code int, error string, "
     "cells array<struct<variable:string, ordinal:int, num:double, raw:string>>"
 )
@@ -49,6 +50,7 @@ _ARROW = pa.schema(
         ("path", pa.string()),
         ("source_name", pa.string()),
         ("member_ordinal", pa.int32()),
+        ("period", pa.date32()),
         ("row_no", pa.int64()),
         ("filer_id", pa.int64()),
         ("entity_code", pa.int32()),
@@ -76,37 +78,30 @@ def _combined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
     return batches if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
-def header_batch(path: str, source: str, ordinal: int, variables: list[str], numeric: list[bool | None]) -> pa.RecordBatch:
+def header_batch(piece: dict, variables: list[str], numeric: list[bool | None]) -> pa.RecordBatch:
     """The header row of a member. ``raw`` of its cells holds a type already known, else null."""
     kinds = [None if n is None else ("double" if n else "string") for n in numeric]
     cells = [
         {"variable": v, "ordinal": i, "num": None, "raw": k} for i, (v, k) in enumerate(zip(variables, kinds))
     ]
-    return pa.RecordBatch.from_pylist(
-        [_keys(path, source, ordinal) | {"row_no": HEADER_ROW, "cells": cells}], schema=_ARROW
-    )
+    return _one_row(piece, {"row_no": HEADER_ROW, "cells": cells})
 
 
-def error_batch(path: str, source: str, ordinal: int, problem: Exception | str) -> pa.RecordBatch:
-    """A row that marks an unreadable member, or with ``WHOLE_FILE`` an unreadable file."""
-    return pa.RecordBatch.from_pylist(
-        [_keys(path, source, ordinal) | {"error": error_text(problem)}], schema=_ARROW
-    )
+def error_batch(piece: dict, problem: Exception | str) -> pa.RecordBatch:
+    """A row that marks an unreadable member (or file, if it has the member number ``WHOLE_FILE``)."""
+    return _one_row(piece, {"error": error_text(problem)})
 
 
-def error_text(problem: Exception | str) -> str:
-    return problem if isinstance(problem, str) else f"{type(problem).__name__}: {problem}"
+def _one_row(piece: dict, values: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{k: piece[k] for k in _MEMBER} | values], schema=_ARROW)
 
 
-def _keys(path: str, source: str, ordinal: int) -> dict:
-    return {"path": path, "source_name": source, "member_ordinal": ordinal}
+def error_text(problem: Exception | str) -> str:
+    return problem if isinstance(problem, str) else f"{type(problem).__name__}: {problem}"
 
 
 def value_batch(
-    path: str,
-    source: str,
-    ordinal: int,
-    first_row: int,
+    piece: dict,
     ids: pd.Series,
     codes: pd.Series | None,
     variables: list[str],
@@ -144,10 +139,8 @@ def value_batch(
 
     return pa.RecordBatch.from_arrays(
         [
-            same(path, pa.string()),
-            same(source, pa.string()),
-            same(ordinal, pa.int32()),
-            pa.array(np.arange(first_row, first_row + rows), pa.int64()),
+            *[same(piece[k], _ARROW.field(k).type) for k in _MEMBER],
+            pa.array(np.arange(rows) + piece["first_row"], pa.int64()),
             whole(ids, pa.int64()),
             whole(codes, pa.int32()),
             pa.nulls(rows, pa.string()),

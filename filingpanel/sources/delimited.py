@@ -13,7 +13,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from filingpanel.functions.names import base_name
+from filingpanel.functions.periods import period_from_bulk_name
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.sources import cells, slices
 from filingpanel.sources.files import open_file, read_files
@@ -32,7 +35,9 @@ def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN
 def decode_delimited(files: DataFrame) -> DataFrame:
     """Decode files given as ``(path, file_name, content)``; one header, then rows, per member."""
     cut = files.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
-    return slices.spread(cut).mapInArrow(_parse, cells.CELL_SCHEMA)
+    # Derived once per slice and carried along: the pattern search is too dear to repeat per row.
+    dated = cut.withColumn("period", period_from_bulk_name(base_name(F.col("path"))))
+    return slices.spread(dated).mapInArrow(_parse, cells.CELL_SCHEMA)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,20 +116,19 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
     """Rows with a usable filer id. An error in any slice rejects the member as a whole later on."""
-    member = (piece["path"], piece["source_name"], piece["member_ordinal"])
     if piece["error"] is not None:
-        yield cells.error_batch(*member, piece["error"])
+        yield cells.error_batch(piece, piece["error"])
         return
     encoding, errors = ("utf-8", "ignore") if piece["encoding"] == LOOSE else (piece["encoding"], "strict")
     try:
         names = _names(piece["head"].decode(encoding, errors))
         id_column = find_filer_column(names, mode="first")
         if id_column is None:
-            yield cells.error_batch(*member, "no filer id column")
+            yield cells.error_batch(piece, "no filer id column")
             return
         variables = [n.upper() for n in names if n != id_column]
         if piece["slice_no"] == 0:
-            yield cells.header_batch(*member, variables, [None] * len(variables))
+            yield cells.header_batch(piece, variables, [None] * len(variables))
         # One column more than the header has: the parser takes the first row of what it is given
         # for regular, however long. Trailing empty fields are no surplus.
         rows = pd.read_csv(
@@ -144,11 +148,11 @@ def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
         ids = np.trunc(ids[valid])
         texts = rows.loc[valid].drop(columns=[id_column, _SURPLUS]).to_numpy(dtype=object)
         numbers = np.full(texts.shape, np.nan)
-        yield cells.value_batch(*member, piece["first_row"], ids, None, variables, numbers, texts)
+        yield cells.value_batch(piece, ids, None, variables, numbers, texts)
     except pd.errors.EmptyDataError:
         return  # no rows
     except (ValueError, csv.Error) as problem:
-        yield cells.error_batch(*member, problem)
+        yield cells.error_batch(piece, problem)
 
 
 def _names(head: str) -> list[str]:

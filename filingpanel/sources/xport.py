@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from filingpanel.constants import CALL_NAME, CENTURY_FROM, CODE_COLUMN, ID_COLUMN
+from filingpanel.functions.periods import period_from_call_name
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.sources import cells, slices
 from filingpanel.sources.files import open_file, read_files
@@ -67,7 +68,8 @@ def decode_xport(
         yield from cells.regrouped(decoded for piece in pieces for decoded in _parse_slice(piece, blank_is_data))
 
     pieces = files.select("path", "file_name", "content").mapInArrow(cut, slices.SLICE_SCHEMA)
-    return slices.spread(pieces).mapInArrow(parse, cells.CELL_SCHEMA)
+    dated = pieces.withColumn("period", period_from_call_name("source_name"))
+    return slices.spread(dated).mapInArrow(parse, cells.CELL_SCHEMA)
 
 
 def _in_range(name: str, start: dt.date | None, end: dt.date | None) -> bool:
@@ -133,30 +135,29 @@ def _row_count(stream: BinaryIO, begin: int, length: int) -> int:
 
 
 def _parse_slice(piece: dict, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
-    member = (piece["path"], piece["source_name"], piece["member_ordinal"])
     if piece["error"] is not None:
-        yield cells.error_batch(*member, piece["error"])
+        yield cells.error_batch(piece, piece["error"])
         return
     try:
-        yield from _decode_slice(piece, member, blank_is_data)
+        yield from _decode_slice(piece, blank_is_data)
     except cells.DECODE_ERRORS as problem:
-        yield cells.error_batch(*member, problem)
+        yield cells.error_batch(piece, problem)
 
 
-def _decode_slice(piece: dict, member: tuple, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
+def _decode_slice(piece: dict, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
     body = slices.body_of(piece)
     padding = b" " * (-len(body) % 80)
     reader = pd.read_sas(io.BytesIO(piece["head"] + body + padding), format="xport", iterator=True)
     names = list(reader.columns)
     upper = [n.upper() for n in names]
     if CODE_COLUMN not in upper:
-        yield cells.error_batch(*member, f"no {CODE_COLUMN} column")
+        yield cells.error_batch(piece, f"no {CODE_COLUMN} column")
         return
     numeric = [field["ntype"] == "numeric" for field in reader.fields]
     kept = [i for i, n in enumerate(upper) if n != ID_COLUMN]
     variables = [upper[i] for i in kept]
     if piece["slice_no"] == 0:
-        yield cells.header_batch(*member, variables, [numeric[i] for i in kept])
+        yield cells.header_batch(piece, variables, [numeric[i] for i in kept])
     if not piece["rows"]:
         return
     reader.nobs = piece["rows"]  # known exactly; the reader estimates it from the padding
@@ -177,7 +178,7 @@ def _decode_slice(piece: dict, member: tuple, blank_is_data: bool) -> Iterator[p
         ids = np.trunc(pd.to_numeric(rows[id_column], errors="coerce"))
     codes = pd.to_numeric(rows.iloc[:, upper.index(CODE_COLUMN)], errors="coerce")
     codes = codes.where(codes == np.trunc(codes))
-    yield cells.value_batch(*member, piece["first_row"], ids, codes, variables, numbers, texts)
+    yield cells.value_batch(piece, ids, codes, variables, numbers, texts)
 
 
 def _text(value) -> str:

@@ -191,6 +191,7 @@ def test_many_slices_give_the_same_panel(spark, bulk_folder, historical_folder,
                     continue
                 for p in pieces:
                     for piece in p.to_pylist():
+                        piece["period"] = None
                         parse = delimited._parse_slice(piece) if module is delimited else xport._parse_slice(piece, True)
                         for batch in parse:
                             out += [(r["path"], r["source_name"], r["filer_id"], r["cells"], r["error"]) for r in batch.to_pylist()]
