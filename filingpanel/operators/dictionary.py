@@ -111,7 +111,8 @@ def build_dictionary(
 
     Forms of all definitions and the current definition come out of one aggregation, so there
     is one shuffle, on the variable. Ties on the end date go to the later start date, then to
-    the description that sorts first. Descriptions are cleaned after the reduction.
+    the description that sorts first, a missing one like an empty one. Descriptions are cleaned
+    after the reduction.
     """
     roles = roles or resolve_roles(raw.columns)
     optional = {
@@ -132,8 +133,7 @@ def build_dictionary(
         F.col("description"),
         F.col("end"),
         -F.unix_date("start"),
-        F.col("description").isNull(),
-        F.col("description"),
+        F.coalesce("description", F.lit("")),
     )
     merged = rows.groupBy("Variable").agg(
         current.alias("description"), joined_forms(F.col("form")).alias("ReportingForms")

@@ -32,8 +32,9 @@ from filingpanel.operators import (
     status,
 )
 from filingpanel.session import shared_folder, staged
-from filingpanel.sinks.panel import write_partitioned
+from filingpanel.sinks.panel import write_dictionary, write_partitioned, write_summary
 from filingpanel.sources.delimited import read_delimited
+from filingpanel.sources.dictionary import read_dictionary_csv
 from filingpanel.streaming.incremental import append_new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -450,7 +451,7 @@ def tolerant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", "written", as_text(text.parse_date(F.col("written"))).alias("parsed"))
 
 
-@registered("""WITH raw AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'RCON' WHEN '2-HIGH' THEN 'RCFD'
+DICTIONARY_SQL = """WITH raw AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'RCON' WHEN '2-HIGH' THEN 'RCFD'
             WHEN '3-MEDIUM' THEN 'RIAD' WHEN '4-NOT SPECIFIED' THEN 'BHCK' ELSE 'RCOA' END AS m,
             'k' || o_custkey::VARCHAR AS code,
             CASE WHEN o_totalprice > 450000 THEN '' ELSE 'Order ' || o_orderkey::VARCHAR || ' & total' END AS name,
@@ -460,8 +461,10 @@ def tolerant_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest AS (SELECT v, name FROM (SELECT v, name, row_number() OVER (PARTITION BY v
         ORDER BY ended DESC NULLS FIRST, CASE WHEN name = '' THEN '' ELSE '&lt;b&gt;' || name END) AS r FROM kept) WHERE r = 1),
     forms AS (SELECT v, string_agg(DISTINCT form, ',' ORDER BY form) AS f FROM kept GROUP BY v)
-    SELECT v AS Variable, name AS Description, f AS ReportingForms FROM latest JOIN forms USING (v) WHERE name <> ''""")
-def dictionary_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SELECT v AS Variable, name AS Description, f AS ReportingForms FROM latest JOIN forms USING (v) WHERE name <> ''"""
+
+
+def _dictionary_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string")
     mnemonic = (
         F.when(priority == "1-URGENT", "RCON")
@@ -471,14 +474,30 @@ def dictionary_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("RCOA")
     )
     named = F.concat(F.lit("&lt;b&gt;Order&nbsp; "), key, F.lit("&lt;/b&gt; \n &amp; total"))
-    raw = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         mnemonic.alias("Mnemonic"),
         F.concat(F.lit("k"), F.col("o_custkey").cast("string")).alias("Item Code"),
         F.when(F.col("o_totalprice") > 450000, F.lit("")).otherwise(named).alias("Item Name"),
         F.when(F.col("o_orderstatus") != "O", F.date_format("o_orderdate", "M/d/yyyy h:mm:ss a")).alias("End Date"),
         F.concat(F.lit("FORM "), F.year("o_orderdate").cast("string")).alias("Reporting Form"),
     )
-    return dictionary.build_dictionary(raw)
+
+
+@registered(DICTIONARY_SQL)
+def dictionary_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dictionary.build_dictionary(_dictionary_export(spark, sf_dir))
+
+
+@registered(DICTIONARY_SQL)
+def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from an export in CSV files, through the stored dictionary's CSV."""
+    export, folder = shared_folder(spark, "export"), shared_folder(spark, "dictionary")
+    writer = _dictionary_export(spark, sf_dir).write.option("header", True).option("quoteAll", True)
+    writer.option("escape", '"').csv(export)
+    raw = read_dictionary_csv(spark, export, preamble=0)
+    stored, _ = write_dictionary(dictionary.build_dictionary(raw), folder)
+    reader = spark.read.schema("Variable string, Description string, ReportingForms string")
+    return reader.option("header", True).option("escape", '"').csv(stored)
 
 
 # --- merging schedules ------------------------------------------------------------------------
@@ -773,6 +792,16 @@ def quarter_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered(f"""SELECT entity_type, quarter, CAST(date AS VARCHAR) AS date, num_banks, num_variables,
+    CAST(year(date) AS BIGINT) AS year, CAST(quarter(date) AS BIGINT) AS quarter_num FROM ({SUMMARY_SQL})""")
+def summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "summary")
+    write_summary(summary_table(spark, sf_dir), folder)
+    stored = spark.read.option("header", True).csv(folder)
+    counts = ("num_banks", "num_variables", "year", "quarter_num")
+    return stored.select("entity_type", "quarter", "date", *[F.col(c).cast("bigint").alias(c) for c in counts])
+
+
 PIVOT_SQL = ", ".join(
     f"max(CASE WHEN entity_type = '{e}' THEN {v} END) AS \"{e}_{v}\"" for e in ENTITIES for v in ("num_banks", "num_variables")
 )
