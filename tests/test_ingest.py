@@ -15,7 +15,6 @@ from filingpanel.operators.status import run_statistics
 from filingpanel.plans.report import coverage_report
 from filingpanel.plans.update import export_wide, update_bulk, update_historical
 from filingpanel.sinks.panel import (
-    write_dictionary,
     write_new,
     write_panel,
     write_partitioned,
