@@ -55,10 +55,11 @@ def write_new(df: DataFrame, existing: DataFrame, folder: str, keys: Sequence[st
 
 def write_dictionary(dictionary: DataFrame, folder: str) -> tuple[str, str]:
     """The dictionary sorted by variable, as CSV with header and as Parquet."""
-    ordered = dictionary.orderBy("Variable")
     csv, parquet = os.path.join(folder, "data_dictionary.csv"), os.path.join(folder, "data_dictionary.parquet")
-    ordered.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv)
-    ordered.write.mode("overwrite").parquet(parquet)
+    dictionary.orderBy("Variable").write.mode("overwrite").parquet(parquet)
+    # From the stored table, so that the dictionary is built once.
+    stored = dictionary.sparkSession.read.parquet(parquet).orderBy("Variable")
+    stored.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv)
     return csv, parquet
 
 

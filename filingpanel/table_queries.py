@@ -298,17 +298,13 @@ def _bulk_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"""SELECT o_orderkey, name, CAST(last_day(m) AS VARCHAR) AS period, CAST(m AS VARCHAR) AS month_start,
     year(m)::VARCHAR || 'Q' || quarter(m)::VARCHAR AS quarter FROM ({PARSED_B_SQL}) WHERE m IS NOT NULL""")
 def name_period_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    end = periods.period_from_bulk_name("name")
-    return (
-        _bulk_names(spark, sf_dir)
-        .where(end.isNotNull())
-        .select(
-            "o_orderkey",
-            "name",
-            as_text(end).alias("period"),
-            as_text(periods.period_from_bulk_name("name", periods.MONTH_START)).alias("month_start"),
-            periods.quarter_label(end).alias("quarter"),
-        )
+    dated = _bulk_names(spark, sf_dir).withColumn("end", periods.period_from_bulk_name("name"))
+    return dated.where(F.col("end").isNotNull()).select(
+        "o_orderkey",
+        "name",
+        as_text("end").alias("period"),
+        as_text(periods.reporting_period("end", periods.MONTH_START)).alias("month_start"),
+        periods.quarter_label("end").alias("quarter"),
     )
 
 
