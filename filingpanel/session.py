@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,15 +32,37 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application.
+
+    Workers import operator code by name, and a driver started from another folder has the package
+    only on its own path. Spark's file server hands the archive to every executor, later ones too.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_filingpanel_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="filingpanel-"), "filingpanel.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._filingpanel_shipped = True
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to the machine's own temporary folder:
-    on a cluster such a folder would not be visible to every executor.
+    Only a session inside one process (``local``, ``local[n]``) that lacks the setting falls back to
+    the machine's own temporary folder: on a cluster, ``local-cluster`` included, such a folder would
+    not be visible to every executor.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.gettempdir()
     return os.path.join(root, f"filingpanel-{name}-{uuid.uuid4().hex}")
