@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import language_id, quartile_digest, token_counts, transducer
+from filingpanel.llm import language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, token_counts, transducer
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -34,6 +34,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@registered(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      s AS (SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.e, p.e)::BIGINT AS score
+        FROM v q JOIN v p ON q.vec_id <> p.vec_id AND len(q.e) = len(p.e) WHERE q.vec_id % 50 = 0),
+      r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank", vec_id, score FROM s)
+    SELECT * FROM r WHERE "rank" <= 5"""
+)
+def op1_norm_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(norm_search.usable(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    vectors = rows.select("vec_id", whole.alias("vector"))
+    return norm_search.top_products(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 @registered()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -60,7 +75,37 @@ def op5_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@registered()
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("secret_spans", lambda x: x["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secret_scan.written("secret_spans", 3).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written("secret_spans").alias("spans"),
+    )
+
+
 @registered()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, read_file(tokenizer_path("byte_bpe_50k.json")))
+
+
+@registered()
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return raking.calibrated(docs).select("row.doc_id", "row.source", "row.lang", "mix.*")
+
+
+@registered()
+def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal_toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return ordinal_toxicity.grade_documents(docs, model)
