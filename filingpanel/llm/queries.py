@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, token_counts, transducer
+from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, token_counts, transducer
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -92,6 +92,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered()
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_documents(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, num=90, den=100))
+
+
 @registered()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
