@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, token_counts, transducer
+from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -70,6 +70,12 @@ def op3_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @registered()
 def op5_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quartile_digest.compare_with_next(table(spark, sf_dir, "documents"))
