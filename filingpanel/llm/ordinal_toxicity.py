@@ -28,11 +28,12 @@ GRADES = 3
 #: Labelled rows of either class that the model is fitted on.
 PER_CLASS = 6000
 
-#: Features that the model may weigh, and how often one must occur among toxic rows.
-MAX_FEATURES, LEAST_ROWS = 2048, 3
+#: Features that the model may weigh: so many, each in so many toxic rows, and with log odds that lie above
+#: this even two standard errors lower.
+MAX_FEATURES, LEAST_ROWS, LEAST_ODDS = 2048, 3, 1.5
 
 #: Steps, step size and the two penalties of the fit (small weights become exactly 0).
-STEPS, RATE, RIDGE, LASSO = 400, 0.1, 1e-3, 2e-4
+STEPS, RATE, RIDGE, LASSO = 600, 0.1, 1e-5, 3e-5
 
 KEPT_WORDS = 400_000
 
@@ -52,10 +53,14 @@ def text_features(text: str) -> set[str]:
 
 @dataclasses.dataclass
 class Model:
-    """Weights by feature, and rising thresholds; without thresholds everything has severity 0."""
+    """Weights by feature, rising thresholds, and the sum of weights from which a text counts as toxic.
+
+    Without thresholds everything has severity 0 and nothing is toxic.
+    """
 
     weights: dict[str, float]
     thresholds: list[float]
+    cut: float = float("inf")
 
     def grades(self, sums: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1, a column each."""
@@ -95,12 +100,22 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarra
     return w, cuts
 
 
+def best_cut(sums: np.ndarray, toxic: np.ndarray) -> float:
+    """The sum that parts toxic from other rows with the least error, both kinds weighing the same; the middle of the widest."""
+    values = np.unique(sums)
+    missed = np.array([(sums[toxic] < v).mean() for v in values]) + np.array([(sums[~toxic] >= v).mean() for v in values])
+    gaps = np.diff(values, prepend=values[0] - 1)
+    best = np.flatnonzero(missed <= missed.min() + 1e-12)
+    place = best[gaps[best].argmax()]
+    return float(values[place] - gaps[place] / 2)
+
+
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model from the texts of ``docs`` whose ``doc_id`` is in ``labels`` (``doc_id, toxic`` 0 or 1).
 
     At most ``per_class`` rows of either class are used, chosen by a hash of the id. Null ids, texts and
-    labels are left out; an id with several labels is toxic if one of them says so. If a class has no
-    rows nothing is learnt.
+    labels are left out; an id with several labels is toxic if one of them says so, and so is a text that
+    several ids share, which counts once. If a class has no rows nothing is learnt.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -110,7 +125,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     drawn = [known.where(F.col("toxic") == c).orderBy(*order).limit(per_class) for c in (0, 1)]
     sample = F.broadcast(drawn[0].union(drawn[1]))  # bounded by per_class
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.where(F.col("text").isNotNull()).join(sample, "doc_id").select("text", "toxic")
+    matched = texts.where(F.col("text").isNotNull()).join(sample, "doc_id")
+    rows = matched.groupBy("text").agg(F.max("toxic").alias("toxic"))  # copies would make any word a mark
 
     def counted(batches):
         seen = {0: Counter(), 1: Counter()}
@@ -118,6 +134,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
             for text, toxic in zip(part["text"], part["toxic"]):
                 seen[toxic].update(text_features(text))
         for toxic, counts in seen.items():
+            if not counts:
+                continue
             yield pd.DataFrame({"feature": list(counts), "toxic": toxic, "n": np.array(list(counts.values()), np.int64)})
 
     counts = rows.mapInPandas(counted, "feature string, toxic int, n long").groupBy("feature")
@@ -127,8 +145,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         return Model({}, [])
     odds = F.log((F.col("yes") + 0.5) / (total[1] - F.col("yes") + 0.5)) - F.log((F.col("no") + 0.5) / (total[0] - F.col("no") + 0.5))
     spread = F.sqrt(1 / (F.col("yes") + 0.5) + 1 / (F.col("no") + 0.5))
-    marked = both.where(F.col("yes") >= LEAST_ROWS).select("feature", (odds / spread).alias("z"), odds.alias("odds"))
-    best = marked.where("z > 2").orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect()
+    sure = both.where(F.col("yes") >= LEAST_ROWS).select("feature", odds.alias("odds"), (odds - 2 * spread).alias("bound"))
+    best = sure.where(F.col("bound") > LEAST_ODDS).orderBy(F.desc("bound"), "feature").limit(MAX_FEATURES).collect()
     names = sorted(r["feature"] for r in best)
     strong = {r["feature"] for r in best if r["odds"] > 3 and not r["feature"].endswith("*")}
     number = {f: i for i, f in enumerate(names)}
@@ -152,8 +170,10 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     cuts = np.quantile(hits[toxic], [i / GRADES for i in range(1, GRADES)])
     grades = np.where(toxic, 1 + (hits[:, None] > cuts[None, :]).sum(axis=1), 0)
     present = np.unique(grades)  # a grade without rows has no threshold to learn
-    weights, thresholds = fit([list(f) for f in table["key"]], np.searchsorted(present, grades), max(1, len(names)))
-    return Model({f: float(weights[i]) for f, i in number.items() if weights[i] != 0}, [float(t) for t in thresholds])
+    features = [list(f) for f in table["key"]]
+    weights, thresholds = fit(features, np.searchsorted(present, grades), max(1, len(names)))
+    cut = best_cut(np.array([weights[f].sum() if f else 0.0 for f in features]), toxic)
+    return Model({f: float(weights[i]) for f, i in number.items() if weights[i] != 0}, [float(t) for t in thresholds], cut)
 
 
 class Scorer:
@@ -178,18 +198,20 @@ class Scorer:
 
 
 def severity_of(spark: SparkSession, model: Model, text: Column) -> Column:
-    """A struct ``severity, p_toxic, grade`` for a text column; null and empty texts have severity by their lack of features."""
+    """A struct ``severity, p_toxic, grade, toxic`` for a text column; null and empty texts have severity by their lack of features."""
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("severity double, p_toxic double, grade int")
+    @F.pandas_udf("severity double, p_toxic double, grade int, toxic boolean")
     def scored(batches: pd.Series) -> pd.DataFrame:
-        at_least = shared.value.grades(_scorer(shared.value).sums(text_or_empty(batches)))
+        sums = _scorer(shared.value).sums(text_or_empty(batches))
+        at_least = shared.value.grades(sums)
         return pd.DataFrame(
             {
                 "severity": at_least.sum(axis=1),
                 "p_toxic": at_least[:, 0],
                 "grade": (at_least >= 0.5).sum(axis=1).astype(np.int32),
+                "toxic": sums >= shared.value.cut,
             }
         )
 
@@ -207,15 +229,15 @@ def _scorer(model: Model) -> Scorer:
 
 
 def grade_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, severity, p_toxic, grade, toxic`` for every row; ``toxic`` where P(grade >= 1) is at least one half.
+    """``doc_id, severity, p_toxic, grade, toxic`` for every row; ``toxic`` from the model's cut on.
 
     Null texts are empty, repeated rows and ids give a row each, null ids stay null, and other columns
     are not looked at. No shuffle.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), severity_of(docs.sparkSession, model, F.col("text")).alias("s"))
-    return rows.select("doc_id", "s.severity", "s.p_toxic", "s.grade", (F.col("s.p_toxic") >= 0.5).alias("toxic"))
+    return rows.select("doc_id", "s.*")
 
 
 def reject_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that are not toxic."""
-    return docs.where(severity_of(docs.sparkSession, model, F.col("text"))["p_toxic"] < 0.5)
+    return docs.where(~severity_of(docs.sparkSession, model, F.col("text"))["toxic"])
