@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingpanel.session import ship_package
 
-#: Rows that travel to a Python worker at once: bounds its memory where texts are very long.
-BATCH_ROWS = 512
+#: Rows, and bytes, that travel to a Python worker at once: many narrow rows, or few very long texts.
+BATCH_ROWS, BATCH_BYTES = 10_000, 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Settings of the session that every operator with Python workers relies on."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,22 +46,21 @@ class Memo(dict):
         return value
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
 def text_or_empty(values) -> list[str]:
     """A column of texts as Python strings, null as the empty text."""
     return [v if isinstance(v, str) else "" for v in values]
 
 
-#: One object per worker process and key: models are parsed once and not for every task.
+#: What a worker process keeps between its tasks: the last model with its caches, and no other.
 _KEPT: dict = {}
 
 
 def kept(key: Hashable, build: Callable):
     if key not in _KEPT:
-        if len(_KEPT) >= 8:
-            _KEPT.clear()
+        _KEPT.clear()
         _KEPT[key] = build()
     return _KEPT[key]
+
+
+def digest(text: str) -> bytes:
+    return hashlib.sha256(text.encode()).digest()

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import dataclasses
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, prepare, text_or_empty
+from filingpanel.llm.common import Memo, kept, prepare, text_or_empty
 
 PREFIXES = (4, 5, 6)
 GRADES = 3
@@ -61,6 +62,7 @@ class Model:
     weights: dict[str, float]
     thresholds: list[float]
     cut: float = float("inf")
+    name: str = dataclasses.field(default_factory=lambda: uuid.uuid4().hex)
 
     def grades(self, sums: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k from 1, a column each."""
@@ -218,14 +220,8 @@ def severity_of(spark: SparkSession, model: Model, text: Column) -> Column:
     return scored(text.cast("string"))
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
-    if id(model) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[id(model)] = Scorer(model)
-    return _SCORERS[id(model)]
+    return kept(("scorer", model.name), lambda: Scorer(model))
 
 
 def grade_documents(docs: DataFrame, model: Model) -> DataFrame:

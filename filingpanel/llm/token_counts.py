@@ -14,8 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, prepare, text_or_empty
-from filingpanel.llm.tokenizer_file import SPACES, TokenizerFile, tokenizer_of
+from filingpanel.llm.common import Memo, digest, kept, prepare, text_or_empty
+from filingpanel.llm.tokenizer_file import SPACES, TokenizerFile
 
 #: Distinct words, and distinct runs between two spaces, that a worker remembers the counts of.
 KEPT_WORDS = 600_000
@@ -103,15 +103,8 @@ class TokenCounter:
         return len(parts) // 2 + sum(self._plain(p) for p in parts[::2] if p)
 
 
-_COUNTERS: dict[int, TokenCounter] = {}
-
-
 def _counter(text: str) -> TokenCounter:
-    tokenizer = tokenizer_of(text)
-    if id(tokenizer) not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[id(tokenizer)] = TokenCounter(tokenizer)
-    return _COUNTERS[id(tokenizer)]
+    return kept(("counter", digest(text)), lambda: TokenCounter(TokenizerFile(text)))
 
 
 def token_counts(docs: DataFrame, tokenizer_text: str, limit: int = 1024) -> DataFrame:

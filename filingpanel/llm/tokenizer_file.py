@@ -6,13 +6,12 @@ linked list) and ``transducer`` (bounded lookahead).
 
 from __future__ import annotations
 
-import hashlib
 import json
 import unicodedata
 
 import regex
 
-from filingpanel.llm.common import kept
+from filingpanel.llm.common import digest, kept
 
 #: White space as regular expressions of the tokenizers library see it (Unicode White_Space).
 SPACES = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -56,7 +55,7 @@ class TokenizerFile:
             raise ValueError("only byte-level BPE files are known")
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}  # by pair: the rank of its merge, and what it makes
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             key = self.vocab[left], self.vocab[right]
@@ -72,6 +71,7 @@ class TokenizerFile:
         self.last = [self.vocab.get(c + self.suffix) for c in chars]
         self.steps = self._normalizers(spec.get("normalizer"))
         self.pattern, self.drops_spaces = self._splitter(spec["pre_tokenizer"])
+        self._bytes: dict[int, bytes] = {}
         self.byte_decoder = (spec.get("decoder") or {}).get("type") == "ByteLevel"
 
     @staticmethod
@@ -106,6 +106,15 @@ class TokenizerFile:
                 piece = piece.replace("Σ", "σ").lower()
         return piece
 
+    def bytes_of(self, token: int) -> bytes:
+        """What a token stands for; a special token, or a part of an unknown alphabet, for its own name."""
+        found = self._bytes.get(token)
+        if found is None:
+            name, byte_of = self.names.get(token, ""), self.byte_of
+            found = bytes([byte_of[c] for c in name]) if all(c in byte_of for c in name) else name.encode()
+            self._bytes[token] = found
+        return found
+
     def symbols(self, word: str) -> list[int]:
         """The initial symbols of a word: one for each UTF-8 byte, the last with the suffix."""
         data = word.encode("utf-8", "surrogatepass")
@@ -117,5 +126,5 @@ class TokenizerFile:
 
 
 def tokenizer_of(text: str) -> TokenizerFile:
-    """The parsed file; one for each worker process."""
-    return kept(("tokenizer", hashlib.sha256(text.encode()).digest()), lambda: TokenizerFile(text))
+    """The parsed file; kept by a worker process."""
+    return kept(("tokenizer", digest(text)), lambda: TokenizerFile(text))

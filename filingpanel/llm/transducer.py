@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, prepare, text_or_empty
+from filingpanel.llm.common import Memo, digest, kept, prepare, text_or_empty
 from filingpanel.llm.tokenizer_file import SPACES, TokenizerFile, tokenizer_of
 
 #: Symbols read beyond the lookahead before stable tokens are emitted.
@@ -154,13 +154,7 @@ class IncrementalDecoder:
             text = " ".join([names[i] for i in ids if i in names])
             lead, self.begun = " " if self.begun and text else "", self.begun or bool(text)
             return lead + text
-        byte_of, data = self.tokenizer.byte_of, bytearray()
-        for name in (names[i] for i in ids if i in names):
-            try:
-                data += bytes([byte_of[c] for c in name])
-            except KeyError:
-                data += name.encode()
-        return self.state.decode(bytes(data), final)
+        return self.state.decode(b"".join(map(self.tokenizer.bytes_of, ids)), final)
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4")
@@ -168,15 +162,8 @@ class IncrementalDecoder:
         return "".join([*parts, self.feed((), final=True)])
 
 
-_TRANSDUCERS: dict[int, Transducer] = {}
-
-
 def transducer_of(text: str) -> Transducer:
-    tokenizer = tokenizer_of(text)
-    if id(tokenizer) not in _TRANSDUCERS:
-        _TRANSDUCERS.clear()
-        _TRANSDUCERS[id(tokenizer)] = Transducer(tokenizer)
-    return _TRANSDUCERS[id(tokenizer)]
+    return kept(("transducer", digest(text)), lambda: Transducer(TokenizerFile(text)))
 
 
 def encode(docs: DataFrame, tokenizer_text: str, decoded: bool = False) -> DataFrame:
