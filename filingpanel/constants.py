@@ -57,6 +57,7 @@ ARCHIVE_LAST = dt.date(2021, 6, 30)
 
 # File-name patterns. A historical name holds two digits of the year and two of the
 # month; two-digit years from 76 on belong to the 1900s. A bulk name holds a date of eight digits.
+BULK_YEARS = (1985, 2030)
 CALL_NAME = r"call?p?(\d{4})"
 CENTURY_FROM = 76
 EIGHT_DIGITS = r"(\d{8})"

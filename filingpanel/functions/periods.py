@@ -5,18 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from filingpanel.constants import CALL_NAME, CENTURY_FROM, EIGHT_DIGITS
+from filingpanel.constants import BULK_YEARS, CALL_NAME, CENTURY_FROM, EIGHT_DIGITS
 
 QUARTER_END = "quarter_end"
 MONTH_START = "month_start"
 
-_OLD_YEAR = f"(?:{CENTURY_FROM // 10}[{CENTURY_FROM % 10}-9]|[{CENTURY_FROM // 10 + 1}-9]\\d)"
-_QUARTER_MONTH = "(?:03|06|09|12)"
-_MONTH = "(?:0[1-9]|1[0-2])"
-_DAY = "(?:0[1-9]|[12]\\d|3[01])"
-_YEAR = "(?:198[5-9]|199\\d|20[0-2]\\d|2030)"
-
-
 def _as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -78,12 +71,13 @@ def period_from_call_name(name: Column | str) -> Column:
     Two-digit years from 76 on belong to the 1900s. Names without the pattern, or with a month
     that ends no quarter, give null.
     """
-    # Each step feeds the next once: an expression that names its input several times would
-    # have it evaluated as often.
-    digits = F.regexp_extract(F.lower(_as_col(name)), CALL_NAME, 1)
-    with_century = F.regexp_replace(digits, rf"^({_OLD_YEAR}{_QUARTER_MONTH})$", "19$1")
-    with_century = F.regexp_replace(with_century, rf"^(\d\d{_QUARTER_MONTH})$", "20$1")
-    return F.last_day(F.try_to_date(with_century, "yyyyMM"))
+
+    def read(digits: Column) -> Column:
+        year, month = F.substring(digits, 1, 2).try_cast("int"), F.substring(digits, 3, 2).try_cast("int")
+        century = F.when(year >= CENTURY_FROM, 1900).otherwise(2000)
+        return F.when(month.isin(3, 6, 9, 12), F.last_day(F.make_date(century + year, month, F.lit(1))))
+
+    return _once(F.regexp_extract(F.lower(_as_col(name)), CALL_NAME, 1), read)
 
 
 def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Column:
@@ -92,10 +86,24 @@ def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Colum
     Only the plausibility of month, day (1-31) and year (1985-2030) is checked; the quarter
     follows from the month. Names that fit neither order give null.
     """
-    digits = F.regexp_extract(_as_col(name), EIGHT_DIGITS, 1)
-    year_month = F.regexp_replace(digits, f"^({_MONTH}){_DAY}({_YEAR})$", "$2$1")
-    year_month = F.regexp_replace(year_month, f"^({_YEAR}{_MONTH}){_DAY}$", "$1")
-    return reporting_period(F.try_to_date(year_month, "yyyyMM"), style)
+
+    def part(digits: Column, start: int, length: int) -> Column:
+        return F.substring(digits, start, length).try_cast("int")
+
+    def quarter_start(year: Column, month: Column, day: Column) -> Column:
+        plausible = year.between(*BULK_YEARS) & month.between(1, 12) & day.between(1, 31)
+        return F.when(plausible, F.make_date(year, month, F.lit(1)))
+
+    def read(digits: Column) -> Column:
+        month_first = quarter_start(part(digits, 5, 4), part(digits, 1, 2), part(digits, 3, 2))
+        return F.coalesce(month_first, quarter_start(part(digits, 1, 4), part(digits, 5, 2), part(digits, 7, 2)))
+
+    return reporting_period(_once(F.regexp_extract(_as_col(name), EIGHT_DIGITS, 1), read), style)
+
+
+def _once(value: Column, read) -> Column:
+    """``read`` of a value that is evaluated a single time, however often ``read`` names it."""
+    return F.element_at(F.transform(F.array(value), read), 1)
 
 
 def call_file_name(period: Column | str, suffix: str = ".zip") -> Column:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Sequence
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,22 +16,21 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 _TAG = r"<[^>]+>"
 _NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
 
-# Dates as they occur in dictionary exports, most frequent first: the form of the text, and how to
-# read it. Trying a format on a text of another form costs an exception per row.
-DATE_FORMATS = (
-    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d [AP]M", "M/d/yyyy h:mm:ss a"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
-    (r"\d{4}-\d\d-\d\d", "yyyy-MM-dd"),
-    (r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", "yyyy-MM-dd HH:mm:ss"),
-    (r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", "yyyy-MM-dd'T'HH:mm:ss"),
-    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d:\d\d", "M/d/yyyy H:mm:ss"),
-    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d", "M/d/yyyy H:mm"),
-    (r"\d{8}", "yyyyMMdd"),
-    (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
-    (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
-    (r"[A-Z][a-z]{2} \d{1,2}, \d{4}", "MMM d, yyyy"),
-    (r"[A-Z][a-z]{3,} \d{1,2}, \d{4}", "MMMM d, yyyy"),
+# A time of day at the end of a date, with or without seconds, fractions, AM or PM, and a zone.
+_TIME = r"[T ]+\d{1,2}:\d\d(?::\d\d(?:\.\d+)?)?\s*(?:[AP]\.?M\.?)?\s*(?:Z|UTC|GMT|[+-]\d\d:?\d\d)?$"
+_WEEKDAY = r"^(?:MON|TUE|WED|THU|FRI|SAT|SUN)[A-Z]*,? +"
+
+# The forms of a date without its time, in capitals: a pattern, and which of its groups are year, month and day.
+_DATE_FORMS = (
+    (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$", 1, 2, 3),
+    (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})$", 3, 1, 2),
+    (r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
+    (r"^(\d{1,2})[- ]([A-Z]{3,9})\.?,?[- ](\d{4}|\d{2})$", 3, 2, 1),
+    (r"^([A-Z]{3,9})\.? (\d{1,2}),? +(\d{4}|\d{2})$", 3, 1, 2),
 )
+_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+# Two-digit years from here on belong to the 1900s, as in the C library's %y.
+_OLD_FROM = 69
 
 
 @F.pandas_udf(StringType())
@@ -72,14 +69,34 @@ def parse_filer_id(text: Column) -> Column:
     return parse_number(text).try_cast("bigint")
 
 
-def parse_date(text: Column, formats: Sequence[tuple[str, str]] = DATE_FORMATS) -> Column:
-    """Text in any of ``formats`` (pattern, format) as DATE, null where none fits."""
-    trimmed = F.trim(text)
-    parsed = None
-    for form, date_format in formats:
-        branch = (trimmed.rlike(f"^{form}$"), F.try_to_date(trimmed, date_format))
-        parsed = F.when(*branch) if parsed is None else parsed.when(*branch)
-    return parsed
+def parse_date(text: Column) -> Column:
+    """Text as DATE: numbers or month names in any usual order, with or without a time; null where there is no date.
+
+    ``a/b/yyyy`` is month before day unless only the other order is a date. A time of day and a zone
+    after it are left out, and letters may have any case.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.upper(F.trim(text)), _WEEKDAY, ""), _TIME, "")
+
+    def read(date: Column) -> Column:
+        found = F.lit(None).cast("date")
+        for form, year, month, day in reversed(_DATE_FORMS):
+            y, m, d = (F.regexp_extract(date, form, group) for group in (year, month, day))
+            old = F.when(F.length(y) < 4, F.when(y.try_cast("int") >= _OLD_FROM, F.lit("19")).otherwise(F.lit("20"))).otherwise(F.lit(""))
+            if "[A-Z]" in form:
+                place = F.position(F.substring(m, 1, 3), F.lit(_MONTHS))
+                m = F.when(place % 3 == 1, ((place + 2) / 3).cast("int").cast("string"))
+            whole = _date_of(F.concat(old, y), m, d)
+            if year == 3 and month == 1 and "[A-Z]" not in form:
+                whole = F.coalesce(whole, _date_of(F.concat(old, y), d, m))
+            found = F.when(date.rlike(form), whole).otherwise(found)
+        return found
+
+    # Bound once: the stripped text is looked at by every form.
+    return F.element_at(F.transform(F.array(bare), read), 1)
+
+
+def _date_of(year: Column, month: Column, day: Column) -> Column:
+    return F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
 
 
 def decode_bytes(content: Column) -> Column:

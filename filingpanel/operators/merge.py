@@ -7,38 +7,72 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+
+# Rows that one key may become where rows of repeated keys are multiplied.
+MULTIPLIED_AT_MOST = 10_000
 
 
 def merge_schedules(
-    members: Sequence[DataFrame], key: str, coalesce: bool = False, hot_keys: bool = False
+    members: Sequence[DataFrame],
+    key: str,
+    coalesce: bool = False,
+    multiply: bool = False,
+    at_most: int = MULTIPLIED_AT_MOST,
 ) -> DataFrame:
     """Full outer merge of wide members; of a column in several members the first member's wins.
 
     First wins per column, not per value: a filer that only a later member has gets NULL there.
-    ``coalesce=True`` fills those from the later members instead. Repeated keys multiply rows.
-    Every further member costs two shuffles; see ``merge_unique_schedules`` for many members.
+    ``coalesce=True`` fills those from the later members instead. One shuffle for any number of members.
 
-    A key repeated so often that its rows are too many for one task needs ``hot_keys=True``: the
-    full join, which cannot be split, is then put together from joins that can.
+    Rows that repeat a key align with the other members' rows of the same place, in the order of their
+    values; the rest stay rows of their own. ``multiply=True`` combines each with each instead, as a join
+    does, and raises an error first if a key would become more than ``at_most`` rows.
     """
-    join = _splittable_full_join if hot_keys else _full_join
+    if multiply:
+        return _multiplied(members, key, coalesce, at_most)
+    owned: dict[str, list[str]] = {}  # column -> what it is called while the members are stacked
+    parts = []
+    for ordinal, member in enumerate(members):
+        chosen = []
+        for column in member.columns:
+            if column != key and (coalesce or column not in owned):
+                name = f"_{ordinal}_{len(chosen)}"
+                owned.setdefault(column, []).append(name)
+                chosen.append(F.col(f"`{column}`").alias(name))
+        parts.append(member.select(F.col(f"`{key}`").alias("_key"), F.lit(ordinal).alias("_member"), *chosen))
+    # Brought together by key once: place within the member, and the merge itself, need no further shuffle.
+    stacked = union_sources(parts).repartition("_key")
+    names = [name for group in owned.values() for name in group]
+    place = F.row_number().over(Window.partitionBy("_key", "_member").orderBy(*names)) if names else F.lit(1)
+    merged = stacked.withColumn("_place", place).groupBy("_key", "_place").agg(
+        F.count("*").alias("_rows"), *[F.max(name).alias(name) for name in names]
+    )
+    columns = [F.coalesce(*group).alias(column) for column, group in owned.items()]
+    return merged.select(F.col("_key").alias(key), *columns)
+
+
+def _multiplied(members: Sequence[DataFrame], key: str, coalesce: bool, at_most: int) -> DataFrame:
+    counts = [m.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count("*").cast("double").alias("n")) for m in members]
+    products = union_sources(counts).groupBy("_key").agg(F.exp(F.sum(F.log("n"))).alias("n"))
+    worst = products.agg(F.max("n")).first()[0]
+    if worst is not None and worst > at_most + 0.5:
+        raise ValueError(f"a repeated key would become {worst:.0f} rows, more than {at_most}")
 
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
         shared = [c for c in right.columns if c in left.columns and c != key]
         if not coalesce:
             # Dropped before the join, so the losing columns are never read or shuffled.
-            return join(left, right.drop(*shared), key)
+            return _splittable_full_join(left, right.drop(*shared), key)
         renamed = right.withColumnsRenamed({c: f"_later_{i}" for i, c in enumerate(shared)})
         filled = {c: F.coalesce(F.col(f"`{c}`"), F.col(f"_later_{i}")) for i, c in enumerate(shared)}
-        return join(left, renamed, key).withColumns(filled).drop(*[f"_later_{i}" for i in range(len(shared))])
+        joined = _splittable_full_join(left, renamed, key).withColumns(filled)
+        return joined.drop(*[f"_later_{i}" for i in range(len(shared))])
 
     return reduce(step, members)
 
 
-def _full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right, key, "full")
-
-
 def _splittable_full_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Matches and the rest of either side apart: adaptive execution can split each of these."""
     both = left.join(right, key)

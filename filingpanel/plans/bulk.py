@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ALWAYS_KEEP_BULK, CUTOFF_ENTITY
@@ -20,12 +21,14 @@ from filingpanel.plans.panel import (
     headers_of,
     member_errors,
     member_table,
+    outcomes,
     quarter_status,
+    staged_rows,
     with_occurrence,
     without_members,
 )
-from filingpanel.session import staged
-from filingpanel.sources.cells import HEADER_ROW
+from filingpanel.session import recorded, staged
+from filingpanel.sources.cells import OUT_OF_RANGE, ROWS, SKIPPED, UNDATED
 from filingpanel.sources.delimited import read_delimited
 from filingpanel.sources.files import list_files, plain_name
 
@@ -53,16 +56,23 @@ def bulk_panel(
     Quarter, date range and quarters to skip are decided from the file names, before any file
     is opened. The decoded rows are written once, as three tables are derived from them.
     """
-    period = period_from_bulk_name(plain_name())
-    keep = period.isNotNull()
-    if start is not None:
-        keep = keep & (period >= F.lit(start))
-    if end is not None:
-        keep = keep & (period <= F.lit(end))
-    if skip_quarters:
-        keep = keep & ~quarter_label(period).isin(*skip_quarters)
-    decoded = staged(read_delimited(spark, paths, keep), "bulk")
-    return assemble_bulk(decoded, dictionary, period_style, on_duplicate)
+
+    def state_of(name) -> Column:
+        period = period_from_bulk_name(name)
+        state = F.when(period.isNull(), UNDATED)
+        if start is not None:
+            state = state.when(period < F.lit(start), OUT_OF_RANGE)
+        if end is not None:
+            state = state.when(period > F.lit(end), OUT_OF_RANGE)
+        return state.when(quarter_label(period).isin(*skip_quarters), SKIPPED) if skip_quarters else state
+
+    listing = list_files(spark, paths, LISTED).select(
+        "path", quarter_label(period_from_bulk_name("file_name")).alias("quarter"), state_of("file_name").alias("state")
+    )
+    with recorded() as folders:
+        decoded = staged_rows(read_delimited(spark, paths, state_of(plain_name()).isNull()), "bulk")
+        panel = assemble_bulk(decoded, dictionary, period_style, on_duplicate, listing)
+    return replace(panel, folders=tuple(folders))
 
 
 def assemble_bulk(
@@ -70,8 +80,10 @@ def assemble_bulk(
     dictionary: DataFrame | None = None,
     period_style: str = QUARTER_END,
     on_duplicate: str = "first",
+    listing: DataFrame | None = None,
+    earlier: DataFrame | None = None,
 ) -> Panel:
-    """The panel from decoded rows. ``decoded`` should be a written table: it is read several times."""
+    """The panel from decoded rows, written by ``staged_rows``: they are read several times."""
     check_duplicate_rule(on_duplicate)
     dated = decoded.withColumns(
         {
@@ -81,9 +93,9 @@ def assemble_bulk(
         }
     )
     members = member_table(dated)
-    excluded = excluded_members(members, on_duplicate)
+    excluded = excluded_members(members, on_duplicate, earlier)
     used = without_members(dated, excluded)
-    rows = with_occurrence(used.where(F.col("row_no") > HEADER_ROW))
+    rows = with_occurrence(used.where(F.col("kind") == ROWS))
     columns = staged(_merged_columns(used, rows), "columns")
     keys = ("entity_type", "quarter", "period", "filer_id", "occurrence")
     catalog = columns.where("first").select(
@@ -98,7 +110,15 @@ def assemble_bulk(
     filers = rows.select(*keys).distinct().withColumn("entity_code", F.lit(None).cast("int"))
     kept = prune_catalog(catalog, dictionary, ALWAYS_KEEP_BULK)
     status = quarter_status(filers, kept, member_errors(dated, F.lit(CUTOFF_ENTITY)))
-    return Panel(_merged_values(rows, columns, keys), filers, kept, status)
+    if listing is None:
+        listing = members.select("path", "quarter", F.lit(None).cast("string").alias("state")).distinct()
+    inputs = staged(outcomes(listing, members, excluded, "bulk"), "inputs")
+    values = _with_verdicts(rows, columns, keys)
+
+    def expand(joined: DataFrame) -> DataFrame:
+        return _typed_values(joined, keys)
+
+    return Panel(expand(values), filers, kept, status, inputs, values, expand)
 
 
 def _merged_columns(used: DataFrame, rows: DataFrame) -> DataFrame:
@@ -125,17 +145,21 @@ def _merged_columns(used: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _merged_values(rows: DataFrame, columns: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Typed values of the winning columns.
+def _with_verdicts(rows: DataFrame, columns: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the verdicts on their member's columns, as one array by column position.
 
-    The verdicts of a member are joined to its rows as one array by column position, before the
-    values are exploded: one lookup per filer row instead of one per value.
+    They join before the values are exploded: one lookup per filer row instead of one per value.
     """
     member = ["path", "member_ordinal"]
     verdict = F.when(F.col("first"), F.col("is_numeric"))
     by_position = F.array_sort(F.collect_list(F.struct("ordinal", verdict.alias("numeric"))))
     verdicts = columns.groupBy(*member).agg(F.transform(by_position, lambda c: c["numeric"]).alias("_numeric"))
-    exploded = rows.join(verdicts, member).select(*keys, "_numeric", F.explode("cells").alias("_c"))
+    return rows.join(verdicts, member).select(*keys, "_numeric", "cells")
+
+
+def _typed_values(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Typed values of the winning columns."""
+    exploded = joined.select(*keys, "_numeric", F.explode("cells").alias("_c"))
     typed = exploded.select(
         *keys, "_c.variable", "_c.raw", F.get(F.col("_numeric"), F.col("_c.ordinal")).alias("is_numeric")
     ).where(F.col("is_numeric").isNotNull())

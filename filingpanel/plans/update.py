@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,11 @@ from filingpanel.plans.bulk import bulk_panel
 from filingpanel.plans.historical import historical_panel
 from filingpanel.plans.panel import PANEL_KEYS, Panel, wide_panel
 from filingpanel.sinks.panel import write_panel, write_wide
+from filingpanel.sources.cells import SKIPPED
 from filingpanel.sources.panel import processed_quarters, read_panel
 
+EXPORTS_AT_ONCE = 4
+
 
 def update_historical(
     spark: SparkSession,
@@ -33,11 +37,10 @@ def update_historical(
     Returns the status of the run, skipped quarters included. A quarter counts as processed once
     its file was, also if it had no filer of some entity type.
     """
-    others = [e for e in ENTITY_CODES if e != CUTOFF_ENTITY]
-    skip = [] if force else processed_quarters(spark, folder, others)
+    skip = [] if force else processed_quarters(spark, folder, "historical")
     rule = "last" if force else "first"
     panel = historical_panel(spark, paths, dictionary, start, end, skip, rule)
-    return _write(spark, panel, folder, skip, tuple(ENTITY_CODES))
+    return _write(panel, folder, tuple(ENTITY_CODES))
 
 
 def update_bulk(
@@ -51,25 +54,29 @@ def update_bulk(
     period_style: str = QUARTER_END,
 ) -> DataFrame:
     """Add the bulk quarters of commercial banks that the panel in ``folder`` lacks."""
-    skip = [] if force else processed_quarters(spark, folder, [CUTOFF_ENTITY])
+    skip = [] if force else processed_quarters(spark, folder, "bulk")
     rule = "last" if force else "first"
     panel = bulk_panel(spark, paths, dictionary, start, end, skip, period_style, rule)
-    return _write(spark, panel, folder, skip, (CUTOFF_ENTITY,))
+    return _write(panel, folder, (CUTOFF_ENTITY,))
 
 
-def _write(
-    spark: SparkSession, panel: Panel, folder: str, skip: Sequence[str], entities: Sequence[str]
-) -> DataFrame:
+def _write(panel: Panel, folder: str, entities: Sequence[str]) -> DataFrame:
+    """Write, and return the run's status: a row for each file given that was skipped, too."""
     write_panel(panel, folder)
-    pairs = [(entity, quarter) for entity in entities for quarter in skip]
-    skipped = spark.createDataFrame(pairs, "entity_type string, quarter string").select(
-        "*",
-        F.lit("skipped").alias("state"),
+    spark = panel.status.sparkSession
+    skipped = panel.inputs.where(F.col("state") == SKIPPED).select(
+        F.explode(F.array(*map(F.lit, entities))).alias("entity_type"),
+        "quarter",
+        "state",
         F.lit(0).cast("bigint").alias("records"),
         F.lit(0).cast("bigint").alias("columns"),
         F.lit(None).cast("string").alias("message"),
     )
-    return union_sources([panel.status, skipped])
+    rows = union_sources([panel.status, skipped])
+    # Read off before the intermediate tables go: one row for each entity type and file.
+    status = spark.createDataFrame(rows.collect(), rows.schema)
+    panel.release()
+    return status
 
 
 def export_wide(
@@ -84,10 +91,13 @@ def export_wide(
     """
     panel = read_panel(spark, folder)
     datasets = panel.filers.groupBy(*PANEL_KEYS).agg(F.max("entity_code").isNull().alias("bulk"))
-    written = []
-    for entity_type, quarter, bulk in datasets.orderBy(*PANEL_KEYS).collect():
+    def write(dataset) -> str:
+        entity_type, quarter, bulk = dataset
         target = os.path.join(out, entity_type, f"{quarter}.parquet")
         order, rest = ((ID_COLUMN, PERIOD_COLUMN), "sorted") if bulk else (LEAD_COLUMNS, "original")
         write_wide(wide_panel(panel, entity_type, quarter, dictionary, order, rest), target)
-        written.append(target)
-    return written
+        return target
+
+    # Jobs of their own: some at a time fill the cluster while others end.
+    with ThreadPool(EXPORTS_AT_ONCE) as pool:
+        return pool.map(write, datasets.orderBy(*PANEL_KEYS).collect(), chunksize=1)

@@ -7,6 +7,9 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,5 +79,29 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     """
     spark = df.sparkSession
     folder = shared_folder(spark, name)
+    if (kept := _RECORDED.get()) is not None:
+        kept.append(folder)
     df.write.partitionBy(*partition_by).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+_RECORDED: ContextVar[list[str] | None] = ContextVar("staged folders", default=None)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of everything staged meanwhile, for ``remove``."""
+    folders: list[str] = []
+    token = _RECORDED.set(folders)
+    try:
+        yield folders
+    finally:
+        _RECORDED.reset(token)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete files or folders, with the session's own file systems."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)

@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from filingpanel.operators.coverage import with_quarter_parts
-from filingpanel.operators.merge import without_processed
 from filingpanel.plans.panel import PANEL_KEYS, Panel
+from filingpanel.session import remove
+from filingpanel.sources.files import list_files
 
 PANEL_TABLES = ("facts", "filers", "catalog")
 
@@ -24,7 +27,11 @@ def write_partitioned(
     combinations that occur in ``df`` and leaves the others; ``"all"`` overwrites everything;
     ``"nothing"`` appends.
     """
-    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).option("compression", "snappy")
+    _write_keyed(df.hint("rebalance", *keys), folder, keys, replace)
+
+
+def _write_keyed(df: DataFrame, folder: str, keys: Sequence[str], replace: str) -> None:
+    writer = df.write.partitionBy(*keys).option("compression", "snappy")
     if replace == "partitions":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(folder)
     elif replace == "all":
@@ -36,11 +43,40 @@ def write_partitioned(
 
 
 def write_panel(panel: Panel, folder: str, replace: str = "partitions") -> None:
-    """All tables of a panel; the status is written last, so it never claims unwritten quarters."""
+    """All tables of a panel; status and inputs are written last, so they never claim unwritten quarters.
+
+    A quarter of an entity type that the panel reports as processed is replaced in every table, also
+    in one that has no row of it any more. Facts are spread as filer rows and exploded afterwards, so
+    their keys cross the network once a row and not once a value.
+    """
+    spark = panel.status.sparkSession
+    quarters = panel.status.where(F.col("state") == "processed").select(*PANEL_KEYS).distinct()
+    before = {} if replace != "partitions" else {t: _files_of(spark, os.path.join(folder, t), quarters) for t in PANEL_TABLES}
     for table in PANEL_TABLES:
-        write_partitioned(getattr(panel, table), os.path.join(folder, table), replace=replace)
+        target = os.path.join(folder, table)
+        if table == "facts" and panel.values is not None:
+            _write_keyed(panel.expand(panel.values.hint("rebalance", *PANEL_KEYS)), target, PANEL_KEYS, replace)
+        else:
+            write_partitioned(getattr(panel, table), target, replace=replace)
+        # What was there before and was not overwritten belongs to quarters without rows now.
+        after = set(_files_of(spark, target, quarters)) if before.get(table) else set()
+        remove(spark, [path for path in before.get(table, ()) if path in after])
     mode = "overwrite" if replace == "all" else "append"
     panel.status.hint("rebalance").write.mode(mode).parquet(os.path.join(folder, "status"))
+    if panel.inputs is not None:
+        panel.inputs.hint("rebalance").write.mode(mode).parquet(os.path.join(folder, "inputs"))
+
+
+def _files_of(spark: SparkSession, folder: str, quarters: DataFrame) -> list[str]:
+    """The data files of some quarters in a partitioned table; none if there is no table yet."""
+    try:
+        files = list_files(spark, folder, "*.parquet", recursive=True)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    keyed = files.select("path", *[F.url_decode(F.regexp_extract("path", rf"{k}=([^/]+)/", 1)).alias(k) for k in PANEL_KEYS])
+    return [r["path"] for r in keyed.join(quarters, list(PANEL_KEYS), "left_semi").collect()]
 
 
 def write_wide(wide: DataFrame, folder: str) -> None:
@@ -48,16 +84,11 @@ def write_wide(wide: DataFrame, folder: str) -> None:
     wide.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(folder)
 
 
-def write_new(df: DataFrame, existing: DataFrame, folder: str, keys: Sequence[str] = PANEL_KEYS) -> None:
-    """Append only the rows whose keys do not exist yet."""
-    write_partitioned(without_processed(df, existing.select(*keys).distinct(), keys), folder, keys, "nothing")
-
-
 def write_dictionary(dictionary: DataFrame, folder: str) -> tuple[str, str]:
     """The dictionary sorted by variable, as CSV with header and as Parquet."""
     csv, parquet = os.path.join(folder, "data_dictionary.csv"), os.path.join(folder, "data_dictionary.parquet")
     dictionary.orderBy("Variable").write.mode("overwrite").parquet(parquet)
-    # From the stored table, so that the dictionary is built once.
+    # From the stored table, so that the dictionary is built once, and in its order.
     stored = dictionary.sparkSession.read.parquet(parquet).orderBy("Variable")
     stored.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv)
     return csv, parquet

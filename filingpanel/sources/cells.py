@@ -23,15 +23,18 @@ HEADER_ROW = -1
 _MEMBER = ("path", "source_name", "member_ordinal", "period")
 # Member number of an error that concerns the whole file.
 WHOLE_FILE = -1
+# Not errors: why a file's quarter, known once its archive was opened, was not decoded.
+UNDATED, OUT_OF_RANGE, SKIPPED = "undated", "out_of_range", "skipped"
+NOT_DECODED = (UNDATED, OUT_OF_RANGE, SKIPPED)
+# Kinds of rows; a staged table is partitioned by them, so that headers and errors are read apart.
+ROWS, HEADERS, PROBLEMS = "rows", "headers", "problems"
 # What undecodable bytes raise. Errors of reading from a file system are not among them: they
-# fail the task, which Spark repeats.
+# fail the task, which Spark repeats. Neither are mistakes of the decoding code itself.
 DECODE_ERRORS = (
     ValueError,
-    TypeError,
     EOFError,
-    LookupError,
     ArithmeticError,
-    RuntimeError,
+    NotImplementedError,
     csv.Error,
     struct.error,
     zlib.error,

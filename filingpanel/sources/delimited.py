@@ -45,7 +45,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, name, content in zip(*(batch.column(i) for i in range(3))):
             path, name = path.as_py(), name.as_py()
             try:
-                with open_file(path, content.as_py()) as stream:
+                with open_file(content.as_py()) as stream:
                     yield from _cut_file(path, name, stream)
             except cells.DECODE_ERRORS as problem:
                 yield _failed(path, name, cells.WHOLE_FILE, problem)
@@ -63,6 +63,7 @@ def _cut_file(path: str, name: str, stream: BinaryIO) -> Iterator[pa.RecordBatch
         yield from _cut_member(path, name, 0, stream, LOOSE)
         return
     with zipfile.ZipFile(stream) as archive:
+        slices.check_readable(archive)
         members = [m for m in archive.namelist() if m.endswith((".txt", ".csv"))]
         for ordinal, member in enumerate(members):
             with archive.open(member) as probe:

@@ -5,15 +5,14 @@ from __future__ import annotations
 import io
 from collections.abc import Sequence
 from typing import BinaryIO
-from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingpanel.functions.names import base_name, decoded_file_name
 
-# Larger files are not carried through a row: the task that decodes them opens them itself.
-INLINE_BYTES = 512 * 1024 * 1024
+# A row cannot hold more than this; a larger file is reported as unreadable, in batches and streams alike.
+MOST_BYTES = 2_000_000_000
 
 
 def _reader(spark: SparkSession, pattern: str | None, recursive: bool):
@@ -37,23 +36,25 @@ def read_files(
     pattern: str | None = None,
     recursive: bool = False,
     keep: Column | None = None,
-    inline_bytes: int = INLINE_BYTES,
 ) -> DataFrame:
     """``(path, file_name, length, content)`` of the files whose name satisfies ``keep``.
 
     ``keep`` is written over ``decoded_file_name()``, which depends on the listing alone: the
-    files it rejects are never opened. Files above ``inline_bytes`` come with null content and
-    are opened by the decoding task (see ``open_file``); rows have a size limit, files do not.
+    files it rejects are never opened.
+    """
+    files = _reader(spark, pattern, recursive).load(paths if isinstance(paths, str) else list(paths))
+    return with_content(files if keep is None else files.where(keep))
+
+
+def with_content(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """``(path, file_name, length, content)`` of a file listing; null content where a row cannot hold it.
+
+    Every file is read by Spark's own reader, with the session's file systems and credentials.
     """
-    location = paths if isinstance(paths, str) else list(paths)
-    files = _reader(spark, pattern, recursive).load(location)
-    if keep is not None:
-        files = files.where(keep)
-    size = F.col("_metadata.file_size")
     columns = ("path", base_name(F.col("path")).alias("file_name"), "length")
-    inline = files.where(size <= inline_bytes).select(*columns, "content")
-    large = files.where(size > inline_bytes).select(*columns, F.lit(None).cast("binary").alias("content"))
-    return inline.unionByName(large)
+    inside = files.where(F.col("length") <= most_bytes).select(*columns, "content")
+    beyond = files.where(F.col("length") > most_bytes).select(*columns, F.lit(None).cast("binary").alias("content"))
+    return inside.unionByName(beyond)
 
 
 def plain_name() -> Column:
@@ -61,12 +62,8 @@ def plain_name() -> Column:
     return decoded_file_name()
 
 
-def open_file(path: str, content: bytes | None) -> BinaryIO:
-    """The file's bytes as a seekable stream, from the row or from the file system."""
-    if content is not None:
-        return io.BytesIO(content)
-    from pyarrow import fs
-
-    uri = path.replace("s3a://", "s3://", 1) if "://" in path else path.replace("file:", "file://", 1)
-    filesystem, inner = fs.FileSystem.from_uri(quote(uri, safe="/:@"))
-    return filesystem.open_input_file(inner)
+def open_file(content: bytes | None) -> BinaryIO:
+    """A file's bytes as a seekable stream."""
+    if content is None:
+        raise ValueError(f"the file has more than {MOST_BYTES} bytes")
+    return io.BytesIO(content)

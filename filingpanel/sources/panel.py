@@ -18,7 +18,7 @@ from filingpanel.functions.names import base_name, megabytes
 from filingpanel.operators.coverage import filer_counts
 from filingpanel.operators.merge import union_sources
 from filingpanel.operators.prune import profile_columns
-from filingpanel.plans.panel import Panel
+from filingpanel.plans.panel import Panel, latest_inputs
 from filingpanel.sources.files import list_files
 
 FLAT = "All"
@@ -29,15 +29,23 @@ def read_panel(spark: SparkSession, folder: str) -> Panel:
     return Panel(*[spark.read.parquet(os.path.join(folder, t)) for t in ("facts", "filers", "catalog", "status")])
 
 
-def processed_quarters(spark: SparkSession, folder: str, entities: Sequence[str]) -> list[str]:
-    """Quarters that the panel's status reports as processed for any of the entity types.
+def read_inputs(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The present state of every input file of a panel, or None where there is no panel yet."""
+    inputs = os.path.join(folder, "inputs")
+    if list_or_none(spark, inputs) is None:
+        return None
+    return latest_inputs(spark.read.parquet(inputs))
+
+
+def processed_quarters(spark: SparkSession, folder: str, source: str) -> list[str]:
+    """Quarters of which a file of this source (``historical`` or ``bulk``) was processed.
 
     The driver sees at most one label per calendar quarter.
     """
-    status = os.path.join(folder, "status")
-    if list_or_none(spark, status) is None:
+    inputs = read_inputs(spark, folder)
+    if inputs is None:
         return []
-    done = spark.read.parquet(status).where((F.col("state") == "processed") & F.col("entity_type").isin(*entities))
+    done = inputs.where((F.col("state") == "processed") & (F.col("source") == source))
     return sorted(r["quarter"] for r in done.select("quarter").distinct().collect())
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import csv
 import io
+import zipfile
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -68,6 +69,12 @@ def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(row, 1).to_pylist()[0]
 
 
+def check_readable(archive: zipfile.ZipFile) -> None:
+    """Encrypted members are bad input, told apart here from mistakes that raise the same error."""
+    if any(member.flag_bits & 1 for member in archive.infolist()):
+        raise ValueError("the archive is encrypted")
+
+
 def spread(slices: DataFrame) -> DataFrame:
     """Slices in partitions of even size, whatever file they come from."""
     return slices.hint("rebalance")

@@ -6,23 +6,24 @@ import datetime as dt
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from filingpanel.constants import CALL_NAME, CENTURY_FROM, CODE_COLUMN, ID_COLUMN
-from filingpanel.functions.periods import period_from_call_name
+from filingpanel.functions.periods import period_from_call_name, quarter_label
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.sources import cells, slices
-from filingpanel.sources.files import open_file, read_files
+from filingpanel.sources.files import open_file, plain_name, read_files
 
 PATTERN = "*.{xpt,zip}"
-# The decoder returns a stored zero as a tiny positive number; no filing value is that small.
-_ZERO_BELOW = 1e-70
+# What the decoder returns for a stored zero: 16 to the power of -65, the format's least exponent.
+_STORED_ZERO = 2.0**-260
 
 
 def read_xport(
@@ -32,13 +33,35 @@ def read_xport(
     end: dt.date | None = None,
     blank_is_data: bool = True,
     pattern: str = PATTERN,
+    skip_quarters: Sequence[str] = (),
+    keep: Column | None = None,
 ) -> DataFrame:
     """Decoded rows (``cells.CELL_SCHEMA``) of the quarter files below ``paths``.
 
-    The period is in the name of the transport file itself, which for archives is a member
-    name: archives are opened, but members outside [start, end] are not decoded.
+    Files whose own name has a quarter outside [start, end], or one to skip, are never opened. An
+    archive without a quarter in its name is opened, but a member that is not wanted is not decoded.
     """
-    return decode_xport(read_files(spark, paths, pattern), start, end, blank_is_data)
+    wanted = name_wanted(plain_name(), start, end, skip_quarters)
+    files = read_files(spark, paths, pattern, keep=wanted if keep is None else wanted & keep)
+    return decode_xport(files, start, end, blank_is_data, skip_quarters)
+
+
+def name_state(name: Column, start: dt.date | None, end: dt.date | None, skip_quarters: Sequence[str]) -> Column:
+    """Why a file is not opened, from its name alone; null where it is."""
+    period = period_from_call_name(name)
+    outside = F.lit(False)
+    if start is not None:
+        outside = outside | (period < F.lit(start))
+    if end is not None:
+        outside = outside | (period > F.lit(end))
+    skipped = quarter_label(period).isin(*skip_quarters) if skip_quarters else F.lit(False)
+    undated = period.isNull() & ~F.lower(name).endswith(".zip")
+    state = F.when(undated, cells.UNDATED).when(F.coalesce(outside, F.lit(False)), cells.OUT_OF_RANGE)
+    return state.when(F.coalesce(skipped, F.lit(False)), cells.SKIPPED)
+
+
+def name_wanted(name: Column, start: dt.date | None, end: dt.date | None, skip_quarters: Sequence[str]) -> Column:
+    return name_state(name, start, end, skip_quarters).isNull()
 
 
 def decode_xport(
@@ -46,6 +69,7 @@ def decode_xport(
     start: dt.date | None = None,
     end: dt.date | None = None,
     blank_is_data: bool = True,
+    skip_quarters: Sequence[str] = (),
 ) -> DataFrame:
     """Decode files given as ``(path, file_name, content)``; one quarter file per row."""
 
@@ -54,7 +78,7 @@ def decode_xport(
             for path, name, content in zip(*(batch.column(i) for i in range(3))):
                 path, name = path.as_py(), name.as_py()
                 try:
-                    yield from _cut_file(path, name, content.as_py(), start, end)
+                    yield from _cut_file(path, name, content.as_py(), start, end, tuple(skip_quarters))
                 except cells.DECODE_ERRORS as problem:
                     yield slices.slice_batch(
                         path=path,
@@ -72,30 +96,38 @@ def decode_xport(
     return slices.spread(dated).mapInArrow(parse, cells.CELL_SCHEMA)
 
 
-def _in_range(name: str, start: dt.date | None, end: dt.date | None) -> bool:
-    """Whether the quarter in a file name can lie in the range; the month's last days decide nothing."""
+def _state_of(name: str, start: dt.date | None, end: dt.date | None, skip: tuple[str, ...]) -> str | None:
+    """Why a member's quarter is not decoded; the month's last days decide nothing."""
     match = re.search(CALL_NAME, name.lower())
-    if match is None:
-        return False
-    year, month = int(match[1][:2]), int(match[1][2:])
-    month_key = (year + (1900 if year >= CENTURY_FROM else 2000)) * 12 + month
-    low = start.year * 12 + start.month if start else month_key
-    high = end.year * 12 + end.month if end else month_key
-    return low <= month_key <= high
-
-
-def _cut_file(path, name, content, start, end) -> Iterator[pa.RecordBatch]:
-    with open_file(path, content) as stream:
+    year, month = (int(match[1][:2]), int(match[1][2:])) if match else (0, 0)
+    if month not in (3, 6, 9, 12):
+        return cells.UNDATED
+    year += 1900 if year >= CENTURY_FROM else 2000
+    low = start.year * 12 + start.month if start else 0
+    high = end.year * 12 + end.month if end else year * 12 + month
+    if not low <= year * 12 + month <= high:
+        return cells.OUT_OF_RANGE
+    return cells.SKIPPED if f"{year}Q{month // 3}" in skip else None
+
+
+def _cut_file(path, name, content, start, end, skip=()) -> Iterator[pa.RecordBatch]:
+    with open_file(content) as stream:
         if not name.lower().endswith(".zip"):
-            if _in_range(name, start, end):
-                yield from _cut_quarter(path, name, stream)
-            return
-        with zipfile.ZipFile(stream) as archive:
+            source, member = name, None
+        else:
+            archive = zipfile.ZipFile(stream)
+            slices.check_readable(archive)
             member = next((m for m in archive.namelist() if m.lower().endswith(".xpt")), None)
             if member is None:
                 raise ValueError("no transport file in the archive")
             source = member.rsplit("/", 1)[-1]
-            if _in_range(source, start, end):
+        state = _state_of(source, start, end, skip)
+        if state is not None:
+            yield slices.slice_batch(path=path, source_name=source, member_ordinal=cells.WHOLE_FILE, error=state)
+        elif member is None:
+            yield from _cut_quarter(path, source, stream)
+        else:
+            with archive:
                 yield from _cut_quarter(path, source, io.BytesIO(archive.read(member)))
 
 
@@ -168,7 +200,7 @@ def _decode_slice(piece: dict, blank_is_data: bool) -> Iterator[pa.RecordBatch]:
         column = rows.iloc[:, i]
         if numeric[i]:
             values = column.to_numpy(dtype=float)
-            numbers[:, position] = np.where(np.abs(values) < _ZERO_BELOW, 0.0, values)
+            numbers[:, position] = np.where(np.abs(values) == _STORED_ZERO, 0.0, values)
         else:
             decoded = column.map(_text, na_action="ignore")
             texts[:, position] = decoded if blank_is_data else decoded.where(decoded != "", None)

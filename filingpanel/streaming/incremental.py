@@ -1,8 +1,9 @@
 """Panels kept up to date as archives arrive.
 
 A file stream with a checkpoint processes every archive once, also across restarts. Each batch
-is an ordinary panel job over the new files. There is no state and no watermark: a quarter's
-archive is complete in itself.
+is an ordinary panel job over the new files. There is no watermark: a quarter's archive is complete in
+itself. Of several files of a quarter the first by path stands for it, whichever batch brings it: a
+batch compares its files with those recorded for earlier ones, so batch sizes decide nothing.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from filingpanel.functions.names import base_name
-from filingpanel.functions.periods import period_from_bulk_name
+from filingpanel.functions.periods import period_from_bulk_name, period_from_call_name, quarter_label
 from filingpanel.plans.bulk import assemble_bulk
 from filingpanel.plans.historical import assemble_historical
-from filingpanel.plans.panel import Panel
-from filingpanel.session import staged
+from filingpanel.plans.panel import Panel, staged_rows
+from filingpanel.session import recorded, remove, staged
 from filingpanel.sinks.panel import write_panel
-from filingpanel.sources import delimited, xport
+from filingpanel.sources import cells, delimited, xport
+from filingpanel.sources.files import with_content
+from filingpanel.sources.panel import read_inputs
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -31,10 +34,16 @@ def _file_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch
     return reader.load(folder).withColumn("file_name", base_name(F.col("path")))
 
 
-def _start(files: DataFrame, build: Callable[[DataFrame], Panel], out: str, checkpoint: str) -> StreamingQuery:
+def _start(files: DataFrame, source: str, build, out: str, checkpoint: str) -> StreamingQuery:
     def write_batch(batch: DataFrame, _: int) -> None:
         # Overwriting whole quarters makes a repeated batch harmless.
-        write_panel(build(batch), out, replace="partitions")
+        spark = batch.sparkSession
+        inputs = read_inputs(spark, out)
+        done = None if inputs is None else inputs.where((F.col("state") == "processed") & (F.col("source") == source))
+        with recorded() as folders:
+            earlier = None if done is None else staged(done.groupBy("quarter").agg(F.min("path").alias("path")), "earlier")
+            write_panel(build(batch, earlier), out, replace="partitions")
+        remove(spark, folders)
 
     writer = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
@@ -50,11 +59,14 @@ def ingest_new_bulk(
 ) -> StreamingQuery:
     """Add the bulk archives that arrived since the last run to the panel in ``out``."""
 
-    def build(batch: DataFrame) -> Panel:
-        dated = batch.where(period_from_bulk_name("file_name").isNotNull())
-        return assemble_bulk(staged(delimited.decode_delimited(dated), "bulk"), dictionary)
+    def build(batch: DataFrame, earlier: DataFrame | None) -> Panel:
+        period = period_from_bulk_name("file_name")
+        state = F.when(period.isNull(), cells.UNDATED)
+        listing = staged(batch.select("path", quarter_label(period).alias("quarter"), state.alias("state")), "listing")
+        decoded = staged_rows(delimited.decode_delimited(with_content(batch.where(period.isNotNull()))), "bulk")
+        return assemble_bulk(decoded, dictionary, listing=listing, earlier=earlier)
 
-    return _start(_file_stream(spark, folder, delimited.PATTERN, files_per_batch), build, out, checkpoint)
+    return _start(_file_stream(spark, folder, delimited.PATTERN, files_per_batch), "bulk", build, out, checkpoint)
 
 
 def ingest_new_historical(
@@ -67,10 +79,14 @@ def ingest_new_historical(
 ) -> StreamingQuery:
     """Add the transport files that arrived since the last run to the panel in ``out``."""
 
-    def build(batch: DataFrame) -> Panel:
-        return assemble_historical(staged(xport.decode_xport(batch), "historical"), dictionary)
+    def build(batch: DataFrame, earlier: DataFrame | None) -> Panel:
+        state = xport.name_state(F.col("file_name"), None, None, ())
+        quarter = quarter_label(period_from_call_name("file_name"))
+        listing = staged(batch.select("path", quarter.alias("quarter"), state.alias("state")), "listing")
+        decoded = staged_rows(xport.decode_xport(with_content(batch.where(state.isNull()))), "historical")
+        return assemble_historical(decoded, dictionary, listing=listing, earlier=earlier)
 
-    return _start(_file_stream(spark, folder, xport.PATTERN, files_per_batch), build, out, checkpoint)
+    return _start(_file_stream(spark, folder, xport.PATTERN, files_per_batch), "historical", build, out, checkpoint)
 
 
 def append_new_rows(

@@ -35,6 +35,7 @@ from filingpanel.session import shared_folder, staged
 from filingpanel.sinks.panel import write_dictionary, write_partitioned, write_summary
 from filingpanel.sources.delimited import read_delimited
 from filingpanel.sources.dictionary import read_dictionary_csv
+from filingpanel.sources.files import list_files
 from filingpanel.streaming.incremental import append_new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,25 +501,25 @@ def dictionary_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _schedules(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    customers = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
         F.round(F.sum("o_totalprice"), 2).alias("balance"), F.count("*").alias("n_orders")
     )
-    suppliers = table(spark, sf_dir, "supplier")
+    parts = table(spark, sf_dir, "part")  # their keys reach beyond those of customers
     return [
         customers.select(F.col("c_custkey").alias("filer_id"), F.col("c_acctbal").alias("balance"), "c_name"),
         orders.withColumnRenamed("o_custkey", "filer_id"),
-        suppliers.select(
-            F.col("s_suppkey").alias("filer_id"), F.col("s_acctbal").alias("balance"), "s_name",
+        parts.select(
+            F.col("p_partkey").alias("filer_id"), F.col("p_retailprice").alias("balance"), "p_brand",
             F.lit(None).cast("bigint").alias("n_orders"),
         ),
     ]
 
 
-SCHEDULES_SQL = """a AS (SELECT c_custkey AS filer_id, c_acctbal AS balance, c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
+SCHEDULES_SQL = """a AS (SELECT c_custkey AS filer_id, c_acctbal AS balance, c_name FROM customer),
     b AS (SELECT o_custkey AS filer_id, round(sum(o_totalprice), 2) AS balance_b, count(*) AS n_orders FROM orders GROUP BY 1),
-    c AS (SELECT s_suppkey AS filer_id, s_acctbal AS balance_c, s_name FROM supplier)"""
-MERGE_SQL = f"""WITH {SCHEDULES_SQL} SELECT filer_id, a.balance, a.c_name, b.n_orders, c.s_name
+    c AS (SELECT p_partkey AS filer_id, p_retailprice AS balance_c, p_brand FROM part)"""
+MERGE_SQL = f"""WITH {SCHEDULES_SQL} SELECT filer_id, a.balance, a.c_name, b.n_orders, c.p_brand
     FROM a FULL JOIN b USING (filer_id) FULL JOIN c USING (filer_id)"""
 
 
@@ -533,7 +534,7 @@ def schedule_merge_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(f"""WITH {SCHEDULES_SQL} SELECT filer_id, coalesce(a.balance, b.balance_b, c.balance_c) AS balance, a.c_name,
-    b.n_orders, c.s_name FROM a FULL JOIN b USING (filer_id) FULL JOIN c USING (filer_id)""")
+    b.n_orders, c.p_brand FROM a FULL JOIN b USING (filer_id) FULL JOIN c USING (filer_id)""")
 def schedule_merge_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.merge_schedules(_schedules(spark, sf_dir), "filer_id", coalesce=True)
 
@@ -900,11 +901,11 @@ def gap_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(f"""SELECT entity_type, {_label_sql('i + 1')} AS missing_quarter, CAST(1 AS BIGINT) AS entries, nxt - i - 1 AS missing FROM (
     SELECT entity_type, i, lead(i) OVER (PARTITION BY entity_type ORDER BY i) AS nxt FROM (
-        SELECT DISTINCT o_orderpriority AS entity_type, {INDEX_SQL} AS i FROM orders WHERE month(o_orderdate) NOT IN (1, 2, 3)))
+        SELECT DISTINCT o_orderpriority || ' ' || (o_custkey % 500)::VARCHAR AS entity_type, {INDEX_SQL} AS i FROM orders))
     WHERE nxt > i + 1""")
 def gap_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filed = table(spark, sf_dir, "orders").where(~F.month("o_orderdate").isin(1, 2, 3))
-    filed = filed.select(F.col("o_orderpriority").alias("entity_type"), periods.quarter_end("o_orderdate").alias("period"))
+    group = F.concat_ws(" ", "o_orderpriority", F.col("o_custkey") % 500)
+    filed = table(spark, sf_dir, "orders").select(group.alias("entity_type"), periods.quarter_end("o_orderdate").alias("period"))
     found = gaps.find_gaps(filed.distinct(), "period", ["entity_type"])
     return found.withColumn("missing", F.col("missing").cast("bigint"))
 
@@ -920,18 +921,19 @@ def first_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks ----------------------------------------------------------------------------
 
 
-@registered("""SELECT * FROM (VALUES ('customer'), ('supplier')) s(folder), (SELECT 1::BIGINT AS files) f, LATERAL (
-    SELECT CASE folder WHEN 'customer' THEN (SELECT count(*) FROM customer) ELSE (SELECT count(*) FROM supplier) END AS "rows") r
-    UNION ALL SELECT 'Other', 2, (SELECT count(*) FROM orders) + (SELECT count(*) FROM part)""")
+@registered("""SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_orderpriority ELSE 'Other' END AS folder,
+    CAST(count(DISTINCT o_orderpriority) AS BIGINT) AS files, sum(length(o_orderkey::VARCHAR || ';' || o_orderstatus) + 1) / 1048576 AS size_mb
+    FROM orders GROUP BY 1""")
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = [table(spark, sf_dir, n) for n in ("customer", "supplier", "orders", "part")]
-    files = merge.union_sources(
-        [t.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).count() for t in read]
-    )
-    name = F.regexp_extract("path", r"([^/]+)\.parquet(?:/|$)", 1)
-    grouped = files.withColumn("folder", F.when(name.isin("customer", "supplier"), name).otherwise("Other"))
-    sizes = inventory.size_by(grouped, F.col("folder"), "folder").where(F.col("size_mb") > 0).drop("size_mb")
-    return sizes.join(grouped.groupBy("folder").agg(F.sum("count").alias("rows")), "folder")
+    orders = table(spark, sf_dir, "orders")
+    lines = orders.select("o_orderpriority", F.concat_ws(";", "o_orderkey", "o_orderstatus").alias("line"))
+    folder = shared_folder(spark, "inventory")
+    # One file for each priority, in a folder of its name.
+    lines.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority").write.partitionBy("o_orderpriority").text(folder)
+    listed = list_files(spark, folder, "*.txt", recursive=True)
+    known = [f"o_orderpriority={p}" for p in ("1-URGENT", "2-HIGH")]
+    group = F.regexp_replace(inventory.folder_of(F.col("path"), known), "^o_orderpriority=", "")
+    return inventory.size_by(listed, group, "folder")
 
 
 @registered("""SELECT o_orderkey AS filer_id, 'RCON_PRICE' AS variable, o_totalprice AS num_value, NULL AS str_value FROM orders

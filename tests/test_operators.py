@@ -237,12 +237,21 @@ def test_first_member_wins_without_coalescing(spark, rows):
 def test_repeated_ids(spark):
     a = spark.createDataFrame([(1, 1), (1, 2)], "id int, x int")
     b = spark.createDataFrame([(1, 3), (1, 4)], "id int, y int")
-    assert merge.merge_schedules([a, b], "id").count() == 4
-    assert merge.merge_schedules([a, b], "id", hot_keys=True).count() == 4
+    assert sorted(map(tuple, merge.merge_schedules([a, b], "id").collect())) == [(1, 1, 3), (1, 2, 4)]
+    assert merge.merge_schedules([a, b], "id", multiply=True).count() == 4
+    with pytest.raises(ValueError, match="4 rows, more than 3"):
+        merge.merge_schedules([a, b], "id", multiply=True, at_most=3)
     with pytest.raises(PySparkException, match="repeats a filer id"):
         merge.merge_unique_schedules([a, b], "id").collect()
 
 
+def test_merging_takes_one_shuffle(spark):
+    merged = merge.merge_schedules(members(spark), "id")
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.data())
 def test_merge_like_pandas(spark, data):
@@ -266,7 +275,7 @@ def test_merge_like_pandas(spark, data):
     sparks = [spark.createDataFrame(v, "id int, " + ", ".join(f"{n} int" for n in names)) for v, names in frames]
     for merged in (
         merge.merge_schedules(sparks, "id"),
-        merge.merge_schedules(sparks, "id", hot_keys=True),
+        merge.merge_schedules(sparks, "id", multiply=True),
         merge.merge_unique_schedules(sparks, "id"),
     ):
         assert sorted([tuple(r) for r in merged.select(*order).collect()], key=repr) == expected
