@@ -30,12 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, kept, partitions, prepare, text_or_empty
+from filingpanel.llm.common import partitions, prepare, text_or_empty
 from filingpanel.llm.components import components
 from filingpanel.session import staged
 
 #: Coordinates of the points in the tree, and children of its nodes.
-POINT_GROUPS, FANOUT = 32, 32
+POINT_GROUPS, FANOUT = 128, 32
 
 #: One document of so many is read for frequent n-grams and frequent keys; what counts as frequent there;
 #: and how many of either are told to all tasks at most.
@@ -50,7 +50,8 @@ BLOCK_NODES = 4096
 #: Ids up to this many are broadcast to find their texts; more are joined.
 BROADCAST_IDS = 2_000_000
 
-KEPT_WORDS = 400_000
+#: Bytes that are hashed at once; words beyond this length are hashed apart, alike in every text.
+BLOCK_BYTES, LONG_WORD = 1 << 20, 4096
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)
@@ -103,23 +104,89 @@ class Rule:
         return -(-self.num * total // (self.num + self.den))
 
 
-def _word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether a byte is white space, a random number for each byte, and powers of a base and its inverse."""
+    size = BLOCK_BYTES + 1
+    white = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+    powers = []
+    for base in (_MIX, np.uint64(pow(int(_MIX), -1, 1 << 64))):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        powers.append(np.multiply.accumulate(steps))
+    return white, mixed(np.arange(1, 257, dtype=np.uint64) * _MIX2), *powers
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a block begins, and its hash."""
+    white, letters, powers, inverse = _tables()
+    codes = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = ~white[codes]
+    starts, ends = (np.flatnonzero(x) for x in (inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(letters[codes] * powers[: len(codes)], out=sums[1:])
+    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts])
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
+    return starts, hashes
+
+
+def _long_hashes(blob: bytes) -> np.ndarray:
+    """The word hashes of a text beyond a block: its words in blocks, very long words apart."""
+    out, block, size = [], [], 0
+    for word in [*blob.split(), None]:
+        if block and (word is None or size + len(word) >= BLOCK_BYTES):
+            out.append(_word_hashes(b" ".join(block))[1])
+            block, size = [], 0
+        if word is not None and len(word) >= BLOCK_BYTES - 1:
+            out.append(np.array([xxhash.xxh3_64_intdigest(word)], np.uint64))
+        elif word is not None:
+            block.append(word)
+            size += len(word) + 1
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def shingles(text: str, rule: Rule, words: Memo) -> np.ndarray:
-    """The hashes of a text's distinct word n-grams, in order; of fewer words, the sequence as one."""
-    found = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and ASCII white space
-    if not found:
+def _set_of(hashes: np.ndarray, words: int) -> np.ndarray:
+    """The hashes of a text's distinct n-grams, in order; of fewer words, the sequence as one."""
+    if not len(hashes):
         return np.zeros(0, np.uint64)
-    hashes = np.array([words[w] for w in found], np.uint64)
-    size = min(rule.words, len(found))
+    size = min(words, len(hashes))
     total = np.full(len(hashes) - size + 1, size, np.uint64)
     for k in range(size):
         total = mixed(total * _MIX + hashes[k : k + len(total)])
     return np.unique(total)
 
 
+def shingle_sets(texts: list[str], rule: Rule) -> list[np.ndarray]:
+    """The n-gram set of each text, many texts at a time."""
+    # Bytes: only A-Z are lowered, and only ASCII white space parts words.
+    blobs = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+    out: list = [None] * len(blobs)
+    block: list[int] = []
+    size = 0
+
+    def finish() -> None:
+        starts, hashes = _word_hashes(b" ".join([blobs[i] for i in block]))
+        begins = np.cumsum([0] + [len(blobs[i]) + 1 for i in block])
+        cuts = np.searchsorted(starts, begins)
+        for i, a, b in zip(block, cuts[:-1], cuts[1:]):
+            out[i] = _set_of(hashes[a:b], rule.words)
+
+    for i, blob in enumerate(blobs):
+        if len(blob) >= BLOCK_BYTES:
+            out[i] = _set_of(_long_hashes(blob), rule.words)
+            continue
+        if size + len(blob) >= BLOCK_BYTES:
+            finish()
+            block, size = [], 0
+        block.append(i)
+        size += len(blob) + 1
+    if block:
+        finish()
+    return out
+
+
 def node_of(found: np.ndarray) -> int:
     """What stands for a set: equal sets have equal nodes."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64))
@@ -157,7 +224,7 @@ def keys_of(found: np.ndarray, rule: Rule, frequent: np.ndarray) -> np.ndarray:
 
 
 def point_of(found: np.ndarray) -> np.ndarray:
-    return np.bincount((mixed(found) % np.uint64(POINT_GROUPS)).astype(np.int64), minlength=POINT_GROUPS).astype(np.int32)
+    return np.bincount((mixed(found) % np.uint64(POINT_GROUPS)).astype(np.int64), minlength=POINT_GROUPS).astype(np.uint32)
 
 
 class CountTree:
@@ -165,7 +232,7 @@ class CountTree:
 
     def __init__(self, points: np.ndarray, rule: Rule):
         self.rule = rule
-        sizes = points.sum(axis=1)
+        sizes = points.sum(axis=1, dtype=np.int64)
         self.order = np.lexsort((points[:, 1], points[:, 0], sizes))
         corner, least = points[self.order], sizes[self.order]
         self.levels = [(corner, least)]  # from the points up: upper corners, and least sizes
@@ -180,7 +247,7 @@ class CountTree:
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             corner, least = self.levels[depth]
-            bound = np.minimum(corner[at], point).sum(axis=1)
+            bound = np.minimum(corner[at], point).sum(axis=1, dtype=np.int64)
             at = at[bound >= self.rule.needed(least[at] + size)]
             if depth:
                 at = (at[:, None] * FANOUT + np.arange(FANOUT)).reshape(-1)
@@ -208,9 +275,8 @@ class SetTable:
         rule = self.rule
 
         def run(batches):
-            words = kept("shingle words", lambda: Memo(_word_hash, KEPT_WORDS))
             for part in batches:
-                found = [shingles(t, rule, words) for t in text_or_empty(part["text"])]
+                found = shingle_sets(text_or_empty(part["text"]), rule)
                 result = each(part, found)
                 if len(result):
                     yield result
@@ -323,9 +389,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     def possible(na: pd.Series, nb: pd.Series, pa: pd.Series, pb: pd.Series) -> pd.Series:
         if not len(na):
             return pd.Series([], dtype=bool)
-        x = np.frombuffer(b"".join(pa), np.int32).reshape(len(na), POINT_GROUPS)
-        y = np.frombuffer(b"".join(pb), np.int32).reshape(len(na), POINT_GROUPS)
-        return pd.Series(np.minimum(x, y).sum(axis=1) >= rule.needed(na.to_numpy() + nb.to_numpy()))
+        x = np.frombuffer(b"".join(pa), np.uint32).reshape(len(na), POINT_GROUPS)
+        y = np.frombuffer(b"".join(pb), np.uint32).reshape(len(na), POINT_GROUPS)
+        return pd.Series(np.minimum(x, y).sum(axis=1, dtype=np.int64) >= rule.needed(na.to_numpy() + nb.to_numpy()))
 
     sized = pairs.join(a, "a").join(b, "b")
     fit = (F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num) & possible("na", "nb", "pa", "pb")
@@ -356,7 +422,7 @@ def _unresolved(members: DataFrame, labels: DataFrame, sets: DataFrame, rule: Ru
 
     def searched(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.drop_duplicates("node").reset_index(drop=True)
-        points = np.frombuffer(b"".join(batch["point"]), np.int32).reshape(len(batch), POINT_GROUPS)
+        points = np.frombuffer(b"".join(batch["point"]), np.uint32).reshape(len(batch), POINT_GROUPS)
         node, label, block = batch["node"].to_numpy(), batch["label"].to_numpy(), batch["block"].to_numpy()
         crossing = batch["i"].iloc[0] != batch["j"].iloc[0]
         tree, found = CountTree(points, rule), []
