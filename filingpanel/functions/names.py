@@ -18,11 +18,6 @@ def parent_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/[^/]*/?$", 1)
 
 
-def stem(path: Column) -> Column:
-    """The last part of a path without its suffix."""
-    return F.regexp_replace(base_name(path), r"(?<=.)\.[^.]*$", "")
-
-
 def megabytes(length: Column) -> Column:
     """Bytes as MB of 1024 x 1024 bytes."""
     return length / F.lit(MEGABYTE)

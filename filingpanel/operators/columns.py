@@ -63,11 +63,3 @@ def attach_period(
 ) -> DataFrame:
     """Add the reporting period of a date."""
     return df.withColumn(name, reporting_period(date, style))
-
-
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN as NULL in all floating point columns, so that both count as missing."""
-    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return df.select(
-        *[F.nanvl(F.col(c), F.lit(None)).alias(c) if c in floating else F.col(c) for c in df.columns]
-    )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from filingpanel.functions.names import base_name
 from filingpanel.plans.bulk import LISTED
 from filingpanel.plans.panel import wide_panel
-from filingpanel.plans.report import coverage_report
+from filingpanel.plans.report import coverage_report, report_on
 from filingpanel.plans.update import export_wide, update_bulk
 from filingpanel.session import shared_folder
 from filingpanel.sources.dictionary import read_dictionary
@@ -88,6 +88,16 @@ def wide_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("entity_type", "quarter", "num_banks", "num_variables", "num_null_columns")
 
 
+@registered(f"""SELECT {YEAR_SQL}::VARCHAR || 'Q4' AS quarter, count(DISTINCT o_orderkey) AS "All_num_banks", 2::BIGINT AS "All_num_variables"
+    FROM orders GROUP BY 1""")
+def wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on wide files without entity folders."""
+    wide = shared_folder(spark, "wide")
+    export_wide(spark, written_panel(spark, sf_dir), wide)
+    report = report_on(summarize_wide_files(spark, os.path.join(wide, ENTITY), entities=()))
+    return report.quarters.select("quarter", "All_num_banks", "All_num_variables")
+
+
 @registered(f"""WITH y AS (SELECT DISTINCT {YEAR_SQL} AS y FROM orders), last AS (SELECT max(y) AS l FROM y),
     given AS (SELECT y, 'Bulk 1231' || y::VARCHAR || '.txt' AS file, y::VARCHAR || 'Q4' AS quarter,
         CASE WHEN y = l THEN 'out_of_range' WHEN y % 2 = 1 THEN 'empty' ELSE 'processed' END AS s1,

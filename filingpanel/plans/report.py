@@ -39,10 +39,16 @@ def report_on(
     summary: DataFrame,
     start: dt.date | None = None,
     end: dt.date | None = None,
-    entities: Sequence[str] = tuple(ENTITY_CODES),
+    entities: Sequence[str] | None = None,
 ) -> CoverageReport:
-    """All report tables from a summary with one row per entity type and quarter; undated rows stay."""
+    """All report tables from a summary with one row per entity type and quarter; undated rows stay.
+
+    ``entities`` are the columns of the quarter table; by default those that the summary has, which for
+    files without entity folders is the one type they are listed under.
+    """
     kept = in_period_range(summary, "date", start, end, keep_undated=True)
+    if entities is None:
+        entities = sorted(r["entity_type"] for r in kept.select("entity_type").distinct().collect())
     gaps = find_gaps(kept, "date", ["entity_type"])
     return CoverageReport(
         summary=kept.orderBy("entity_type", "date"),
@@ -60,4 +66,4 @@ def coverage_report(
     """The report on a panel written by ``write_panel``."""
     panel = read_panel(spark, folder)
     sizes = partition_sizes(list_files(spark, os.path.join(folder, "facts"), "*.parquet", recursive=True))
-    return report_on(coverage_summary(panel.filers, panel.catalog, sizes), start, end)
+    return report_on(coverage_summary(panel.filers, panel.catalog, sizes), start, end, tuple(ENTITY_CODES))

@@ -139,5 +139,4 @@ def test_path_parts(spark):
     paths = ["file:/a/FFIEC_002/2020Q1.parquet", "/x/y.z/call.tar.gz", "plain"]
     assert values(spark, paths, names.base_name) == ["2020Q1.parquet", "call.tar.gz", "plain"]
     assert values(spark, paths, names.parent_name) == ["FFIEC_002", "y.z", ""]
-    assert values(spark, paths, names.stem) == ["2020Q1", "call.tar", "plain"]
     assert values(spark, [1048576, 524288], names.megabytes, "bigint") == [1.0, 0.5]

@@ -82,7 +82,6 @@ def test_order_columns(spark):
 
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(float("nan"), 1), (None, 2)], "x double, y int")
-    assert columns.nan_to_null(df).agg(F.count("x"), F.count("y")).head() == (0, 2)
     assert [tuple(r) for r in prune.profile_columns(df, ["x", "y"]).orderBy("variable").collect()] == [
         ("x", 0, True), ("y", 2, False)
     ]
@@ -195,7 +194,6 @@ def test_prune_catalog(spark, rows):
     )
     assert [r[1] for r in rows(prune.prune_catalog(catalog, known))] == ["DATA", "ON", "RSSD9331"]
     assert [r[1] for r in rows(prune.prune_catalog(catalog))] == ["DATA", "RSSD9331"]
-    assert prune.variable_count(["RSSD_ID", "REPORTING_PERIOD", "RSSD9001", "A"]) == 2
 
 
 @settings(max_examples=8, deadline=None)
