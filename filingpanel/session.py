@@ -32,7 +32,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:

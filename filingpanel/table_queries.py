@@ -31,7 +31,7 @@ from filingpanel.operators import (
     reshape,
     status,
 )
-from filingpanel.session import shared_folder, staged
+from filingpanel.session import shared_folder, ship_package, staged
 from filingpanel.sinks.panel import write_dictionary, write_partitioned, write_summary
 from filingpanel.sources.delimited import read_delimited
 from filingpanel.sources.dictionary import read_dictionary_csv
@@ -68,6 +68,7 @@ def registered(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)  # also for sessions that others have built
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

@@ -516,3 +516,60 @@ def test_listing_opens_nothing(spark, bulk_folder):
     assert listed.count() == 5
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
     assert listed.where(F.col("file_name") == BULK_NAME).count() == 1
+
+
+def test_facts_are_exploded_after_the_exchange(spark, bulk_folder, tmp_path):
+    """Values cross the network as arrays of a filer row; only filer rows are rebalanced."""
+    panel = bulk_panel(spark, bulk_folder)
+    plan = panel.expand(panel.values.hint("rebalance", "entity_type", "quarter"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RebalancePartitions")
+    out = str(tmp_path / "panel")
+    write_panel(panel, out)
+    assert read_panel(spark, out).facts.count() == panel.facts.count()
+
+
+def test_release_removes_what_was_staged(spark, bulk_folder):
+    import os
+
+    panel = bulk_panel(spark, bulk_folder)
+    assert panel.folders and all(os.path.isdir(f) for f in panel.folders)
+    panel.release()
+    assert not any(os.path.exists(f) for f in panel.folders)
+
+
+def test_skipped_quarters_are_not_decoded(spark, historical_folder, tmp_path):
+    from filingpanel.sources.xport import read_xport
+
+    decoded = read_xport(spark, historical_folder, skip_quarters=["2010Q4"])
+    assert decoded.where("period = date'2010-12-31' and error is null").count() == 0
+    out = str(tmp_path / "panel")
+    update_historical(spark, historical_folder, out)
+    update_historical(spark, historical_folder, out)
+    states = {(r.path.rsplit("/", 1)[-1], r.state) for r in spark.read.parquet(out + "/inputs").collect()}
+    assert {("call1012.zip", "processed"), ("call1012.zip", "skipped"), ("call1104.xpt", "undated"), ("call1112.xpt", "error")} <= states
+
+
+def test_header_only_files_have_a_state(spark, tmp_path):
+    contents = {"a_20240331.txt": delimited(["IDRSSD", "A"], []), "b_20240630.txt": delimited(["IDRSSD", "A"], [["x", 1]]), "c.txt": b"IDRSSD"}
+    panel = bulk_panel(spark, save(tmp_path / "in", contents))
+    assert {r.path.rsplit("/", 1)[-1]: r.state for r in panel.inputs.collect()} == {"a_20240331.txt": "empty", "b_20240630.txt": "empty", "c.txt": "undated"}
+
+
+def test_workers_need_no_install(tmp_path):
+    """A driver started elsewhere has the package on its own path only."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from filingpanel.session import build_session\n"
+        "from filingpanel.sources.delimited import read_delimited\n"
+        "spark = build_session('local[2]', 2, **{'spark.ui.enabled': 'false'})\n"
+        "print('found', read_delimited(spark, sys.argv[1]).where('row_no >= 0').count())\n"
+    )
+    folder = save(tmp_path / "in", {"a_20240331.txt": delimited(["IDRSSD", "A"], [[1, 2], [2, 3]])})
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script, folder], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=180)
+    assert "found 2" in done.stdout, done.stderr[-2000:]
