@@ -75,10 +75,24 @@ def test_search_on_odd_vectors(spark, odd):
     assert {r[0] for r in rows} <= {0, 50}
 
 
+COLUMNS = {
+    "op1": "query_id rank vec_id score",
+    "op2": "doc_id held_out lang_pred score",
+    "op3": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op4": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op5": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op6": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op7": "doc_id n_shingles component_id",
+    "op8": "doc_id n_bytes n_tokens over_limit",
+    "op9": "doc_id source lang topic tokens probability kept",
+    "op10": "doc_id severity p_toxic grade toxic",
+}
+
+
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_tables(spark, none, name):
     df = queries.QUERIES[name](spark, none)
-    assert df.columns == queries.QUERIES[name](spark, SF_DIR).columns
+    assert df.columns == COLUMNS[name.split("_")[0]].split()
     assert df.count() == 0
 
 
