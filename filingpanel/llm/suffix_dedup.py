@@ -11,8 +11,8 @@ begin at anchors stand for all suffixes, about one for 38 bytes.
    beginning occurs. Each bucket is sorted by multikey quicksort. Strings at one distance before the anchor
    are equal if their suffixes share enough leading bytes (neighbours in the sorted bucket) and the
    bytes before are equal.
-3. The first and the last run of equal beginnings in a bucket can go on in the next bucket: their strings
-   are compared across the boundaries, by the least place of each string.
+3. The first and the last run of equal beginnings in a bucket can go on in the next bucket: of their strings
+   the first of each bucket are compared across the boundaries, by the least place of each string.
 
 Nothing is capped: a sample of documents only tells which anchors are so frequent that their rows are
 spread over several tasks, each of which passes its own first on to step 2.
@@ -205,11 +205,11 @@ class Bucket:
         group = np.concatenate([[0], np.cumsum(self.common < ANCHOR)])
         return (group == 0) | (group == group[-1])
 
-    def repeats(self, chosen: np.ndarray) -> np.ndarray:
-        """For the chosen rows and each distance: whether the string there has an earlier equal in this bucket."""
+    def repeats(self) -> np.ndarray:
+        """For each row and distance: whether the string there has an earlier equal in this bucket."""
         marks = np.zeros((len(self.first), REACH + 1), bool)
         for o in range(REACH + 1):
-            at = np.flatnonzero(chosen & (self.low <= o) & (o <= self.high))
+            at = np.flatnonzero((self.low <= o) & (o <= self.high))
             if len(at) < 2:
                 continue
             group = np.concatenate([[0], np.cumsum(self.common < LENGTH - o)])[at]
@@ -219,9 +219,11 @@ class Bucket:
             marks[at[order[1:][equal]], o] = True
         return marks
 
-    def strings(self, chosen: np.ndarray) -> pd.DataFrame:
-        """All strings of the chosen rows, by two hashes and place, for comparison across buckets."""
-        row, o = np.nonzero(chosen[:, None] & (self.low[:, None] <= np.arange(REACH + 1)) & (np.arange(REACH + 1) <= self.high[:, None]))
+    def strings(self, chosen: np.ndarray, repeats: np.ndarray) -> pd.DataFrame:
+        """The chosen rows' strings without an earlier equal here, by two hashes and place, for comparison across buckets."""
+        distance = np.arange(REACH + 1)
+        own = (self.low[:, None] <= distance) & (distance <= self.high[:, None])
+        row, o = np.nonzero(chosen[:, None] & own & ~repeats)
         letters, powers, inverse = _tables()
         out = {}
         for name, salt in (("w1", np.uint64(0)), ("w2", _MIX)):
@@ -355,11 +357,12 @@ class Corpus:
             bucket = Bucket(pd.concat(parts, ignore_index=True))
             del parts
             edge = bucket.edges()
-            row, near, far = _runs(bucket.repeats(~edge))
+            repeats = bucket.repeats()
+            row, near, far = _runs(repeats)
             picked = bucket.rows.iloc[row]
             a = picked["a"].to_numpy()
             inner = pd.DataFrame({"k": picked["k"].to_numpy(), "sub": picked["sub"].to_numpy(), "s": a - far, "e": a - near})
-            outer = bucket.strings(edge)
+            outer = bucket.strings(edge, repeats)
             for frame in (inner, outer):
                 yield pd.DataFrame({c: frame[c] if c in frame else pd.Series([None] * len(frame), dtype="Int64") for c in ("k", "sub", "s", "e", "w1", "w2")})
 
