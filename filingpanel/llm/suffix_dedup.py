@@ -11,8 +11,9 @@ begin at anchors stand for all suffixes, about one for 38 bytes.
    beginning occurs. Each bucket is sorted by multikey quicksort. Strings at one distance before the anchor
    are equal if their suffixes share enough leading bytes (neighbours in the sorted bucket) and the
    bytes before are equal.
-3. The first and the last run of equal beginnings in a bucket can go on in the next bucket: of their strings
-   the first of each bucket are compared across the boundaries, by the least place of each string.
+3. A string can have an equal in the next bucket only if it shares what it needs of its suffix with the
+   bucket's first or last row: of those strings the first of each bucket are compared across the
+   boundaries, by the least place of each.
 
 Nothing is capped: a sample of documents only tells which anchors are so frequent that their rows are
 spread over several tasks, each of which passes its own first on to step 2.
@@ -200,30 +201,27 @@ class Bucket:
         self.first = np.empty(len(rows), np.int64)  # place in the order of occurrence
         self.first[np.lexsort((a, sub, k))] = np.arange(len(rows))
 
-    def edges(self) -> np.ndarray:
-        """Rows whose beginning may also stand in a neighbouring bucket."""
-        group = np.concatenate([[0], np.cumsum(self.common < ANCHOR)])
-        return (group == 0) | (group == group[-1])
-
-    def repeats(self) -> np.ndarray:
-        """For each row and distance: whether the string there has an earlier equal in this bucket."""
+    def compared(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each row and distance: whether the string there has an earlier equal in this bucket, and whether it
+        can have an equal in a neighbouring one: if what it needs of its suffix is that of the first or last row."""
         marks = np.zeros((len(self.first), REACH + 1), bool)
+        edges = np.zeros_like(marks)
         for o in range(REACH + 1):
-            at = np.flatnonzero((self.low <= o) & (o <= self.high))
+            whole = np.concatenate([[0], np.cumsum(self.common < LENGTH - o)])
+            own = (self.low <= o) & (o <= self.high)
+            edges[:, o] = own & ((whole == 0) | (whole == whole[-1]))
+            at = np.flatnonzero(own)
             if len(at) < 2:
                 continue
-            group = np.concatenate([[0], np.cumsum(self.common < LENGTH - o)])[at]
-            before = self.before[at, o]
+            group, before = whole[at], self.before[at, o]
             order = np.lexsort((self.first[at], before, group))
             equal = (group[order[1:]] == group[order[:-1]]) & (before[order[1:]] == before[order[:-1]])
             marks[at[order[1:][equal]], o] = True
-        return marks
+        return marks, edges
 
-    def strings(self, chosen: np.ndarray, repeats: np.ndarray) -> pd.DataFrame:
-        """The chosen rows' strings without an earlier equal here, by two hashes and place, for comparison across buckets."""
-        distance = np.arange(REACH + 1)
-        own = (self.low[:, None] <= distance) & (distance <= self.high[:, None])
-        row, o = np.nonzero(chosen[:, None] & own & ~repeats)
+    def strings(self, chosen: np.ndarray) -> pd.DataFrame:
+        """The chosen strings (by row and distance), by two hashes and place, for comparison across buckets."""
+        row, o = np.nonzero(chosen)
         letters, powers, inverse = _tables()
         out = {}
         for name, salt in (("w1", np.uint64(0)), ("w2", _MIX)):
@@ -356,13 +354,12 @@ class Corpus:
                 return
             bucket = Bucket(pd.concat(parts, ignore_index=True))
             del parts
-            edge = bucket.edges()
-            repeats = bucket.repeats()
+            repeats, edges = bucket.compared()
             row, near, far = _runs(repeats)
             picked = bucket.rows.iloc[row]
             a = picked["a"].to_numpy()
             inner = pd.DataFrame({"k": picked["k"].to_numpy(), "sub": picked["sub"].to_numpy(), "s": a - far, "e": a - near})
-            outer = bucket.strings(edge, repeats)
+            outer = bucket.strings(edges & ~repeats)
             for frame in (inner, outer):
                 yield pd.DataFrame({c: frame[c] if c in frame else pd.Series([None] * len(frame), dtype="Int64") for c in ("k", "sub", "s", "e", "w1", "w2")})
 
