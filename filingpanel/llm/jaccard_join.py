@@ -11,7 +11,8 @@ least num/den of their union; then they differ in at most D = (a + b) (den - num
 3. Keys whose nodes are still in different components are searched in full: the nodes' counts in fixed
    groups are points of an R-tree, the overlap of two nodes is at most the sum of the coordinate minima,
    and a subtree is left out when that sum over its upper corner is below what a link needs.
-   Surviving pairs are verified with the whole sets.
+   Nodes that surviving pairs connect are a cluster. It is searched once more with the whole sets, and
+   pairs are verified until they connect what they can: no task returns more pairs than it has nodes.
 
 Empty groups would make strangers meet. With G = D + 1 + s, equal groups number at least 1 + s, so a document
 with at most s empty groups needs no key for them. Very frequent n-grams (from a sample) are first left
@@ -44,8 +45,8 @@ SAMPLED, FREQUENT, MOST_FREQUENT = 32, 4, 200_000
 #: Tasks over which the rows of a frequent key are spread.
 SALTS = 64
 
-#: Nodes of a key that are searched in one task; more are searched block by block.
-BLOCK_NODES = 4096
+#: Nodes of a key or cluster that are searched in one task; more are searched block by block.
+BLOCK_NODES = 1024
 
 #: Ids up to this many are broadcast to find their texts; more are joined.
 BROADCAST_IDS = 2_000_000
@@ -406,39 +407,90 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return staged(whole.where(similar("ea", "eb")).select("a", "b"), "links")
 
 
-def _unresolved(members: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of nodes in different components that share a key and whose points allow a link."""
+class _Groups:
+    """Disjoint sets of numbers."""
+
+    def __init__(self, labels: np.ndarray):
+        first: dict = {}
+        self.parent = [first.setdefault(label, k) for k, label in enumerate(labels.tolist())]
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of a group (with its ``size``) once for each pair of blocks ``i, j`` that they belong to."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK_NODES).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    partner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
+    return rows.withColumn("cell", F.explode(partner)).select(*[c for c in rows.columns if c != "blocks"], "cell.i", "cell.j")
+
+
+def _searched(batch: pd.DataFrame, rule: Rule, verify) -> pd.DataFrame:
+    """Pairs that join the nodes of a pair of blocks, as few as do: nodes of one label are joined already.
+
+    A pair must pass the tree's bound, and ``verify`` where it is given.
+    """
+    batch = batch.drop_duplicates("node").reset_index(drop=True)
+    points = np.frombuffer(b"".join(batch["point"]), np.uint32).reshape(len(batch), POINT_GROUPS)
+    node, label, block = batch["node"].to_numpy(), batch["label"].to_numpy(), batch["block"].to_numpy()
+    crossing = batch["i"].iloc[0] != batch["j"].iloc[0]
+    tree, groups, found = CountTree(points, rule), _Groups(label), []
+    # The largest component only answers: all its pairs with others are asked by the others.
+    names, sizes = np.unique(label, return_counts=True)
+    for k in np.flatnonzero(label != names[sizes.argmax()]).tolist():
+        at = tree.search(points[k])
+        at = at[label[at] != label[k]]
+        if crossing:
+            at = at[block[at] != block[k]]
+        for x in at.tolist():
+            if groups.find(k) != groups.find(x) and (verify is None or verify(batch, k, x)):
+                groups.join(k, x)
+                found.append((min(node[k], node[x]), max(node[k], node[x])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _clusters(members: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Nodes in different components that share a key and whose points allow links, by connected cluster."""
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     marks = F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y")
     ends = F.min("label").alias("l"), F.max("label").alias("h")
     keys = labelled.groupBy("key").agg(*ends, *marks, F.count("*").alias("size")).where("l <> h and size > 2")  # of two, the hub saw both
     open_keys = keys.groupBy("size", "x", "y").agg(F.min("key").alias("key"))  # of keys with the same nodes one is enough
     rows = labelled.join(open_keys.select("key", "size"), "key").join(sets.select("node", "point"), "node")
-    # Blocks by node; a pair of blocks meets in one task, and each pair of blocks once.
-    blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    partner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
-    rows = rows.select("key", "node", "label", "point", "block", F.explode(partner).alias("cell")).select("*", "cell.i", "cell.j")
 
     def searched(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.drop_duplicates("node").reset_index(drop=True)
-        points = np.frombuffer(b"".join(batch["point"]), np.uint32).reshape(len(batch), POINT_GROUPS)
-        node, label, block = batch["node"].to_numpy(), batch["label"].to_numpy(), batch["block"].to_numpy()
-        crossing = batch["i"].iloc[0] != batch["j"].iloc[0]
-        tree, found = CountTree(points, rule), []
-        # The largest component only answers: all its pairs with others are asked by the others.
-        names, sizes = np.unique(label, return_counts=True)
-        largest = names[sizes.argmax()]
-        for k in np.flatnonzero(label != largest):
-            at = tree.search(points[k])
-            at = at[(label[at] != label[k]) & ((label[at] == largest) | (node[at] > node[k]))]
-            if crossing:
-                at = at[block[at] != block[k]]
-            found += [(min(node[k], x), max(node[k], x)) for x in node[at]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    pairs = rows.groupBy("key", "i", "j").applyInPandas(searched, "a long, b long")
-    return staged(pairs.distinct(), "candidates")
+        return _searched(batch, rule, None)
+
+    joined = _in_blocks(rows.select("key", "size", "node", "label", "point")).groupBy("key", "i", "j")
+    return components(joined.applyInPandas(searched, "a long, b long"))
+
+
+def _cluster_links(clusters: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Verified links that join the components within each cluster; a set travels once, or once for each block."""
+    named = clusters.withColumnRenamed("label", "cluster")
+    sized = named.join(named.groupBy("cluster").agg(F.count("*").alias("size")), "cluster")
+    rows = sized.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).join(sets, "node")
+
+    def verify(batch: pd.DataFrame, k: int, x: int) -> bool:
+        a, b = batch["elements"].iat[k], batch["elements"].iat[x]
+        return linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), rule)
+
+    def searched(batch: pd.DataFrame) -> pd.DataFrame:
+        return _searched(batch, rule, verify)
+
+    chosen = rows.select("cluster", "size", "node", "label", "point", "elements")
+    joined = _in_blocks(chosen).groupBy("cluster", "i", "j")
+    return staged(joined.applyInPandas(searched, "a long, b long"), "more")
 
 
 def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -468,7 +520,8 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     sets = staged(table.sets(speakers.join(involved, "node")), "sets")
     links = _verified(stars, sets, rule)
     labels = components(links)
-    more = _verified(_unresolved(members.join(involved, "node", "left_semi"), labels, sets, rule), sets, rule)
+    clusters = _clusters(members.join(involved, "node", "left_semi"), labels, sets, rule)
+    more = _cluster_links(clusters, labels, sets, rule)
 
     # Rows of one id are one document, whichever of its texts speaks for a node.
     texts = named.select("doc_id", "node").distinct()
