@@ -28,6 +28,9 @@ TEMPER = 0.7
 
 SEED = 97
 
+#: Cells of one written file: rounds over few of them do not write many tiny files.
+CELLS_A_FILE = 250_000
+
 MARGINS = ("source", "lang", "topic")
 
 
@@ -60,12 +63,13 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     empty cells that a target needs, leave the last round's weights, nearest to the last margin. Cells
     without weight stay at 0. Written after every round: a lost executor costs a re-read.
     """
-    total = cells.agg(F.sum("weight")).first()[0] or 0.0
+    known = cells.agg(F.sum("weight").alias("total"), F.count("*").alias("n")).first()
+    total, files = known["total"] or 0.0, max(4, known["n"] // CELLS_A_FILE)
     wanted = {}
     for margin, table in targets.items():
         there = table.join(cells.where("weight > 0").select(margin).distinct(), margin, "left_semi")
         scale = there.agg(F.sum("share")).first()[0] or 1.0
-        wanted[margin] = staged(there.select(margin, (F.col("share") / scale * total).alias("target")), f"target-{margin}")
+        wanted[margin] = staged(there.select(margin, (F.col("share") / scale * total).alias("target")).coalesce(files), f"target-{margin}")
     for _ in range(rounds):
         far = F.lit(0.0)
         for margin, table in wanted.items():
@@ -77,7 +81,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
             off = F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(F.lit(0.0))
             cells = cells.withColumn("off", F.greatest(F.coalesce(F.col("off"), F.lit(0.0)) if "off" in cells.columns else F.lit(0.0), off))
             cells = cells.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        cells = staged(cells, "raked")
+        cells = staged(cells.coalesce(files), "raked")
         far = cells.agg(F.max("off")).first()[0] or 0.0
         cells = cells.drop("off")
         if far <= close:
