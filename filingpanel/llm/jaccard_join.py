@@ -436,15 +436,17 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _searched(batch: pd.DataFrame, rule: Rule, verify) -> pd.DataFrame:
-    """Pairs that join the nodes of a pair of blocks, as few as do: nodes of one label are joined already.
+    """Pairs between labels that join the nodes of a pair of blocks, as few as do.
 
-    A pair must pass the tree's bound, and ``verify`` where it is given.
+    A pair must pass the tree's bound, and ``verify`` where it is given; then nodes of one label are joined
+    already. Pairs that only pass the bound say nothing of the rest of their labels: every node begins alone,
+    so both ends of each such pair come together.
     """
     batch = batch.drop_duplicates("node").reset_index(drop=True)
     points = np.frombuffer(b"".join(batch["point"]), np.uint32).reshape(len(batch), POINT_GROUPS)
     node, label, block = batch["node"].to_numpy(), batch["label"].to_numpy(), batch["block"].to_numpy()
     crossing = batch["i"].iloc[0] != batch["j"].iloc[0]
-    tree, groups, found = CountTree(points, rule), _Groups(label), []
+    tree, groups, found = CountTree(points, rule), _Groups(node if verify is None else label), []
     # The largest component only answers: all its pairs with others are asked by the others.
     names, sizes = np.unique(label, return_counts=True)
     for k in np.flatnonzero(label != names[sizes.argmax()]).tolist():

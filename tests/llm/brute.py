@@ -136,6 +136,33 @@ def edited_texts(seed, families=40, vocabulary=2500):
     return rows + [(1_000_000 + i, t) for i, t in enumerate(odd)]
 
 
+def linked_families(families=6, size=3604):
+    """Long texts in pairs of groups, each joined by one pair alone: eight texts a family.
+
+    The pair is barely similar enough. The other texts of a group share one more edit, so they and not the
+    pair are the hubs of the keys that the pair meets on.
+    """
+    rows = []
+    for family in range(families):
+        rng = random.Random(family)
+        base = [f"f{family}w{i}" for i in range(size)]
+        places = rng.sample(range(10, size - 10, 20), size // 45 + 6)
+        edits = size // 45
+
+        def edited(chosen):
+            text = list(base)
+            for place in chosen:
+                text[place] = f"e{place}"
+            return " ".join(text)
+
+        far, (one, other, *more) = places[:edits], places[edits:]
+        texts = [edited([]), edited([one]), *(edited([one, x]) for x in more[:2])]
+        texts += [edited(far), edited([*far, other]), *(edited([*far, other, x]) for x in more[2:])]
+        rng.shuffle(texts)
+        rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+    return rows
+
+
 def repeating_texts(seed, n=300):
     """Texts put together from passages, runs of one letter, common lines and words of several bytes."""
     rng = random.Random(seed)

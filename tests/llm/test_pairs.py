@@ -4,6 +4,7 @@ import hashlib
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 
 from filingpanel.llm import jaccard_join, norm_search, suffix_dedup
@@ -30,6 +31,24 @@ def test_jaccard_join_with_frequent_ngrams_and_small_blocks(spark, monkeypatch):
     assert sorted(map(tuple, found)) == brute.components(rows, 3, 80, 100)
 
 
+def test_candidates_of_two_labels_come_together():
+    rule, rng = jaccard_join.Rule(5, 80, 100), np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 4000, np.uint64)
+    points = [jaccard_join.point_of(base[: 4000 - k]).tobytes() for k in range(6)]
+    for order in (range(6), range(5, -1, -1), rng.permutation(6)):
+        batch = pd.DataFrame({"node": np.arange(6), "label": [0, 0, 0, 3, 3, 3], "point": points, "block": 0, "i": 0, "j": 0}).iloc[list(order)]
+        found = jaccard_join._searched(batch, rule, None)
+        assert len(found) == 5 and set(found["a"]) | set(found["b"]) == set(range(6))
+
+
+def test_jaccard_join_of_long_documents_in_linked_components(spark):
+    rule, rows = jaccard_join.Rule(5, 80, 100), brute.linked_families()
+    expected = brute.components(rows, 5, 80, 100)
+    assert len({c for _, _, c in expected}) == len(rows) // 8
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    assert sorted(map(tuple, jaccard_join.linked_documents(docs, rule).collect())) == expected
+
+
 def test_bound_of_the_tree_never_misses(spark):
     rule, rng = jaccard_join.Rule(3, 80, 100), np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40)).astype(np.uint64)) for _ in range(300)]
