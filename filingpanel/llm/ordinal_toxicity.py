@@ -103,10 +103,15 @@ def fit(rows: list[list[int]], grades: np.ndarray, size: int) -> tuple[np.ndarra
 
 
 def best_cut(sums: np.ndarray, toxic: np.ndarray) -> float:
-    """The sum that parts toxic from other rows with the least error, both kinds weighing the same; the middle of the widest."""
-    values = np.unique(sums)
+    """The sum that parts toxic from other rows with the least error, both kinds weighing the same; the middle of the widest.
+
+    Only sums above 0, that of a text without features, part rows; where there are none the cut is infinite.
+    """
+    values = np.unique(sums[sums > 0])
+    if not len(values):
+        return float("inf")
     missed = np.array([(sums[toxic] < v).mean() for v in values]) + np.array([(sums[~toxic] >= v).mean() for v in values])
-    gaps = np.diff(values, prepend=values[0] - 1)
+    gaps = np.diff(values, prepend=0.0)
     best = np.flatnonzero(missed <= missed.min() + 1e-12)
     place = best[gaps[best].argmax()]
     return float(values[place] - gaps[place] / 2)
@@ -117,7 +122,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     At most ``per_class`` rows of either class are used, chosen by a hash of the id. Null ids, texts and
     labels are left out; an id with several labels is toxic if one of them says so, and so is a text that
-    several ids share, which counts once. If a class has no rows nothing is learnt.
+    several ids share, which counts once. If a class has no rows, or no feature marks toxic rows, nothing is learnt.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -152,6 +157,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     names = sorted(r["feature"] for r in best)
     strong = {r["feature"] for r in best if r["odds"] > 3 and not r["feature"].endswith("*")}
     number = {f: i for i, f in enumerate(names)}
+    if not names:
+        return Model({}, [])
 
     def chosen(batches):
         for part in batches:
@@ -173,7 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     grades = np.where(toxic, 1 + (hits[:, None] > cuts[None, :]).sum(axis=1), 0)
     present = np.unique(grades)  # a grade without rows has no threshold to learn
     features = [list(f) for f in table["key"]]
-    weights, thresholds = fit(features, np.searchsorted(present, grades), max(1, len(names)))
+    weights, thresholds = fit(features, np.searchsorted(present, grades), len(names))
     cut = best_cut(np.array([weights[f].sum() if f else 0.0 for f in features]), toxic)
     return Model({f: float(weights[i]) for f, i in number.items() if weights[i] != 0}, [float(t) for t in thresholds], cut)
 

@@ -10,6 +10,7 @@ from compare import connect, differences
 from pyspark.sql import functions as F
 
 from filingpanel.llm import jaccard_join, queries, raking, secret_scan
+from filingpanel.session import staged
 
 SF_DIR = "/root/testdata/sf0.001"
 OPERATORS = sorted(queries.QUERIES)
@@ -106,6 +107,17 @@ def test_pipeline_on_odd_and_empty_tables(spark, odd, none):
     assert corpus_pipeline.run(spark, odd).columns == ["doc_id", "n_tokens", "ids", "decoded"]
 
 
+def test_odd_rows_survive_each_stage(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, odd), name)
+        left[name] = sorted((r["doc_id"] or 0, r["text"] or "") for r in docs.collect())
+    assert [i for i, _ in left["toxicity"]] == [0, 0, 1, 1, 2, 3, 4, 5, 6, 7, 8, 9]
+    assert [i for i, _ in left["ngram_jaccard_join"]] == [i for i, _ in left["secret_scans"]] == [0, 0, 1, 3, 4, 5, 6, 8, 9]
+    assert {r for r in left["secret_scans"] if not r[1].strip()} <= set(left["source_mixing"]) <= set(left["secret_scans"])
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)

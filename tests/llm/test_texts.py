@@ -228,3 +228,21 @@ def test_no_labels_no_toxicity(spark):
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, toxic int")
     model = ordinal_toxicity.learn(docs, labels)
     assert [tuple(r) for r in ordinal_toxicity.grade_documents(docs, model).collect()] == [(1, 0.0, 0.0, 0, False)]
+
+
+def test_without_marks_nothing_is_toxic(spark):
+    texts = [(1, "idiot swine"), (2, "idiot swine"), (3, "idiot swine"), (4, "idiot swine"), (5, "calm words"), (6, None), (7, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 5)) for i in range(1, 8)], "doc_id long, toxic int")
+    model = ordinal_toxicity.learn(docs, labels)
+    assert model.cut == float("inf")
+    assert sorted(tuple(r) for r in ordinal_toxicity.grade_documents(docs, model).collect()) == [(i, 0.0, 0.0, 0, False) for i in range(1, 8)]
+    assert ordinal_toxicity.reject_toxic(docs, model).count() == 7
+
+
+def test_the_cut_lies_above_texts_without_features():
+    toxic = np.array([True, True, False, False])
+    assert ordinal_toxicity.best_cut(np.zeros(4), toxic) == float("inf")
+    assert ordinal_toxicity.best_cut(np.array([-1.0, 0.0, -2.0, -2.0]), toxic) == float("inf")
+    assert 0 < ordinal_toxicity.best_cut(np.array([1.0, 0.0, 0.0, -1.0]), toxic) < 1
+    assert 1 < ordinal_toxicity.best_cut(np.array([2.0, 3.0, 1.0, 0.0]), toxic) < 2
