@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer
+from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer, whitening
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -120,3 +120,11 @@ def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = ordinal_toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return ordinal_toxicity.grade_documents(docs, model)
+
+
+@registered()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", most=4)
+    exact = F.col("deviation")
+    fits = exact.between(F.lit(0), F.lit(whitening.LONG_MAX))
+    return found.withColumns({"deviation": F.when(fits, exact.cast("long")), "exact_deviation": exact})

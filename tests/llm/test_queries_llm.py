@@ -58,11 +58,11 @@ def test_query_equals_sql(spark, name):
 
 
 def test_queries_are_registered():
-    assert {n.split("_")[0] for n in OPERATORS} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in OPERATORS} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in OPERATORS if not n.startswith("op1_")])
+@pytest.mark.parametrize("name", [n for n in OPERATORS if n.split("_")[0] not in ("op1", "op11", "op12", "op13")])
 def test_one_row_for_each_document(spark, odd, name):
     rows = queries.QUERIES[name](spark, odd).collect()
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in rows) == sorted(
@@ -87,6 +87,9 @@ COLUMNS = {
     "op8": "doc_id n_bytes n_tokens over_limit",
     "op9": "doc_id source lang topic tokens probability kept",
     "op10": "doc_id severity p_toxic grade toxic",
+    "op11": "vec_id component n deviation whitened explained identity_error exact_deviation",
+    "op12": "lang rank phrase a l r n score",
+    "op13": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
 
 
