@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer, whitening
+from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, packing, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer, whitening
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -128,3 +128,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = F.col("deviation")
     fits = exact.between(F.lit(0), F.lit(whitening.LONG_MAX))
     return found.withColumns({"deviation": F.when(fits, exact.cast("long")), "exact_deviation": exact})
+
+
+@registered()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(table(spark, sf_dir, "documents"), read_file(tokenizer_path("byte_bpe_50k.json")), window=2048)
+    # The identifiers themselves need no shuffle here; packing.packed carries them along.
+    parts = parts.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.placed(parts, window=2048)
