@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm import jaccard_join, language_id, norm_search, ordinal_toxicity, packing, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer, whitening
+from filingpanel.llm import collocations, jaccard_join, language_id, norm_search, ordinal_toxicity, packing, quartile_digest, raking, secret_scan, suffix_dedup, token_counts, transducer, whitening
 from filingpanel.llm.common import table
 from filingpanel.llm.tokenizer_file import read_file
 
@@ -130,6 +130,28 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"deviation": F.when(fits, exact.cast("long")), "exact_deviation": exact})
 
 
+@registered(
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+      w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+      g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest([1, 2, 3]) AS k) AS ks),
+      f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+      t AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+      big AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE f >= 10),
+      parts AS (SELECT b.lang, b.phrase, b.f AS a, c.c, array_to_string(ws[1:c.c], ' ') AS p, array_to_string(ws[c.c + 1:k], ' ') AS q FROM big b, (SELECT unnest([1, 2]) AS c) c WHERE c.c < k),
+      cuts AS (SELECT s.lang, s.phrase, a, c, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM parts s JOIN big x ON x.lang = s.lang AND x.phrase = s.p JOIN big y ON y.lang = s.lang AND y.phrase = s.q),
+      best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+      around AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, f FROM big WHERE k = 3),
+      widest AS (SELECT lang, phrase, max(f) AS f FROM around GROUP BY lang, phrase),
+      kept AS (SELECT b.* FROM best b LEFT JOIN widest x ON x.lang = b.lang AND x.phrase = b.phrase WHERE x.f IS NULL OR 100 * x.f < 50 * b.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank", phrase, a, l, r, n, score
+    FROM kept JOIN t USING (lang) QUALIFY "rank" <= 2000"""
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"), least=10, longest=3, keep=2000)
+
+
 @registered()
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(table(spark, sf_dir, "documents"), read_file(tokenizer_path("byte_bpe_50k.json")), window=2048)
