@@ -6,10 +6,11 @@ phrase is active: from the next scan on it is counted, until every shard has bee
 lengths are interleaved, and most long phrases need no cycle of their own. Scans end when nothing that is
 active lacks a shard.
 
-Which phrases are active is told to the tasks by two small tables over hashes: for each slot, the
-earliest and the latest scan from which any phrase with that hash counts. They say "surely not yet", "surely done" or
-"maybe"; a phrase in doubt is counted. Counts are kept by shard and once for each, so doubt costs work and
-never changes a count.
+The scans count phrases by 64-bit hash, so that the many rare ones travel as two numbers. Which are active
+is told to the tasks by two small tables: for each slot of hashes, the earliest and the latest scan from
+which any phrase there counts. They say "surely not yet", "surely done" or "maybe"; a phrase in doubt is counted, and counts
+are kept by shard and once for each. Shared hashes and slots only make phrases active that need not be. At
+last the phrases that reached the threshold are spelled out and counted once more as words, which is exact.
 """
 
 from __future__ import annotations
@@ -32,12 +33,15 @@ from filingpanel.session import recorded, remove, staged
 #: Parts of the corpus, each scanned by a job of its own.
 SHARDS = 3
 
-#: Slots of the tables of active phrases: 2^SLOT_BITS, two bytes each for every length.
-SLOT_BITS = 20
+#: Slots of the tables of active phrases, and of frequent ones: powers of two, two bytes and one byte each for every length.
+SLOT_BITS, FREQUENT_BITS = 20, 22
 
 #: Bytes of text that are counted together before they leave a worker, and rows of one batch.
 CHUNK_BYTES, OUT_ROWS = 4 << 20, 1 << 16
 
+#: Counts that a worker holds before it sends them on.
+HELD_COUNTS = 2_000_000
+
 NEVER = 255
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -45,8 +49,9 @@ _BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Letters A to Z in lower case, tabs as spaces, and ends of pieces as a byte that no text has.
 _CLEANED = bytes(0xFF if b in _BREAKS else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-_CHUNKS = pa.schema([("lang", pa.string()), ("vocabulary", pa.binary()), ("places", pa.binary()), ("shard", pa.int32())])
-_COUNTS = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("hash", pa.int64()), ("n", pa.int64())])
+_CHUNKS = pa.schema([("lang", pa.string()), ("vocabulary", pa.binary()), ("places", pa.binary()), ("n", pa.int64()), ("shard", pa.int32())])
+_COUNTS = pa.schema([("words", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+_PHRASES = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("n", pa.int64())])
 
 
 class _Vocabulary(dict):
@@ -57,15 +62,15 @@ class _Vocabulary(dict):
         return found
 
 
-def numbered(texts: list[bytes]) -> tuple[bytes, bytes]:
-    """The words of some texts, each once and ended by a line end, and their numbers from 1 in order as 32-bit integers.
+def numbered(texts: list[bytes]) -> tuple[bytes, bytes, int]:
+    """The words of some texts, each once and ended by a line end; their numbers in order as 32-bit integers; how many.
 
-    Pieces are parted by 0.
+    Numbers begin at 1, and 0 parts pieces.
     """
     data = b"\n".join(texts).translate(_CLEANED).replace(b"\xff", b" \xff ")
     numbers = _Vocabulary({b"\xff": 0})
     places = np.fromiter(map(numbers.__getitem__, data.split()), np.int32)
-    return b"".join(w + b"\n" for w in list(numbers)[1:]), places.tobytes()
+    return b"".join(w + b"\n" for w in list(numbers)[1:]), places.tobytes(), int(np.count_nonzero(places))
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -73,6 +78,11 @@ def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
+def _slots(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where hashes stand in a table with a power of two of slots: their leading bits."""
+    return (hashes >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
+
+
 def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Hashes of phrases from those of a phrase and the word after it."""
     mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + np.uint64(0x632BE59BD9B4E019))
@@ -83,66 +93,75 @@ class Active:
     """From which scan on the phrases of one length let longer ones count: by slot, the earliest and the latest."""
 
     def __init__(self, bits: int):
-        self.bits = bits
         self.earliest = np.full(1 << bits, NEVER, np.uint8)
         self.latest = np.zeros(1 << bits, np.uint8)
         self.last = -1  # the latest of all
 
-    def slots(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-
     def add(self, slots: np.ndarray, scan: int) -> None:
         if len(slots):
             self.earliest[slots] = np.minimum(self.earliest[slots], scan)
             self.latest[slots] = self.last = scan
 
 
-def counted(lang: str, vocabulary: bytes, places: bytes, scan: int, shards: int, longest: int, active: dict[int, Active]):
-    """Batches of counts of all phrases of a chunk that may be active in this scan and not counted in this shard."""
-    w = np.frombuffer(places, np.int32).astype(np.int64)
-    words = [b"", *vocabulary.split(b"\n")[:-1]]
-    size, table = len(words), pa.array(words, pa.binary())
-    hashes = _word_hashes(lang, words)
-    valid, key, bound, unpack = w > 0, w, size, []
-    sub = hashes[w]  # at each place the hash of the phrase that begins there
-    for length in range(1, longest + 1):
-        if length > 1:
-            if length - 1 not in active or len(w) < length:
-                return
-            state = active[length - 1]
-            slots = state.slots(sub)
-            early, late = state.earliest[slots], state.latest[slots].astype(np.int16)
-            valid = valid[:-1] & (w[length - 1 :] > 0)
-            may = valid & (np.maximum(early[:-1], early[1:]) <= scan)
-            if not may.any():
-                return
-            chosen = may & (np.maximum(late[:-1], late[1:]) + shards > scan)
-            if bound > 2**62 // size:
-                known = np.unique(key[:-1][valid])
-                unpack.append((length - 1, known))
-                key, bound = np.searchsorted(known, key), len(known) + 1
-            key = key[:-1] * size + w[length - 1 :]
-            bound *= size
-            sub = _joined(sub[:-1], hashes[w[length - 1 :]])
-        else:
-            chosen = valid if scan < shards else np.zeros(len(w), bool)
+class Chunk:
+    """Words of a chunk by place, and the hashes of the phrases that begin there, longer from step to step."""
+
+    def __init__(self, lang: str, vocabulary: bytes, places: bytes):
+        self.w = np.frombuffer(places, np.int32).astype(np.int64)
+        self.words = [b"", *vocabulary.split(b"\n")[:-1]]
+        self.hashes = _word_hashes(lang, self.words)
+        self.length, self.valid, self.sub = 1, self.w > 0, self.hashes[self.w]
+
+    def longer(self) -> None:
+        after = self.w[self.length :]
+        self.sub = _joined(self.sub[:-1], self.hashes[after])
+        self.valid = self.valid[:-1] & (after > 0)
+        self.length += 1
+
+
+def counted(chunk: Chunk, scan: int, shards: int, longest: int, active: dict[int, Active]):
+    """``length, hashes, counts`` of all phrases of a chunk that may be active in this scan and not counted in this shard."""
+    if scan < shards:
+        yield 1, *np.unique(chunk.sub[chunk.valid], return_counts=True)
+    while chunk.length < longest and chunk.length in active and len(chunk.sub) > 1:
+        state = active[chunk.length]
+        slots = _slots(chunk.sub, state.earliest)
+        early, late = state.earliest[slots], state.latest[slots].astype(np.int16)
+        chunk.longer()
+        may = chunk.valid & (np.maximum(early[:-1], early[1:]) <= scan)
+        if not may.any():
+            return
+        yield chunk.length, *np.unique(chunk.sub[may & (np.maximum(late[:-1], late[1:]) + shards > scan)], return_counts=True)
+
+
+def spelled(lang: str, chunk: Chunk, frequent: dict[int, np.ndarray]):
+    """Batches of exact counts of the phrases of a chunk whose hashes are in the tables of frequent ones."""
+    w, size, table = chunk.w, len(chunk.words), pa.array(chunk.words, pa.binary())
+    key, bound, unpack = w, size, []
+    while chunk.length in frequent:
+        chosen = chunk.valid & frequent[chunk.length][_slots(chunk.sub, frequent[chunk.length])]
         keys, n = np.unique(key[chosen], return_counts=True)
         for k in range(0, len(keys), OUT_ROWS):
             columns, left = [], keys[k : k + OUT_ROWS]
-            for at in range(length, 0, -1):
+            for at in range(chunk.length, 0, -1):
                 for place, known in unpack:
-                    if place == at and place < length:
+                    if place == at < chunk.length:
                         left = known[left]
-                columns.insert(0, left % size if at > 1 else left)
+                columns.insert(0, table.take(pa.array(left % size if at > 1 else left)))
                 left = left // size
-            phrase = table.take(pa.array(columns[0]))
-            code = hashes[columns[0]]
-            for column in columns[1:]:
-                phrase = pc.binary_join_element_wise(phrase, table.take(pa.array(column)), b" ")
-                code = _joined(code, hashes[column])
+            phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
             rows = len(phrase)
-            arrays = [pa.array([lang] * rows, pa.string()), pa.array(np.full(rows, length, np.int32)), phrase, pa.array(code.view(np.int64)), pa.array(n[k : k + OUT_ROWS])]
-            yield pa.RecordBatch.from_arrays(arrays, schema=_COUNTS)
+            arrays = [pa.array([lang] * rows, pa.string()), pa.array(np.full(rows, chunk.length, np.int32)), phrase, pa.array(n[k : k + OUT_ROWS])]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_PHRASES)
+        if len(chunk.sub) < 2:
+            return
+        if bound > 2**62 // size:  # the phrases so far get numbers of their own
+            known = np.unique(key[chunk.valid])
+            unpack.append((chunk.length, known))
+            key, bound = np.searchsorted(known, key), len(known) + 1
+        chunk.longer()
+        key = key[:-1] * size + w[chunk.length - 1 :]
+        bound *= size
 
 
 def _chunks(docs: DataFrame, shards: int) -> DataFrame:
@@ -172,31 +191,47 @@ def _chunks(docs: DataFrame, shards: int) -> DataFrame:
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(lang, text).mapInArrow(cut, "lang string, vocabulary binary, places binary, shard int")
+    rows = docs.select(lang, text).mapInArrow(cut, "lang string, vocabulary binary, places binary, n long, shard int")
     return staged(rows, "corpus", ("shard",))
 
 
 def _scanned(shard: DataFrame, scan: int, shards: int, longest: int, active: dict[int, Active]) -> DataFrame:
-    """Counts of one scan by phrase, written."""
+    """Counts of one scan by length and hash, written."""
     shared = shard.sparkSession.sparkContext.broadcast(active)
 
     def count(batches):
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+
+        def sums():
+            for length, parts in held.items():
+                hashes, place = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+                n = np.bincount(place, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.int64)
+                for k in range(0, len(hashes), OUT_ROWS):
+                    part = hashes[k : k + OUT_ROWS].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), length, np.int32)), pa.array(part), pa.array(n[k : k + OUT_ROWS])], schema=_COUNTS)
+            held.clear()
+
         for batch in batches:
             for row in batch.to_pylist():
-                yield from counted(row["lang"], row["vocabulary"], row["places"], scan, shards, longest, shared.value)
-
-    found = shard.select("lang", "vocabulary", "places").mapInArrow(count, "lang string, words int, phrase binary, hash long, n long")
-    summed = found.groupBy("lang", "words", "phrase").agg(F.first("hash").alias("hash"), F.sum("n").alias("n"))
-    written = staged(summed.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "hash", "n"), f"scan-{scan}", ("words",))
+                for length, *found in counted(Chunk(row["lang"], row["vocabulary"], row["places"]), scan, shards, longest, shared.value):
+                    held[length].append(found)
+                if sum(len(h) for parts in held.values() for h, _ in parts) >= HELD_COUNTS:
+                    yield from sums()
+        yield from sums()
+
+    found = shard.select("lang", "vocabulary", "places").mapInArrow(count, "words int, hash long, n long")
+    written = staged(found.groupBy("words", "hash").agg(F.sum("n").alias("n")).select("hash", "n", "words"), f"scan-{scan}", ("words",))
     shared.destroy()
     return written.withColumn("scan", F.lit(scan))
 
 
-def _total(shards: int, scans: int):
-    """Occurrences of a phrase in its first scans: each shard counts once, however often it has been scanned."""
+def _total(shards: int, first: int, scans: int):
+    """Occurrences of a phrase in scans from ``first`` on, before ``scans``: each shard counts once, however often it was scanned."""
+    if scans - first <= shards:
+        return F.sum(F.when(F.col("scan") < scans, F.col("n")).otherwise(0))
 
     def of(shard: int):
-        return F.coalesce(F.max(F.when((F.col("scan") < scans) & (F.col("scan") % shards == shard), F.col("n"))), F.lit(0))
+        return F.max(F.when((F.col("scan") < scans) & (F.col("scan") % shards == shard), F.col("n")).otherwise(0))
 
     return reduce(lambda a, b: a + b, map(of, range(shards)))
 
@@ -205,11 +240,15 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
     """``lang, words, phrase, f`` of all phrases with at least ``least`` occurrences, and ``lang, n`` of all words.
 
     Phrases have 1 to ``longest`` words; ``words`` says how many. Both results are written. The driver gets the slots
-    of what became active, at most 2^SLOT_BITS a length and scan; counts stay in tables. Whether a phrase has
-    reached ``least`` so far is asked by its hash: phrases that share one become active early, which costs work alone.
+    of what became active or frequent, at most a power of two a length; counts stay in tables.
     """
     spark = docs.sparkSession
     prepare(spark)
+
+    def slots(hashes: DataFrame, bits: int) -> np.ndarray:
+        found = hashes.select(F.shiftrightunsigned("hash", 64 - bits).cast("int").alias("slot")).distinct().toArrow()
+        return found["slot"].to_numpy().astype(np.int64)
+
     with recorded() as folders:
         corpus = _chunks(docs, shards)
         scans: list[DataFrame] = []
@@ -222,15 +261,29 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
                 if scan < length or length == 1 and scan > shards or length > 1 and (length - 1 not in active or active[length - 1].last + shards < scan):
                     continue  # nothing of this length has been counted in this scan
                 seen = reduce(DataFrame.unionByName, scans[length - 1 :]).where(F.col("words") == length)
-                sums = seen.groupBy("hash").agg(_total(shards, scan).alias("now"), _total(shards, scan - 1).alias("before"))
-                new = sums.where((F.col("now") >= least) & (F.col("before") < least))
-                slots = new.select(F.shiftrightunsigned("hash", 64 - SLOT_BITS).cast("int").alias("slot")).distinct().toArrow()["slot"].combine_chunks()
-                if len(slots):
-                    active.setdefault(length, Active(SLOT_BITS)).add(slots.to_numpy().astype(np.int64), scan)
-    every = reduce(DataFrame.unionByName, scans)
-    sums = every.groupBy("lang", "words", "phrase").agg(_total(shards, scan).alias("f"))
-    found = staged(sums.where(F.col("f") >= least).select("lang", "phrase", "f", "words"), "phrases", ("words",))
-    totals = staged(every.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+                sums = seen.groupBy("hash").agg(_total(shards, length - 1, scan).alias("now"), _total(shards, length - 1, scan - 1).alias("before"))
+                new = slots(sums.where((F.col("now") >= least) & (F.col("before") < least)), SLOT_BITS)
+                if len(new):
+                    active.setdefault(length, Active(SLOT_BITS)).add(new, scan)
+        frequent: dict[int, np.ndarray] = {}
+        for length in range(1, min(longest, len(scans)) + 1):
+            seen = reduce(DataFrame.unionByName, scans[length - 1 :]).where(F.col("words") == length)
+            found = slots(seen.groupBy("hash").agg(_total(shards, length - 1, scan).alias("f")).where(F.col("f") >= least), FREQUENT_BITS)
+            frequent[length] = np.zeros(1 << FREQUENT_BITS, bool)
+            frequent[length][found] = True
+
+    shared = spark.sparkContext.broadcast(frequent)
+
+    def spell(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from spelled(row["lang"], Chunk(row["lang"], row["vocabulary"], row["places"]), shared.value)
+
+    phrases = corpus.select("lang", "vocabulary", "places").mapInArrow(spell, "lang string, words int, phrase binary, n long")
+    sums = phrases.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    found = staged(sums.select("lang", F.col("phrase").cast("string").alias("phrase"), "f", "words"), "phrases", ("words",))
+    totals = staged(corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
+    shared.destroy()
     remove(spark, folders)
     return found, totals
 

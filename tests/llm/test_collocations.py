@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,19 +68,19 @@ def test_collocations_equal_brute_force(spark, monkeypatch, seed, least, longest
 
 def test_shared_slots_and_many_words_change_no_count(spark, monkeypatch):
     monkeypatch.setattr(collocations, "SLOT_BITS", 1)
+    monkeypatch.setattr(collocations, "FREQUENT_BITS", 2)
     rows = texts(9, 60)
     found = collocations.collocations(spark.createDataFrame(rows, DOCS).repartition(6), 3, 4, 30, 50, 3)
     assert sorted(map(tuple, found.collect())) == brute(rows, 3, 4, 30, 50)
 
 
 def test_keys_beyond_a_long_are_renumbered():
-    words = [f"w{i}" for i in range(3000)]
-    chunk = collocations.numbered([" ".join(words * 2).encode()])
-    active = {k: collocations.Active(4) for k in range(1, 7)}
-    for state in active.values():
-        state.earliest[:], state.latest[:] = 0, 200
-    rows = [(b.column(1)[i].as_py(), b.column(2)[i].as_py(), b.column(4)[i].as_py()) for b in collocations.counted("en", *chunk, 0, 3, 7, active) for i in range(b.num_rows)]
-    whole = words * 2
+    whole = [f"w{i}" for i in range(3000)] * 2
+    vocabulary, places, n = collocations.numbered([" ".join(whole).encode()])
+    frequent = {k: np.ones(16, bool) for k in range(1, 8)}
+    batches = collocations.spelled("en", collocations.Chunk("en", vocabulary, places), frequent)
+    rows = [(b.column(1)[i].as_py(), b.column(2)[i].as_py(), b.column(3)[i].as_py()) for b in batches for i in range(b.num_rows)]
+    assert n == 6000
     for k in range(1, 8):
         expected = Counter(" ".join(whole[i : i + k]).encode() for i in range(len(whole) - k + 1))
         assert {p: n for length, p, n in rows if length == k} == expected
