@@ -6,7 +6,8 @@ phrase is active: from the next scan on it is counted, until every shard has bee
 lengths are interleaved, and most long phrases need no cycle of their own. Scans end when nothing that is
 active lacks a shard.
 
-The scans count phrases by 64-bit hash, so that the many rare ones travel as two numbers. Which are active
+The scans count phrases by 64-bit hash, so that the many rare ones travel as numbers, in blocks of one range of
+hashes: the state of a range is merged with the new counts for it by one task. Which phrases are active
 is told to the tasks by two small tables: for each slot of hashes, the earliest and the latest scan from
 which any phrase there counts. They say "surely not yet", "surely done" or "maybe"; a phrase in doubt is counted, and counts
 are kept by shard and once for each. Shared hashes and slots only make phrases active that need not be. At
@@ -34,13 +35,13 @@ from filingpanel.session import recorded, remove, staged
 SHARDS = 3
 
 #: Slots of the tables of active phrases, and of frequent ones: powers of two, two bytes and one byte each for every length.
-SLOT_BITS, FREQUENT_BITS = 20, 22
+SLOT_BITS, FREQUENT_BITS = 20, 23
 
 #: Bytes of text that are counted together before they leave a worker, and rows of one batch.
-CHUNK_BYTES, OUT_ROWS = 4 << 20, 1 << 16
+CHUNK_BYTES, OUT_ROWS = 8 << 20, 1 << 16
 
-#: Counts that a worker holds before it sends them on.
-HELD_COUNTS = 2_000_000
+#: Counts that a worker holds before it sends them on, and words of the corpus for each range of hashes.
+HELD_COUNTS, RANGE_WORDS = 2_000_000, 1 << 19
 
 NEVER = 255
 
@@ -50,7 +51,8 @@ _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEANED = bytes(0xFF if b in _BREAKS else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 _CHUNKS = pa.schema([("lang", pa.string()), ("vocabulary", pa.binary()), ("places", pa.binary()), ("n", pa.int64()), ("shard", pa.int32())])
-_COUNTS = pa.schema([("words", pa.int32()), ("hash", pa.int64()), ("n", pa.int64())])
+_BLOCKS = pa.schema([("words", pa.int32()), ("part", pa.int32()), ("old", pa.bool_()), ("hashes", pa.binary()), ("totals", pa.binary()), ("shards", pa.binary()), ("reached", pa.binary())])
+_BLOCKS_SQL = "words int, part int, old boolean, hashes binary, totals binary, shards binary, reached binary"
 _PHRASES = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.binary()), ("n", pa.int64())])
 
 
@@ -98,9 +100,8 @@ class Active:
         self.last = -1  # the latest of all
 
     def add(self, slots: np.ndarray, scan: int) -> None:
-        if len(slots):
-            self.earliest[slots] = np.minimum(self.earliest[slots], scan)
-            self.latest[slots] = self.last = scan
+        self.earliest[slots] = np.minimum(self.earliest[slots], scan)
+        self.latest[slots] = self.last = scan
 
 
 class Chunk:
@@ -195,20 +196,65 @@ def _chunks(docs: DataFrame, shards: int) -> DataFrame:
     return staged(rows, "corpus", ("shard",))
 
 
-def _scanned(shard: DataFrame, scan: int, shards: int, longest: int, active: dict[int, Active]) -> DataFrame:
-    """Counts of one scan by length and hash, written."""
+def _block(words: int, part: int, old: bool, hashes: np.ndarray, totals: np.ndarray, shards: np.ndarray, reached: np.ndarray | None = None) -> dict:
+    values = words, part, old, hashes.tobytes(), totals.astype("<i8").tobytes(), shards.tobytes(), b"" if reached is None else reached.astype("<u4").tobytes()
+    return dict(zip(_BLOCKS.names, values))
+
+
+def merged(rows: list[dict], shard: int, least: int, bits: int) -> dict:
+    """The state of one length and range of hashes after a scan: hashes in order, totals, and the shards in them as bits.
+
+    ``rows`` are the state before, if any, and blocks of new counts. What a shard has been counted for before stays as it
+    is. ``reached`` are the slots of hashes that have come to ``least``.
+    """
+    h, t, m = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    new = []
+    for r in rows:
+        block = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["totals"], np.int64)
+        if r["old"]:
+            h, t, m = block[0], block[1].copy(), np.frombuffer(r["shards"], np.uint8).copy()
+        else:
+            new.append(block)
+    bit = np.uint8(1 << shard)
+    hashes, n = _summed(new)
+    at = np.searchsorted(h, hashes)
+    known = np.zeros(len(hashes), bool)
+    known[at < len(h)] = h[at[at < len(h)]] == hashes[at < len(h)]
+    place, more = at[known], np.where(m[at[known]] & bit, 0, n[known])
+    fresh = (t[place] < least) & (t[place] + more >= least)
+    t[place] += more
+    m[place] |= bit
+    first = ~known
+    reached = np.concatenate([hashes[known][fresh], hashes[first & (n >= least)]])
+    h, t, m = np.insert(h, at[first], hashes[first]), np.insert(t, at[first], n[first]), np.insert(m, at[first], bit)
+    slots = np.unique(reached >> np.uint64(64 - bits))
+    return _block(rows[0]["words"], rows[0]["part"], True, h, t, m, slots)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    hashes, place = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+    return hashes, np.bincount(place, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.int64)
+
+
+def _scanned(shard: DataFrame, scan: int, shards: int, longest: int, least: int, bits: int, active: dict[int, Active], states: dict[int, DataFrame]) -> DataFrame:
+    """The states of the lengths that one scan counts, merged with ``states`` and written."""
     shared = shard.sparkSession.sparkContext.broadcast(active)
+    slot_bits = SLOT_BITS
 
     def count(batches):
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
 
-        def sums():
-            for length, parts in held.items():
-                hashes, place = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
-                n = np.bincount(place, np.concatenate([n for _, n in parts]), len(hashes)).astype(np.int64)
-                for k in range(0, len(hashes), OUT_ROWS):
-                    part = hashes[k : k + OUT_ROWS].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), length, np.int32)), pa.array(part), pa.array(n[k : k + OUT_ROWS])], schema=_COUNTS)
+        def blocks():
+            for words, parts in held.items():
+                hashes, n = _summed(parts)
+                part = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+                starts = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = np.append(starts[1:], len(part))
+                rows = [_block(words, int(part[a]), False, hashes[a:b], n[a:b], np.zeros(0, np.uint8)) for a, b in zip(starts, ends)]
+                for k in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_pylist(rows[k : k + 256], schema=_BLOCKS)
             held.clear()
 
         for batch in batches:
@@ -216,61 +262,50 @@ def _scanned(shard: DataFrame, scan: int, shards: int, longest: int, active: dic
                 for length, *found in counted(Chunk(row["lang"], row["vocabulary"], row["places"]), scan, shards, longest, shared.value):
                     held[length].append(found)
                 if sum(len(h) for parts in held.values() for h, _ in parts) >= HELD_COUNTS:
-                    yield from sums()
-        yield from sums()
-
-    found = shard.select("lang", "vocabulary", "places").mapInArrow(count, "words int, hash long, n long")
-    written = staged(found.groupBy("words", "hash").agg(F.sum("n").alias("n")).select("hash", "n", "words"), f"scan-{scan}", ("words",))
-    shared.destroy()
-    return written.withColumn("scan", F.lit(scan))
-
-
-def _total(shards: int, first: int, scans: int):
-    """Occurrences of a phrase in scans from ``first`` on, before ``scans``: each shard counts once, however often it was scanned."""
-    if scans - first <= shards:
-        return F.sum(F.when(F.col("scan") < scans, F.col("n")).otherwise(0))
+                    yield from blocks()
+        yield from blocks()
 
-    def of(shard: int):
-        return F.max(F.when((F.col("scan") < scans) & (F.col("scan") % shards == shard), F.col("n")).otherwise(0))
+    def merge(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([merged(rows.to_pylist(), scan % shards, least, slot_bits)], schema=_BLOCKS)
 
-    return reduce(lambda a, b: a + b, map(of, range(shards)))
+    found = shard.select("lang", "vocabulary", "places").mapInArrow(count, _BLOCKS_SQL)
+    for length, state in states.items():
+        found = found.unionByName(state)
+    written = staged(found.groupBy("words", "part").applyInArrow(merge, _BLOCKS_SQL), f"scan-{scan}", ("words",)).select(*_BLOCKS.names)
+    shared.destroy()
+    return written
 
 
 def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """``lang, words, phrase, f`` of all phrases with at least ``least`` occurrences, and ``lang, n`` of all words.
 
     Phrases have 1 to ``longest`` words; ``words`` says how many. Both results are written. The driver gets the slots
-    of what became active or frequent, at most a power of two a length; counts stay in tables.
+    of what became active or frequent, at most a power of two a length; counts stay in tables. Hashes are dealt to
+    ranges of like size, as many as the corpus asks for, and a frequent phrase is one number of its range.
     """
+    if not 1 <= shards <= 8:
+        raise ValueError("a phrase keeps its shards as the bits of a byte: 1 to 8")
     spark = docs.sparkSession
     prepare(spark)
-
-    def slots(hashes: DataFrame, bits: int) -> np.ndarray:
-        found = hashes.select(F.shiftrightunsigned("hash", 64 - bits).cast("int").alias("slot")).distinct().toArrow()
-        return found["slot"].to_numpy().astype(np.int64)
-
     with recorded() as folders:
         corpus = _chunks(docs, shards)
-        scans: list[DataFrame] = []
+        size = corpus.agg(F.sum("n")).first()[0] or 0
+        bits = min(SLOT_BITS, (size // RANGE_WORDS).bit_length())
+        states: dict[int, DataFrame] = {}
         active: dict[int, Active] = {}
         scan = 0
         while scan < shards or any(a.last + shards > scan for a in active.values()):
-            scans.append(_scanned(corpus.where(F.col("shard") == scan % shards), scan, shards, longest, active))
+            # The lengths that this scan counts; the states of the others stay where they are.
+            open_ = [k for k in range(1, longest + 1) if (scan < shards if k == 1 else k - 1 in active and active[k - 1].last + shards > scan)]
+            own = {k: states[k] for k in open_ if k in states}
+            written = _scanned(corpus.where(F.col("shard") == scan % shards), scan, shards, longest, least, bits, active, own)
             scan += 1
-            for length in range(1, longest):
-                if scan < length or length == 1 and scan > shards or length > 1 and (length - 1 not in active or active[length - 1].last + shards < scan):
-                    continue  # nothing of this length has been counted in this scan
-                seen = reduce(DataFrame.unionByName, scans[length - 1 :]).where(F.col("words") == length)
-                sums = seen.groupBy("hash").agg(_total(shards, length - 1, scan).alias("now"), _total(shards, length - 1, scan - 1).alias("before"))
-                new = slots(sums.where((F.col("now") >= least) & (F.col("before") < least)), SLOT_BITS)
-                if len(new):
-                    active.setdefault(length, Active(SLOT_BITS)).add(new, scan)
-        frequent: dict[int, np.ndarray] = {}
-        for length in range(1, min(longest, len(scans)) + 1):
-            seen = reduce(DataFrame.unionByName, scans[length - 1 :]).where(F.col("words") == length)
-            found = slots(seen.groupBy("hash").agg(_total(shards, length - 1, scan).alias("f")).where(F.col("f") >= least), FREQUENT_BITS)
-            frequent[length] = np.zeros(1 << FREQUENT_BITS, bool)
-            frequent[length][found] = True
+            for length in open_:
+                states[length] = written.where(F.col("words") == length)
+            for r in written.where(F.length("reached") > 0).select("words", "reached").toLocalIterator():
+                if r["words"] < longest:
+                    active.setdefault(r["words"], Active(SLOT_BITS)).add(np.frombuffer(r["reached"], "<u4").astype(np.int64), scan)
+        frequent = _frequent(states, least)
 
     shared = spark.sparkContext.broadcast(frequent)
 
@@ -288,6 +323,26 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
     return found, totals
 
 
+def _frequent(states: dict[int, DataFrame], least: int) -> dict[int, np.ndarray]:
+    """By length, which slots have a hash with at least ``least`` occurrences."""
+    bits = FREQUENT_BITS
+
+    def marked(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                hashes = np.frombuffer(r["hashes"], np.uint64)[np.frombuffer(r["totals"], np.int64) >= least]
+                slots = np.unique(hashes >> np.uint64(64 - bits)).astype("<u4")
+                if len(slots):
+                    yield pa.RecordBatch.from_pylist([{"slots": slots.tobytes()}])
+
+    frequent = {}
+    for length, state in states.items():
+        frequent[length] = np.zeros(1 << bits, bool)
+        for r in state.select("hashes", "totals").mapInArrow(marked, "slots binary").toLocalIterator():
+            frequent[length][np.frombuffer(r["slots"], "<u4")] = True
+    return frequent
+
+
 def _part(first: int, last: int):
     """Words ``first`` to ``last`` (from 1, inclusive) of a phrase."""
     return F.concat_ws(" ", F.slice(F.split("phrase", " "), first, last - first + 1))
