@@ -6,8 +6,12 @@ date, one row for each order. Values are null where an order's status is P.
 
 from __future__ import annotations
 
+import io
 import os
+import zipfile
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,11 @@ def write_named(lines: DataFrame, folder: str) -> None:
     parts = shared_folder(spark, "parts")
     ordered = lines.repartition("name").sortWithinPartitions("name", "place")
     ordered.select("name", "line").write.partitionBy("name").text(parts)
+    _move(spark, parts, folder)
+
+
+def _move(spark: SparkSession, parts: str, folder: str) -> None:
+    """Give the only file of each partition ``name`` that name."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(folder)
     files = target.getFileSystem(conf)
@@ -45,6 +54,27 @@ def write_named(lines: DataFrame, folder: str) -> None:
         files.rename(jvm.org.apache.hadoop.fs.Path(row["path"]), jvm.org.apache.hadoop.fs.Path(os.path.join(folder, row["name"])))
 
 
+def write_archives(lines: DataFrame, folder: str) -> None:
+    """ZIP archives named by the column ``name``, with the members ``member`` in the order of ``number``.
+
+    Each is packed by one task. Text files end with a line break; here it is the archive's comment.
+    """
+
+    def packed(rows: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            for (_, member), own in rows.sort_values(["number", "place"]).groupby(["number", "member"]):
+                archive.writestr(member, "".join(line + "\n" for line in own["line"].dropna()))
+            archive.comment = b"\n"
+        return pd.DataFrame({"name": [rows["name"].iloc[0]], "content": [buffer.getvalue()[:-1]]})
+
+    spark = lines.sparkSession
+    parts = shared_folder(spark, "parts")
+    archives = lines.groupBy("name").applyInPandas(packed, "name string, content binary")
+    archives.select("name", F.col("content").cast("string").alias("line")).write.partitionBy("name").text(parts)
+    _move(spark, parts, folder)
+
+
 def filing_lines(spark: SparkSession, sf_dir: str, prefix: str = "Bulk ", price=None, columns=("RCON1", "RCON2"), rows=None) -> DataFrame:
     """The lines of the yearly files; ``rows`` limits the filers of a file to some of them."""
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
@@ -60,6 +90,63 @@ def filing_lines(spark: SparkSession, sf_dir: str, prefix: str = "Bulk ", price=
     return body.union(orders.select(name, F.lit(-1).cast("bigint"), header).distinct())
 
 
+def schedule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of yearly archives with four members: all orders, those with returned items, a header alone, nothing.
+
+    The first two share the column RCON2, which has other values in the second one.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("items"))
+    price = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).otherwise("")
+    name = F.concat(F.lit("FFIEC CDR Call Bulk All Schedules 1231"), F.col("year"), F.lit(".zip")).alias("name")
+    years = orders.select("year").distinct()
+
+    def member(number: int, title: str, rows: DataFrame, *values) -> DataFrame:
+        line = F.concat_ws("\t", "o_orderkey", *values)
+        return rows.select(name, F.lit(title).alias("member"), F.lit(number).alias("number"), F.col("o_orderkey").alias("place"), line.alias("line"))
+
+    def head(number: int, title: str, *columns: str) -> DataFrame:
+        line = F.lit("\t".join(columns)) if columns else F.lit(None).cast("string")
+        return years.select(name, F.lit(title).alias("member"), F.lit(number).alias("number"), F.lit(-1).cast("bigint").alias("place"), line.alias("line"))
+
+    parts = [
+        head(0, "Schedule RC.txt", "IDRSSD", "RCON1", "RCON2", "RCON3"),
+        member(0, "Schedule RC.txt", orders, price, "o_custkey", "o_orderpriority"),
+        head(1, "Schedule RI.txt", "IDRSSD", "RCON2", "RIAD1"),
+        member(1, "Schedule RI.txt", orders.join(returned, "o_orderkey"), F.lit("9"), "items"),
+        head(2, "Schedule RX.txt", "IDRSSD", "RCONX"),
+        head(3, "empty.txt"),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+SCHEDULES_SQL = f"""v AS ({VALUES_SQL}), returned AS (SELECT l_orderkey AS filer_id, count(*) AS items FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+    f AS (SELECT quarter, filer_id, 0 AS member_ordinal, 'RCON1' AS variable, price AS num_value, NULL::VARCHAR AS str_value FROM v WHERE price IS NOT NULL
+        UNION ALL SELECT quarter, filer_id, 0, 'RCON2', customer::DOUBLE, NULL FROM v
+        UNION ALL SELECT {YEAR_SQL}::VARCHAR || 'Q4', o_orderkey, 0, 'RCON3', NULL, o_orderpriority FROM orders
+        UNION ALL SELECT quarter, filer_id, 1, 'RIAD1', items::DOUBLE, NULL FROM v JOIN returned USING (filer_id))"""
+
+
+def archived_panel(spark: SparkSession, sf_dir: str) -> str:
+    source, folder = shared_folder(spark, "archives"), shared_folder(spark, "panel")
+    write_archives(schedule_lines(spark, sf_dir), source)
+    update_bulk(spark, source, folder)
+    return folder
+
+
+@registered(f"WITH {SCHEDULES_SQL} SELECT quarter, filer_id, variable, num_value, str_value FROM f")
+def zip_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of archives with several schedules; the first one's column counts where two have the same."""
+    return read_panel(spark, archived_panel(spark, sf_dir)).facts.select("quarter", "filer_id", "variable", "num_value", "str_value")
+
+
+@registered(f"""WITH {SCHEDULES_SQL} SELECT quarter, member_ordinal, variable, CASE WHEN variable = 'RCON3' THEN 'string' ELSE 'double' END AS dtype, count(*) AS n_values
+    FROM f GROUP BY quarter, member_ordinal, variable""")
+def zip_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of archives with several schedules, and which schedule each is taken from."""
+    return read_panel(spark, archived_panel(spark, sf_dir)).catalog.select("quarter", "member_ordinal", "variable", "dtype", "n_values")
+
+
 def written_panel(spark: SparkSession, sf_dir: str) -> str:
     source, folder = shared_folder(spark, "filings"), shared_folder(spark, "panel")
     write_named(filing_lines(spark, sf_dir), source)

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from filingpanel.functions.names import base_name
 from filingpanel.functions.periods import period_from_bulk_name
 from filingpanel.operators.columns import find_filer_column
+from filingpanel.session import staged
 from filingpanel.sources import cells, slices
-from filingpanel.sources.files import open_file, read_files
+from filingpanel.sources.blocks import MemberStream, archive_members, file_blocks, member_parts, members_of
+from filingpanel.sources.files import MOST_BYTES, open_file, read_files
 from filingpanel.sources.headers import unique_names
 
 PATTERN = "*.{txt,csv,zip}"
@@ -27,19 +29,75 @@ _SURPLUS = "\x00surplus"
 LOOSE = "utf-8, ignoring other bytes"
 
 
-def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN) -> DataFrame:
-    """Decoded rows (``cells.CELL_SCHEMA``) of all schedules below ``paths``."""
-    return decode_delimited(read_files(spark, paths, pattern, keep=keep))
+def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Decoded rows (``cells.CELL_SCHEMA``) of all schedules below ``paths``; files over ``most_bytes`` are read in blocks."""
+    return decode_delimited(read_files(spark, paths, pattern, keep=keep, most_bytes=most_bytes), most_bytes)
 
 
-def decode_delimited(files: DataFrame) -> DataFrame:
-    """Decode files given as ``(path, file_name, content)``; one header, then rows, per member."""
-    cut = files.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
+def decode_delimited(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Decode files given as ``(path, file_name, length, content)``; one header, then rows, per member."""
+    inside, beyond = files.where(F.col("length") <= most_bytes), files.where(F.col("length") > most_bytes)
+    cut = inside.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
+    large = beyond.select("path", "file_name", "length")  # known from the listing; content is not read for it
+    if large.limit(1).count():
+        cut = cut.unionByName(_cut_large(large))
     # Derived once per slice and carried along: the pattern search is too dear to repeat per row.
     dated = cut.withColumn("period", period_from_bulk_name(base_name(F.col("path"))))
     return slices.spread(dated).mapInArrow(_parse, cells.CELL_SCHEMA)
 
 
+def _cut_large(files: DataFrame) -> DataFrame:
+    """Slices of files beyond a row: each loose file, and each member of an archive, is cut as a stream by one task.
+
+    Members are unpacked twice, first to learn their encoding and whether they are whole.
+    """
+    large = staged(files, "large")
+    blocks = staged(file_blocks(large.select("path", "length")), "placed")
+    zipped = F.lower("file_name").endswith(".zip")
+    archives = blocks.join(large.where(zipped).select("path"), "path", "left_semi")
+    members = archive_members(archives, lambda name: name.endswith((".txt", ".csv")), cells.DECODE_ERRORS)
+    none = {name: F.lit(None).cast(kind) for name, kind in members.dtypes}
+    loose = large.where(~zipped).select(
+        *[{**none, "path": F.col("path"), "ordinal": F.lit(0), "name": F.col("file_name"), "first": F.lit(0).cast("long"), "last": F.col("length")}[c].alias(c) for c in members.columns]
+    )
+    parts = member_parts(blocks, members.where(F.col("problem").isNull()).unionByName(loose)).select("path", "ordinal", "name", "method", "packed", "crc", "offset", "data")
+    key = ["path", "ordinal"]
+    ordered = parts.where(F.col("method").isNotNull()).repartition(*key).sortWithinPartitions(*key, "offset")
+    verdicts = staged(ordered.mapInArrow(_encodings, "path string, ordinal int, encoding string, problem string"), "encodings")
+    known = parts.join(verdicts, key, "left").repartition(*key).sortWithinPartitions(*key, "offset")
+    cut = known.mapInArrow(_cut_streams, slices.SLICE_SCHEMA)
+    broken = members.where(F.col("problem").isNotNull()).join(large.select("path", "file_name"), "path")
+    failed = {"path": F.col("path"), "source_name": F.col("file_name"), "member_ordinal": F.lit(cells.WHOLE_FILE), "error": F.col("problem")}
+    columns = [failed.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in cut.schema]
+    return cut.unionByName(broken.select(*columns))
+
+
+def _stream(first: dict, parts: Iterator[bytes]) -> MemberStream:
+    return MemberStream(parts, first["method"], first["packed"] or 0, first["crc"] or 0)
+
+
+def _encodings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for first, parts in members_of(batches):
+        encoding = problem = None
+        try:
+            encoding = encoding_of(_stream(first, parts))
+        except cells.DECODE_ERRORS as found:
+            problem = cells.error_text(found)
+        row = {"path": first["path"], "ordinal": first["ordinal"], "encoding": encoding, "problem": problem}
+        yield pa.RecordBatch.from_pylist([row], pa.schema([("path", pa.string()), ("ordinal", pa.int32()), ("encoding", pa.string()), ("problem", pa.string())]))
+
+
+def _cut_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for first, parts in members_of(batches):
+        if first["problem"] is not None:  # one member that cannot be unpacked rejects its archive, as below that size
+            yield _failed(first["path"], first["path"].rsplit("/", 1)[-1], cells.WHOLE_FILE, first["problem"])
+            continue
+        try:
+            yield from _cut_member(first["path"], first["name"], first["ordinal"], _stream(first, parts), first["encoding"] or LOOSE)
+        except cells.DECODE_ERRORS as problem:
+            yield _failed(first["path"], first["name"], first["ordinal"], problem)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, name, content in zip(*(batch.column(i) for i in range(3))):

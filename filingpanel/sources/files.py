@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from filingpanel.functions.names import base_name, decoded_file_name
 
-# A row cannot hold more than this; a larger file is reported as unreadable, in batches and streams alike.
+# A row cannot hold more than this. Larger delimited files and archives are read in blocks (``sources.blocks``).
 MOST_BYTES = 2_000_000_000
 
 
@@ -36,6 +36,7 @@ def read_files(
     pattern: str | None = None,
     recursive: bool = False,
     keep: Column | None = None,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """``(path, file_name, length, content)`` of the files whose name satisfies ``keep``.
 
@@ -43,7 +44,7 @@ def read_files(
     files it rejects are never opened.
     """
     files = _reader(spark, pattern, recursive).load(paths if isinstance(paths, str) else list(paths))
-    return with_content(files if keep is None else files.where(keep))
+    return with_content(files if keep is None else files.where(keep), most_bytes)
 
 
 def with_content(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SLICE_BYTES = 4 * 1024 * 1024
+# A row cannot be longer: it is decoded by one task, from one slice.
+MOST_ROW = 256 * 1024 * 1024
 # Row numbers of a text slice start here times its number; they order rows, without gaps mattering.
 ROWS_PER_SLICE = 1 << 32
 SLICE_SCHEMA = (
@@ -83,28 +85,64 @@ def spread(slices: DataFrame) -> DataFrame:
 def text_slices(stream: BinaryIO, size: int = SLICE_BYTES) -> Iterator[bytes]:
     """The stream's bytes in pieces that end where a row ends.
 
-    A line break inside quotes ends no row. Pieces without any quote are cut at their last line
-    break; others are read as rows up to there.
+    A line break inside quotes ends no row. Lines without any quote need no look inside; the others are
+    followed field by field, each once, so that a quote that is never closed costs no more than another.
     """
-    waiting = b""
+    waiting: list[bytes] = []  # since the last row end
+    rest, held, quoted = b"", 0, False
     while piece := stream.read(size):
-        waiting += piece
-        end = _last_row_end(waiting)
-        if end:
-            yield waiting[:end]
-            waiting = waiting[end:]
-    if waiting:
-        yield waiting
-
-
-def _last_row_end(data: bytes) -> int:
-    if b'"' not in data:
-        return data.rfind(b"\n") + 1
-    # The last row may go on in the next piece.
-    previous, last = 0, 0
-    for _, end in _rows_with_ends(data):
-        previous, last = last, end
-    return previous
+        end = piece.rfind(b"\n") + 1
+        if held + len(rest) > MOST_ROW:
+            raise ValueError(f"a row goes on for more than {MOST_ROW} bytes")
+        if not end:
+            rest += piece
+            continue
+        lines, rest = rest + piece[:end], piece[end:]
+        cut = 0
+        if not quoted and b'"' not in lines:
+            cut = len(lines)
+        else:
+            at = 0
+            while at < len(lines):
+                after = lines.index(b"\n", at) + 1
+                quoted = stays_quoted(lines[at:after], quoted)
+                cut = cut if quoted else after
+                at = after
+        if cut:
+            yield b"".join([*waiting, lines[:cut]])
+            waiting, held = [], 0
+        if cut < len(lines):
+            waiting.append(lines[cut:])
+            held += len(lines) - cut
+    if waiting or rest:
+        yield b"".join([*waiting, rest])
+
+
+def stays_quoted(line: bytes, quoted: bool) -> bool:
+    """Whether a line ends within quotes, if it begins within (``quoted``) or at the start of a row.
+
+    Quotes count at the start of a field; two of them within one stand for themselves.
+    """
+    at = 0
+    while True:
+        if not quoted:
+            if line[at : at + 1] == b'"':
+                quoted, at = True, at + 1
+            else:
+                at = line.find(b"\t", at) + 1
+                if not at:
+                    return False
+                continue
+        at = line.find(b'"', at) + 1
+        if not at:
+            return True
+        if line[at : at + 1] == b'"':
+            at += 1
+            continue
+        quoted = False
+        at = line.find(b"\t", at) + 1
+        if not at:
+            return False
 
 
 def _rows_with_ends(data: bytes) -> Iterator[tuple[list[str], int]]:

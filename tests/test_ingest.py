@@ -1,4 +1,7 @@
 import datetime as dt
+import io
+import zipfile
+import zlib
 
 import pytest
 from archives import delimited, xport, zipped
@@ -142,14 +145,91 @@ def test_a_damaged_archive_is_rejected_as_a_whole(spark, tmp_path, rows):
     assert rows(panel.status, "state", "message")[0][1].startswith("x_20240331.zip: BadZipFile")
 
 
-def test_files_beyond_a_row_are_reported(spark, bulk_folder, rows):
-    from filingpanel.sources.delimited import decode_delimited
+@pytest.mark.parametrize("block", [64, 1000, 1 << 22])
+def test_files_beyond_a_row_decode_like_others(spark, bulk_folder, tmp_path, monkeypatch, block):
+    """All kinds of members, broken archives and loose files; read whole and in blocks of many sizes."""
+    from filingpanel.sources import blocks
+
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(blocks, "TAIL_BYTES", 30)
+    monkeypatch.setattr(blocks.file_blocks, "__defaults__", (block,))
+    long = delimited(["IDRSSD", "A", "B"], [[i, f'"x\ny{i}"', "é"] for i in range(900)])
+    whole = zipped({f"m{k}.txt": delimited(["IDRSSD", f"V{k}"], [[k, k]]) for k in range(40)} | {"long.txt": long, "l1.csv": long.decode().encode("latin-1")})
+    folder = put(
+        tmp_path / "more",
+        **{
+            "a +b%20 03312012.txt": long + b"9999\t1\t2",
+            "mark 06302012.txt": b"\xef\xbb\xbf" + delimited(["IDRSSD", "A"], [[1, 2]]),
+            "open 09302012.txt": delimited(["IDRSSD", "A"], [[1, '"never closed'], [2, 3]]),
+            "[x]{y} 12312012.zip": whole,
+            "cut 03312013.zip": whole[: len(whole) // 2],
+            "wrong 06302013.zip": whole.replace(zlib.crc32(long).to_bytes(4, "little"), b"1234"),
+            "none 09302013.zip": zipped({"readme.pdf": b""}),
+        },
+    )
+    for name in (bulk_folder, folder):
+        rows_, errors = [], []
+        for most in (1, files.MOST_BYTES):
+            decoded = read_delimited(spark, name, most_bytes=most).collect()
+            failed = {r.path for r in decoded if r.error is not None and r.member_ordinal == -1}
+            errors.append(sorted({(r.path, r.member_ordinal, r.source_name, r.error.split(":")[0]) for r in decoded if r.error is not None and not (r.path in failed and r.member_ordinal >= 0)}))
+            rows_.append(sorted(repr((r.path, r.source_name, r.member_ordinal, r.period, r.filer_id, r.cells)) for r in decoded if r.error is None and r.path not in failed))
+        assert rows_[0] == rows_[1] and len(rows_[0]) > 3
+        assert errors[0] == errors[1] and len(errors[0]) >= 2
+
+
+def test_members_are_unpacked_in_pieces():
+    import random
+
+    from filingpanel.sources.blocks import MemberStream
+
+    data = random.Random(1).randbytes(5000) * 3
+    for method in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", method) as archive:
+            archive.writestr("a b.txt", data)
+            info = archive.infolist()[0]
+        raw = buffer.getvalue()
+        for size in (1, 7, 4096, 10**6):
+            parts = iter([raw[k : k + size] for k in range(0, len(raw), size)])
+            stream = MemberStream(parts, method, info.compress_size, info.CRC)
+            assert b"".join(iter(lambda: stream.read(333), b"")) == data
+        with pytest.raises(zipfile.BadZipFile):
+            MemberStream(iter([raw]), method, info.compress_size, info.CRC + 1).read()
+        with pytest.raises(EOFError):
+            MemberStream(iter([raw[:200]]), method, info.compress_size, info.CRC).read()
+
+
+def test_quotes_are_followed_line_by_line():
+    import random
 
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(bulk_folder)
-    cut = files.with_content(listed, most_bytes=20)
-    assert cut.where("content is null").count() == 1 and cut.count() == 2
-    errors = [r.error for r in decode_delimited(cut).where("error is not null").collect()]
-    assert any("more than" in e for e in errors)
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choice(['"', '"', "\t", "\t", "\n", "x", "y"]) for _ in range(40)) + "\n"
+        ends, state = [], False
+        for line in text.encode().splitlines(keepends=True):
+            state = slices.stays_quoted(line, state)
+            ends.append(not state)
+        expected = [end for _, end in slices._rows_with_ends(text.encode())]
+        at, own = 0, []
+        for line, end in zip(text.splitlines(keepends=True), ends):
+            at += len(line)
+            if end:
+                own.append(at)
+        assert own == [e for e in expected if e < len(text) or ends[-1]]
+
+
+def test_a_quote_that_is_never_closed_costs_linear_time():
+    import time
+
+    def seconds(n: int) -> float:
+        data = b'1\t"open\n' + b"2\tx\n" * n
+        started = time.process_time()
+        assert b"".join(slices.text_slices(io.BytesIO(data), 1 << 16)) == data
+        return time.process_time() - started
+
+    seconds(10_000)
+    assert seconds(1_600_000) < 40 * max(0.02, seconds(100_000))
 
 
 def test_slices_end_at_rows():
