@@ -12,6 +12,7 @@ how many of their words are marked by the sample itself, in thirds, so a text fu
 from __future__ import annotations
 
 import dataclasses
+import math
 import re
 import uuid
 from collections import Counter
@@ -30,8 +31,15 @@ GRADES = 3
 PER_CLASS = 6000
 
 #: Features that the model may weigh: so many, each in so many toxic rows, and with log odds that lie above
-#: this even two standard errors lower.
+#: this even two standard errors lower. Up to SURE_ROWS toxic rows fewer errors are asked for, with their logarithm,
+#: and up to FEW_ROWS one row less: few labels would otherwise mark next to nothing.
 MAX_FEATURES, LEAST_ROWS, LEAST_ODDS = 2048, 3, 1.5
+SURE_ROWS, FEW_ROWS = 1000, 100
+
+
+def evidence(toxic: int) -> tuple[int, float]:
+    """In how many toxic rows a feature must be, and by how many standard errors its odds must hold, given so many toxic rows."""
+    return LEAST_ROWS - (toxic <= FEW_ROWS), 2 * min(1.0, math.log(max(toxic, 1)) / math.log(SURE_ROWS))
 
 #: Steps, step size and the two penalties of the fit (small weights become exactly 0).
 STEPS, RATE, RIDGE, LASSO = 600, 0.1, 1e-5, 3e-5
@@ -152,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         return Model({}, [])
     odds = F.log((F.col("yes") + 0.5) / (total[1] - F.col("yes") + 0.5)) - F.log((F.col("no") + 0.5) / (total[0] - F.col("no") + 0.5))
     spread = F.sqrt(1 / (F.col("yes") + 0.5) + 1 / (F.col("no") + 0.5))
-    sure = both.where(F.col("yes") >= LEAST_ROWS).select("feature", odds.alias("odds"), (odds - 2 * spread).alias("bound"))
+    least, errors = evidence(total[1])
+    sure = both.where(F.col("yes") >= least).select("feature", odds.alias("odds"), (odds - errors * spread).alias("bound"))
     best = sure.where(F.col("bound") > LEAST_ODDS).orderBy(F.desc("bound"), "feature").limit(MAX_FEATURES).collect()
     names = sorted(r["feature"] for r in best)
     strong = {r["feature"] for r in best if r["odds"] > 3 and not r["feature"].endswith("*")}

@@ -246,3 +246,21 @@ def test_the_cut_lies_above_texts_without_features():
     assert ordinal_toxicity.best_cut(np.array([-1.0, 0.0, -2.0, -2.0]), toxic) == float("inf")
     assert 0 < ordinal_toxicity.best_cut(np.array([1.0, 0.0, 0.0, -1.0]), toxic) < 1
     assert 1 < ordinal_toxicity.best_cut(np.array([2.0, 3.0, 1.0, 0.0]), toxic) < 2
+
+
+@pytest.mark.parametrize("folder, least", [("sf0.001", 0.9), ("sf0.01", 0.9)])
+def test_few_labels_still_mark_toxic_texts(spark, folder, least):
+    from filingpanel.llm import queries
+
+    path = f"/root/testdata/{folder}"
+    called = {r["doc_id"]: r["toxic"] for r in queries.QUERIES["op10_ordinal_toxicity"](spark, path).collect()}
+    labels = [(r["doc_id"], r["toxic"]) for r in spark.read.parquet(f"{path}/labels.parquet").collect()]
+    assert sum(called[i] for i, t in labels if t == 1) >= least * sum(t for _, t in labels)
+    assert sum(called[i] for i, t in labels if t == 0) <= 0.02 * len(labels)
+
+
+def test_evidence_follows_the_number_of_labels():
+    from filingpanel.llm import ordinal_toxicity
+
+    found = [ordinal_toxicity.evidence(n) for n in (1, 11, 100, 101, 1000, 10**6)]
+    assert found == sorted(found) and found[-1] == found[-2] == (ordinal_toxicity.LEAST_ROWS, 2.0)
