@@ -72,12 +72,12 @@ def period_from_call_name(name: Column | str) -> Column:
     that ends no quarter, give null.
     """
 
-    def read(digits: Column) -> Column:
-        year, month = F.substring(digits, 1, 2).try_cast("int"), F.substring(digits, 3, 2).try_cast("int")
+    def read(number: Column) -> Column:
+        year, month = F.floor(number / 100).cast("int"), number % 100
         century = F.when(year >= CENTURY_FROM, 1900).otherwise(2000)
         return F.when(month.isin(3, 6, 9, 12), F.last_day(F.make_date(century + year, month, F.lit(1))))
 
-    return _once(F.regexp_extract(F.lower(_as_col(name)), CALL_NAME, 1), read)
+    return _once(_digits(F.regexp_extract(F.lower(_as_col(name)), CALL_NAME, 1)), read)
 
 
 def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Column:
@@ -87,18 +87,21 @@ def period_from_bulk_name(name: Column | str, style: str = QUARTER_END) -> Colum
     follows from the month. Names that fit neither order give null.
     """
 
-    def part(digits: Column, start: int, length: int) -> Column:
-        return F.substring(digits, start, length).try_cast("int")
-
     def quarter_start(year: Column, month: Column, day: Column) -> Column:
         plausible = year.between(*BULK_YEARS) & month.between(1, 12) & day.between(1, 31)
         return F.when(plausible, F.make_date(year, month, F.lit(1)))
 
-    def read(digits: Column) -> Column:
-        month_first = quarter_start(part(digits, 5, 4), part(digits, 1, 2), part(digits, 3, 2))
-        return F.coalesce(month_first, quarter_start(part(digits, 1, 4), part(digits, 5, 2), part(digits, 7, 2)))
+    def read(number: Column) -> Column:
+        high, low = F.floor(number / 10_000).cast("int"), number % 10_000
+        first, second = F.floor(high / 100).cast("int"), F.floor(low / 100).cast("int")
+        return F.coalesce(quarter_start(low, first, high % 100), quarter_start(high, second, low % 100))
+
+    return reporting_period(_once(_digits(F.regexp_extract(_as_col(name), EIGHT_DIGITS, 1)), read), style)
+
 
-    return reporting_period(_once(F.regexp_extract(_as_col(name), EIGHT_DIGITS, 1), read), style)
+def _digits(found: Column) -> Column:
+    """What a pattern has found as a number; null where it found nothing (a cast of the empty text costs an error a row)."""
+    return F.when(found != "", found.cast("int"))
 
 
 def _once(value: Column, read) -> Column:
