@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from filingpanel.llm.common import prepare
+from filingpanel.llm.common import prepare, shuffles_removed
 from filingpanel.session import recorded, remove, staged
 
 #: Parts of the corpus, each scanned by a job of its own.
@@ -287,26 +287,35 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
         raise ValueError("a phrase keeps its shards as the bits of a byte: 1 to 8")
     spark = docs.sparkSession
     prepare(spark)
-    with recorded() as folders:
+    with recorded() as folders, shuffles_removed(spark):
         corpus = _chunks(docs, shards)
         size = corpus.agg(F.sum("n")).first()[0] or 0
         bits = min(SLOT_BITS, (size // RANGE_WORDS).bit_length())
         states: dict[int, DataFrame] = {}
         active: dict[int, Active] = {}
+        written_for: list[tuple[list[str], set[int]]] = []  # folders of states, and the lengths read from them
         scan = 0
         while scan < shards or any(a.last + shards > scan for a in active.values()):
             # The lengths that this scan counts; the states of the others stay where they are.
             open_ = [k for k in range(1, longest + 1) if (scan < shards if k == 1 else k - 1 in active and active[k - 1].last + shards > scan)]
             own = {k: states[k] for k in open_ if k in states}
-            written = _scanned(corpus.where(F.col("shard") == scan % shards), scan, shards, longest, least, bits, active, own)
+            with recorded() as new:
+                written = _scanned(corpus.where(F.col("shard") == scan % shards), scan, shards, longest, least, bits, active, own)
             scan += 1
             for length in open_:
                 states[length] = written.where(F.col("words") == length)
+            for paths, lengths in written_for:
+                if lengths and not lengths - set(open_):
+                    remove(spark, paths)
+                lengths -= set(open_)
+            written_for.append((new, set(open_)))
             for r in written.where(F.length("reached") > 0).select("words", "reached").toLocalIterator():
                 if r["words"] < longest:
                     active.setdefault(r["words"], Active(SLOT_BITS)).add(np.frombuffer(r["reached"], "<u4").astype(np.int64), scan)
         frequent = _frequent(states, least)
-
+        for paths, lengths in written_for:
+            if lengths:
+                remove(spark, paths)
     shared = spark.sparkContext.broadcast(frequent)
 
     def spell(batches):
@@ -316,8 +325,9 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
 
     phrases = corpus.select("lang", "vocabulary", "places").mapInArrow(spell, "lang string, words int, phrase binary, n long")
     sums = phrases.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    found = staged(sums.select("lang", F.col("phrase").cast("string").alias("phrase"), "f", "words"), "phrases", ("words",))
-    totals = staged(corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
+    with shuffles_removed(spark):
+        found = staged(sums.select("lang", F.col("phrase").cast("string").alias("phrase"), "f", "words"), "phrases", ("words",))
+        totals = staged(corpus.groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
     shared.destroy()
     remove(spark, folders)
     return found, totals

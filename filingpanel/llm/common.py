@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Whether the shuffle files of a query go when it has ended, and not when the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile, shuffle files go with the query that made them: for rounds whose results are written."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks and starts anew when it holds ``limit`` entries."""
 
