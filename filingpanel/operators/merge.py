@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from filingpanel.session import staged
+
 
 # Rows that one key may become where rows of repeated keys are multiplied.
 MULTIPLIED_AT_MOST = 10_000
@@ -24,7 +26,8 @@ def merge_schedules(
     """Full outer merge of wide members; of a column in several members the first member's wins.
 
     First wins per column, not per value: a filer that only a later member has gets NULL there.
-    ``coalesce=True`` fills those from the later members instead. One shuffle for any number of members.
+    ``coalesce=True`` fills those from the later members instead. The rows are brought together once for any number of
+    members, by key and place; keys that a member repeats are counted and numbered before (two more passes).
 
     Rows that repeat a key align with the other members' rows of the same place, in the order of their
     values; the rest stay rows of their own. ``multiply=True`` combines each with each instead, as a join
@@ -42,17 +45,44 @@ def merge_schedules(
                 owned.setdefault(column, []).append(name)
                 chosen.append(F.col(f"`{column}`").alias(name))
         parts.append(member.select(F.col(f"`{key}`").alias("_key"), F.lit(ordinal).alias("_member"), *chosen))
-    # Brought together by key once: place within the member, and the merge itself, need no further shuffle.
-    stacked = union_sources(parts).repartition("_key")
+    stacked = union_sources(parts)
     names = [name for group in owned.values() for name in group]
-    place = F.row_number().over(Window.partitionBy("_key", "_member").orderBy(*names)) if names else F.lit(1)
-    merged = stacked.withColumn("_place", place).groupBy("_key", "_place").agg(
+    merged = _numbered(stacked, names).groupBy("_key", "_place").agg(
         F.count("*").alias("_rows"), *[F.max(name).alias(name) for name in names]
     )
     columns = [F.coalesce(*group).alias(column) for column, group in owned.items()]
     return merged.select(F.col("_key").alias(key), *columns)
 
 
+def _numbered(stacked: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows with their ``_place`` among those of the same key and member, in the order of their values.
+
+    Only keys that a member repeats are numbered at all. Their rows are dealt into ranges of key, member and values and
+    written, so that a range knows its own counts; those of the ranges before are added. A key with a third
+    of all rows, null included, lies in many ranges, and no task gets it whole.
+    """
+    group = ["_key", "_member"]
+    counts = staged(stacked.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").select("_key").distinct(), "repeated")
+    if not counts.limit(1).count():
+        return stacked.withColumn("_place", F.lit(1).cast("bigint"))
+    repeated = counts.select(F.col("_key").alias("_repeated"))
+    same = F.col("_key").eqNullSafe(F.col("_repeated"))
+    single = stacked.join(repeated, same, "left_anti").withColumn("_place", F.lit(1).cast("bigint"))
+    rows = stacked.join(repeated, same, "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    order = [*group, *names, "_tie"]  # equal rows are told apart, so that ranges can part them
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = staged(ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "ranged")
+    sizes = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(
+        F.col("_key").alias("_k"), F.col("_member").alias("_m"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    )
+    turn = F.row_number().over(Window.partitionBy(*group, "_range").orderBy("_at"))
+    met = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_member") == F.col("_m")) & (F.col("_range") == F.col("_r"))
+    placed = ranged.withColumn("_turn", turn).join(before, met).withColumn("_place", F.col("_before") + F.col("_turn"))
+    return single.unionByName(placed.select(*single.columns))
+
+
 def _multiplied(members: Sequence[DataFrame], key: str, coalesce: bool, at_most: int) -> DataFrame:
     counts = [m.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count("*").cast("double").alias("n")) for m in members]
     products = union_sources(counts).groupBy("_key").agg(F.exp(F.sum(F.log("n"))).alias("n"))

@@ -446,3 +446,21 @@ def test_inventory(spark, rows):
     )
     grouped = inventory.size_by(files, inventory.folder_of(F.col("path"), ["FFIEC_002"]))
     assert rows(grouped) == [("FFIEC_002", 1, 1.0), ("Other", 2, 1.0)]
+
+
+def test_merge_splits_a_key_with_a_third_of_all_rows(spark):
+    """Null and repeated keys are numbered over many ranges, and each place is a group of its own."""
+    first = [(None, i % 50) for i in range(400)] + [(7, 1)] * 300 + [(k, k) for k in range(100, 500)]
+    second = [(None, i) for i in range(5)] + [(7, 2)] * 350 + [(k, -k) for k in range(300, 600)]
+    a = spark.createDataFrame(first, "id long, x long").repartition(6)
+    b = spark.createDataFrame(second, "id long, y long").repartition(3)
+    found = sorted((tuple(r) for r in merge.merge_schedules([a, b], "id").collect()), key=repr)
+
+    expected = []
+    for key in {k for k, _ in first + second}:
+        xs, ys = (sorted(v for k, v in rows if k == key) for rows in (first, second))
+        places = max(len(xs), len(ys))
+        expected += zip([key] * places, xs + [None] * (places - len(xs)), ys + [None] * (places - len(ys)))
+    assert found == sorted(expected, key=repr)
+    plan = merge.merge_schedules([a, b], "id")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key" in plan and "_place" in plan[plan.index("hashpartitioning(_key") :][:60]
