@@ -64,12 +64,30 @@ def in_period_range(
     start: dt.date | None = None,
     end: dt.date | None = None,
     keep_undated: bool = False,
+    quarter: str | None = None,
 ) -> DataFrame:
-    """Rows with start <= period <= end. Undated rows are dropped, or kept on request."""
+    """Rows with start <= period <= end. Undated rows are dropped, or kept on request.
+
+    ``quarter`` names a column with the quarter (``YYYYQn``) of the period, such as the panel's partition column:
+    a range on it follows from that on the period, and keeps other partitions from being listed and read.
+    """
     column = F.col(period)
     inside = column.isNotNull()
     if start is not None:
         inside = inside & (column >= F.lit(start))
     if end is not None:
         inside = inside & (column <= F.lit(end))
-    return df.where(column.isNull() | inside) if keep_undated else df.where(inside)
+    rows = df.where(column.isNull() | inside) if keep_undated else df.where(inside)
+    if quarter is None or start is None and end is None:
+        return rows
+    label = F.col(quarter)
+    within = label.isNotNull()
+    if start is not None:
+        within = within & (label >= _label(start))
+    if end is not None:
+        within = within & (label <= _label(end))
+    return rows.where(label.isNull() | within) if keep_undated else rows.where(within)
+
+
+def _label(date: dt.date) -> str:
+    return f"{date.year:04d}Q{(date.month + 2) // 3}"

@@ -464,3 +464,20 @@ def test_merge_splits_a_key_with_a_third_of_all_rows(spark):
     assert found == sorted(expected, key=repr)
     plan = merge.merge_schedules([a, b], "id")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_key" in plan and "_place" in plan[plan.index("hashpartitioning(_key") :][:60]
+
+
+def test_period_ranges_prune_quarters(spark, tmp_path, rows):
+    folder = str(tmp_path / "facts")
+    days = [dt.date(y, m, 1) for y in (2001, 2002, 2003) for m in range(1, 13)] + [None]
+    made = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "id long, period date")
+    quarter = F.when(F.col("period").isNotNull(), F.concat(F.year("period"), F.lit("Q"), F.quarter("period")))
+    made.withColumn("quarter", quarter).write.partitionBy("quarter").parquet(folder)
+    df = spark.read.parquet(folder)
+    for start, end in ((dt.date(2001, 5, 1), dt.date(2002, 8, 31)), (None, dt.date(2001, 3, 31)), (dt.date(2003, 12, 1), None), (None, None)):
+        for undated in (False, True):
+            pruned = entities.in_period_range(df, "period", start, end, undated, "quarter")
+            assert rows(pruned, "id") == rows(entities.in_period_range(df, "period", start, end, undated), "id")
+            if start or end:
+                plan = pruned._jdf.queryExecution().executedPlan().toString()
+                assert "PartitionFilters: [" in plan and "quarter" in plan.split("PartitionFilters: [")[1].split("]")[0]
+                assert len(pruned.inputFiles()) <= len(df.inputFiles())
