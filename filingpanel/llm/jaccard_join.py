@@ -51,8 +51,9 @@ BLOCK_NODES = 1024
 #: Ids up to this many are broadcast to find their texts; more are joined.
 BROADCAST_IDS = 2_000_000
 
-#: Bytes that are hashed at once; words beyond this length are hashed apart, alike in every text.
-BLOCK_BYTES, LONG_WORD = 1 << 20, 4096
+#: Bytes that are hashed at once; words beyond this length are hashed apart, alike in every text: from 1024 bytes
+#: on there are words that any polynomial modulo 2^64 takes for one another.
+BLOCK_BYTES, LONG_WORD = 1 << 20, 256
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xD6E8FEB86659FD93)

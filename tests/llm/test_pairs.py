@@ -163,3 +163,13 @@ def test_products_beyond_exact_doubles(spark):
     df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
     found = norm_search.top_products(df, df.where("vec_id = 0"), 2).collect()
     assert [tuple(r) for r in sorted(found)] == [(0, 1, 1, 2**63 - 1), (0, 2, 2, 2**63 - 1)]
+
+
+def test_words_that_polynomials_take_for_one_another_stay_apart(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(i, f"{w[:n]} x y z") for n in (512, 1024, 2048) for i, w in ((n, word), (n + 1, word.translate(str.maketrans("ab", "ba"))))]
+    found = jaccard_join.linked_documents(spark.createDataFrame(rows, DOCS), jaccard_join.Rule(3, 90, 100)).collect()
+    assert sorted(map(tuple, found)) == brute.components(rows, 3, 90, 100)
+    assert all(r["component_id"] == r["doc_id"] for r in found)
