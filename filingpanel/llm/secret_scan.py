@@ -30,10 +30,11 @@ WINDOW = 20
 THRESHOLDS = {"^[0-9a-fA-F]+$": 3.0, "^[A-Za-z0-9]+$": 3.75}
 OTHER_THRESHOLD = 3.9
 
-#: Known harmless shapes: UUIDs, placeholders, counted-out alphabets, paths, dates with times.
+#: Known harmless shapes: UUIDs, placeholders, counted-out alphabets, paths, dates with times. No group is
+#: repeated: the pattern engine would go one call deeper each time, and a long path would end the executor.
 ALLOWED = (
     r"(?i)^([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|.*(example|placeholder|changeme|dummy|sample|"
-    r"xxxxxx|000000|123456789|abcdefgh|abcdef0123).*|([a-z_-]+/){2,}[a-z0-9_-]*|[0-9]{4}-[0-9]{2}-[0-9]{2}.*)$"
+    r"xxxxxx|000000|123456789|abcdefgh|abcdef0123).*|(?!.*//)[a-z_-]+/[a-z_/-]*/[a-z0-9_-]*|[0-9]{4}-[0-9]{2}-[0-9]{2}.*)$"
 )
 
 #: Matches of one text are placed in groups of this many, so that long lists stay cheap.
@@ -133,13 +134,13 @@ def scan(docs: DataFrame) -> DataFrame:
     candidates = base.select(
         "row",
         "base",
-        F.expr(
-            f"""filter(s3, c -> NOT c.hit rlike {_quoted(ALLOWED)} AND NOT exists(base, b -> b.start < c.`end` AND c.start < b.`end`))"""
-        ).alias("c"),
+        F.expr(f"filter(s3, c -> NOT c.hit rlike {_quoted(ALLOWED)})").alias("c"),
     )
     windows = candidates.select("row", "base", F.expr(f"transform(c, x -> struct(x.start as at, {_surprising('x')} as w))").alias("w"))
     more = "transform(filter(w, x -> x.w.first IS NOT NULL), x -> struct(x.at + x.w.first as start, 3 as kind, x.at + x.w.last as `end`))"
-    spans = windows.select("row", F.expr(f"array_sort(concat(base, {more}))").alias("secret_spans"))
+    # What a base span covers whole is told already; what goes beyond one is a secret that it leaves in the text.
+    own = f"filter({more}, x -> NOT exists(base, b -> b.start <= x.start AND x.`end` <= b.`end`))"
+    spans = windows.select("row", F.expr(f"array_sort(concat(base, {own}))").alias("secret_spans"))
     return spans.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "secret_spans"), "secret_spans")
 
 

@@ -68,7 +68,7 @@ def secrets(text, candidate, allowed, thresholds, other):
     found = list(base)
     for m in re.finditer(candidate, text):
         hit = m.group()
-        if re.search(allowed, hit) or any(b[0] < m.end() and m.start() < b[2] for b in base):
+        if re.search(allowed, hit):
             continue
         limit = next((v for p, v in thresholds.items() if re.search(p, hit)), other)
         high = []
@@ -77,7 +77,9 @@ def secrets(text, candidate, allowed, thresholds, other):
             if -sum(window.count(c) / 20 * math.log2(window.count(c) / 20) for c in set(window)) >= limit - 1e-9:
                 high.append(i)
         if high:
-            found.append((m.start() + high[0], 3, m.start() + high[-1] + 20))
+            start, end = m.start() + high[0], m.start() + high[-1] + 20
+            if not any(b[0] <= start and end <= b[2] for b in base):
+                found.append((start, 3, end))
     return sorted(found)
 
 
