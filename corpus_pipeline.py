@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filingpanel.llm import stages
 from filingpanel.llm.common import table
-from filingpanel.session import shared_folder
+from filingpanel.session import recorded, remove, shared_folder
 
 STAGES = [
     ("toxicity", stages.toxicity),
@@ -28,6 +28,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for place, (name, stage) in enumerate(STAGES):
         path = os.path.join(folder, f"{place}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with recorded() as folders:
+            stage(spark, docs, sf_dir).write.parquet(path)
+        remove(spark, folders)  # what a stage staged is of no use to the next one
         docs = spark.read.parquet(path)
     return docs

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import partitions, prepare, text_or_empty
+from filingpanel.llm.common import partitions, prepare, text_or_empty, tidy
 from filingpanel.llm.components import components
 from filingpanel.session import staged
 
@@ -283,7 +283,7 @@ class SetTable:
                 if len(result):
                     yield result
 
-        return rows.mapInPandas(run, schema)
+        return rows.mapInPandas(tidy(run), schema)
 
     def nodes(self) -> DataFrame:
         """``doc_id, n, node`` of every row."""
@@ -359,7 +359,7 @@ class SetTable:
             kept_rows = several | (salt > 0)
             yield pd.DataFrame({"key": key[kept_rows], "node": node[kept_rows]})
 
-        return dealt.mapInPandas(shared, "key long, node long")
+        return dealt.mapInPandas(tidy(shared), "key long, node long")
 
     def sets(self, speakers: DataFrame) -> DataFrame:
         """``node, n, point, elements`` for nodes, read from the texts of their ``doc_id``."""

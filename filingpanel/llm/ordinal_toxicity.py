@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, kept, prepare, text_or_empty
+from filingpanel.llm.common import Memo, kept, prepare, text_or_empty, tidy
 
 PREFIXES = (4, 5, 6)
 GRADES = 3
@@ -153,7 +153,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 continue
             yield pd.DataFrame({"feature": list(counts), "toxic": toxic, "n": np.array(list(counts.values()), np.int64)})
 
-    counts = rows.mapInPandas(counted, "feature string, toxic int, n long").groupBy("feature")
+    counts = rows.mapInPandas(tidy(counted), "feature string, toxic int, n long").groupBy("feature")
     both = counts.agg(F.sum(F.col("n") * F.col("toxic")).alias("yes"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("no"))
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(total) < 2:
@@ -180,7 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 }
             )
 
-    table = rows.mapInPandas(chosen, "toxic int, hits int, features array<int>").toPandas()
+    table = rows.mapInPandas(tidy(chosen), "toxic int, hits int, features array<int>").toPandas()
     table["key"] = [tuple(f) for f in table["features"]]
     table = table.sort_values(["toxic", "hits", "key"], kind="stable").reset_index(drop=True)  # the fit sees one order
     toxic = table["toxic"].to_numpy() == 1

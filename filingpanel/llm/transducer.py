@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingpanel.llm.common import Memo, digest, kept, prepare, text_or_empty
+from filingpanel.llm.common import Memo, digest, kept, prepare, text_or_empty, tidy
 from filingpanel.llm.tokenizer_file import SPACES, TokenizerFile, tokenizer_of
 
 #: Symbols read beyond the lookahead before stable tokens are emitted.
@@ -188,7 +188,7 @@ def encode(docs: DataFrame, tokenizer_text: str, decoded: bool = False) -> DataF
             yield pd.DataFrame(out)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(encoded, "doc_id long, ids binary" + ", decoded string" * decoded)
+    return rows.mapInPandas(tidy(encoded), "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
 def decode(rows: DataFrame, tokenizer_text: str) -> DataFrame:
@@ -203,4 +203,4 @@ def decode(rows: DataFrame, tokenizer_text: str) -> DataFrame:
             found = [IncrementalDecoder(tokenizer).decode(bytes(x) if x is not None else b"") for x in part["ids"]]
             yield pd.DataFrame({"doc_id": part["doc_id"], "decoded": found})
 
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInPandas(texts, "doc_id long, decoded string")
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInPandas(tidy(texts), "doc_id long, decoded string")

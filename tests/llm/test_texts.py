@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingpanel.llm import language_id, ordinal_toxicity, quartile_digest, raking, secret_scan, token_counts, transducer
+from filingpanel.llm.common import Memo, tidy
 from filingpanel.llm.queries import tokenizer_path
 from filingpanel.llm.tokenizer_file import TokenizerFile, read_file
 
@@ -273,3 +274,22 @@ def test_a_path_of_many_folders_and_keys_beside_each_other(spark):
     left = {r["doc_id"]: r["t"] for r in found.select("doc_id", secret_scan.redacted("text", "secret_spans").alias("t")).collect()}
     assert left[1] == rows[0][1] and left[2] == rows[1][1]
     assert left[3] == secret_scan.REDACTED
+
+
+def test_memo_is_bounded_by_bytes():
+    memo = Memo(lambda word: word * 3, limit=1000, most=2_000)
+    for k in range(500):
+        assert memo[f"word{k}"] == f"word{k}" * 3
+        assert memo.held <= 2_000 and len(memo) < 20
+    assert memo["x" * 100] == "x" * 300 and "x" * 100 not in memo  # long keys are never kept
+
+
+def test_tidy_passes_batches_on_and_ends_early_quietly():
+    def doubled(batches):
+        for x in batches:
+            yield 2 * x
+
+    assert list(tidy(doubled)([1, 2, 3])) == [2, 4, 6]
+    some = tidy(doubled)(iter(range(10)))
+    assert next(some) == 0
+    some.close()
