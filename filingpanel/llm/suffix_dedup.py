@@ -11,9 +11,11 @@ begin at anchors stand for all suffixes, about one for 38 bytes.
    beginning occurs. Each bucket is sorted by multikey quicksort. Strings at one distance before the anchor
    are equal if their suffixes share enough leading bytes (neighbours in the sorted bucket) and the
    bytes before are equal.
-3. A string can have an equal in the next bucket only if it shares what it needs of its suffix with the
-   bucket's first or last row: of those strings the first of each bucket are compared across the
-   boundaries, by the least place of each.
+3. A string can have an equal in another bucket only if it shares what it needs of its suffix with its
+   bucket's first or last row: the first of such strings in each bucket are open. Neighbouring ones of an
+   anchor travel as one run of bytes. Equal strings lie equally far before their anchors, so their distances fall
+   into one segment of a fixed grid, and the bytes that all strings of that segment cover are equal too:
+   only segments whose common bytes occur again are spelled out as strings and meet by the least place of each.
 
 Nothing is capped: a sample of documents only tells which anchors are so frequent that their rows are
 spread over several tasks, each of which passes its own first on to step 2.
@@ -25,6 +27,7 @@ import functools
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,6 +46,9 @@ BLOCK = 1 << 20
 SAMPLED, FREQUENT, MOST_FREQUENT = 32, 4, 200_000
 SALTS = 64
 
+#: Distances in one segment of the grid on which open strings meet.
+SEGMENT = 11
+
 #: Stands for a null doc_id: null comes first.
 FIRST_KEY = -(2**63)
 
@@ -168,6 +174,17 @@ def _padded(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return data, lengths
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """Rows of bytes as columns of eight each, whose order as numbers is that of the bytes."""
+    return data.reshape(len(data), -1, 8)[:, :, ::-1].copy().view(np.uint64)[:, :, 0]
+
+
+def _common(data: np.ndarray) -> np.ndarray:
+    """How many leading bytes each row shares with the one before it."""
+    differ = data[1:] != data[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), data.shape[1])
+
+
 def _runs(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first and last column of each run of marks."""
     edge = np.zeros((len(marks), marks.shape[1] + 2), np.int8)
@@ -183,20 +200,15 @@ class Bucket:
 
     def __init__(self, rows: pd.DataFrame):
         right, rl = _padded(list(rows["right"]), 104)
-        words = right.reshape(len(rows), 13, 8)[:, :, ::-1].copy().view(np.uint64)[:, :, 0]
-        order = multikey_order(np.concatenate([words, rl[:, None].astype(np.uint64)], axis=1))
+        order = multikey_order(np.concatenate([_words(right), rl[:, None].astype(np.uint64)], axis=1))
         self.rows = rows.iloc[order].reset_index(drop=True)
         self.right, self.rl = right[order], rl[order]
-        left = [bytes(x)[::-1] for x in self.rows["left"]]
-        self.left, _ = _padded(left, REACH + 1)
+        self.left, _ = _padded([bytes(x)[::-1] for x in self.rows["left"]], 80)  # from the anchor backwards
         a, s, e = (self.rows[c].to_numpy() for c in "ase")
         self.low, self.high = a - e, a - s  # distances of the strings' starts before the anchor
-        differ = self.right[1:] != self.right[:-1]
-        common = np.where(differ.any(axis=1), differ.argmax(axis=1), 104)
-        self.common = np.minimum(common, np.minimum(self.rl[1:], self.rl[:-1]))
-        letters, powers, _ = _tables()
-        sums = np.cumsum(letters[self.left] * powers[: REACH + 1], axis=1, dtype=np.uint64)
-        self.before = np.concatenate([np.zeros((len(rows), 1), np.uint64), sums], axis=1)  # hash of so many bytes before
+        self.common = np.minimum(_common(self.right), np.minimum(self.rl[1:], self.rl[:-1]))
+        self.by_left = multikey_order(_words(self.left))
+        self.left_common = _common(self.left[self.by_left])
         k, sub = self.rows["k"].to_numpy(), self.rows["sub"].to_numpy()
         self.first = np.empty(len(rows), np.int64)  # place in the order of occurrence
         self.first[np.lexsort((a, sub, k))] = np.arange(len(rows))
@@ -205,7 +217,7 @@ class Bucket:
         """For each row and distance: whether the string there has an earlier equal in this bucket, and whether it
         can have an equal in a neighbouring one: if what it needs of its suffix is that of the first or last row."""
         marks = np.zeros((len(self.first), REACH + 1), bool)
-        edges = np.zeros_like(marks)
+        edges, before = np.zeros_like(marks), np.zeros(len(self.first), np.int64)
         for o in range(REACH + 1):
             whole = np.concatenate([[0], np.cumsum(self.common < LENGTH - o)])
             own = (self.low <= o) & (o <= self.high)
@@ -213,28 +225,32 @@ class Bucket:
             at = np.flatnonzero(own)
             if len(at) < 2:
                 continue
-            group, before = whole[at], self.before[at, o]
-            order = np.lexsort((self.first[at], before, group))
-            equal = (group[order[1:]] == group[order[:-1]]) & (before[order[1:]] == before[order[:-1]])
+            before[self.by_left[1:]] = np.cumsum(self.left_common < o)  # equal where the bytes before the anchor are
+            before[self.by_left[0]] = 0
+            group, prior = whole[at], before[at]
+            order = np.lexsort((self.first[at], prior, group))
+            equal = (group[order[1:]] == group[order[:-1]]) & (prior[order[1:]] == prior[order[:-1]])
             marks[at[order[1:][equal]], o] = True
         return marks, edges
 
-    def strings(self, chosen: np.ndarray) -> pd.DataFrame:
-        """The chosen strings (by row and distance), by two hashes and place, for comparison across buckets."""
-        row, o = np.nonzero(chosen)
-        letters, powers, inverse = _tables()
-        out = {}
-        for name, salt in (("w1", np.uint64(0)), ("w2", _MIX)):
-            table = mixed(letters + salt)
-            after = np.zeros((len(self.right), 105), np.uint64)
-            np.cumsum(table[self.right] * powers[:104], axis=1, dtype=np.uint64, out=after[:, 1:])
-            # Bytes before the anchor count downwards from it: negative powers.
-            prior = np.zeros((len(self.left), REACH + 2), np.uint64)
-            np.cumsum(table[self.left] * inverse[1 : REACH + 2], axis=1, dtype=np.uint64, out=prior[:, 1:])
-            total = (after[row, LENGTH - o] + prior[row, o]) * powers[o]
-            out[name] = mixed(total).view(np.int64)
+    def open_runs(self, chosen: np.ndarray) -> pd.DataFrame:
+        """The chosen strings (by row and distance) for comparison across buckets, a row for each run of distances:
+        its bytes, the distance of its first string, and a hash for each segment of the grid that it touches."""
+        row, near, far = _runs(chosen)
         picked = self.rows.iloc[row]
-        return pd.DataFrame({"k": picked["k"].to_numpy(), "sub": picked["sub"].to_numpy(), "s": picked["a"].to_numpy() - o, **out})
+        a, spans, cores = picked["a"].to_numpy(), [], []
+        for r, n, f in zip(row.tolist(), near.tolist(), far.tolist()):
+            span = self.left[r, :f][::-1].tobytes() + self.right[r, : LENGTH - n].tobytes()
+            spans.append(span)
+            cores.append([_core(span, f, j) for j in range(n // SEGMENT, f // SEGMENT + 1)])
+        places = {"k": picked["k"].to_numpy(), "sub": picked["sub"].to_numpy(), "s": a - far, "e": a - near}
+        return pd.DataFrame({**places, "o": far, "span": spans, "cores": cores})
+
+
+def _core(span: bytes, far: int, segment: int) -> int:
+    """A hash of the bytes that strings at all distances of a segment cover; ``span`` begins ``far`` before the anchor."""
+    first, last = segment * SEGMENT, min((segment + 1) * SEGMENT - 1, REACH)
+    return xxhash.xxh64_intdigest(span[far - first : far + LENGTH - last], segment) - (1 << 63)
 
 
 _RANGE = "k long, sub long, s long, e long"
@@ -344,7 +360,7 @@ class Corpus:
         return joined.mapInPandas(cut, "k long, sub long, a long, s long, e long, left binary, right binary")
 
     def compared(self, places: DataFrame) -> DataFrame:
-        """Starts that repeat (``w1`` null), and strings still to be compared across buckets (``e`` null)."""
+        """Starts that repeat (``span`` null), and runs of strings still to be compared across buckets."""
         cut = self.suffixes(places)
         ranged = cut.repartitionByRange(partitions(self.spark), "right", "k", "sub", "a")
 
@@ -359,15 +375,31 @@ class Corpus:
             picked = bucket.rows.iloc[row]
             a = picked["a"].to_numpy()
             inner = pd.DataFrame({"k": picked["k"].to_numpy(), "sub": picked["sub"].to_numpy(), "s": a - far, "e": a - near})
-            outer = bucket.strings(edges & ~repeats)
-            for frame in (inner, outer):
-                yield pd.DataFrame({c: frame[c] if c in frame else pd.Series([None] * len(frame), dtype="Int64") for c in ("k", "sub", "s", "e", "w1", "w2")})
+            yield inner.assign(o=0, span=None, cores=None)
+            yield bucket.open_runs(edges & ~repeats)
+
+        return ranged.mapInPandas(searched, _RANGE + ", o int, span binary, cores array<long>")
+
 
-        return ranged.mapInPandas(searched, _RANGE + ", w1 long, w2 long")
+def across(runs: DataFrame) -> DataFrame:
+    """Strings of open runs of which an equal one starts earlier, by the least place of each; counted before the shuffle."""
+    parts = runs.select("k", "sub", "s", "e", "o", "span", F.posexplode("cores").alias("segment", "core"))
+    again = parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    left = parts.join(again, "core", "left_semi").select("k", "sub", "s", "e", "o", "span", "segment")
 
+    def spelled(batches):
+        for part in batches:
+            out = {c: [] for c in ("k", "sub", "s", "w1", "w2")}
+            for k, sub, s, e, far, span, place in part.itertuples(index=False):
+                near = far - (e - s)
+                first = (near // SEGMENT + place) * SEGMENT
+                for o in range(max(near, first), min(far, first + SEGMENT - 1) + 1):
+                    whole = xxhash.xxh3_128_digest(span[far - o : far - o + LENGTH])
+                    for name, value in zip(out, (k, sub, s + far - o, *np.frombuffer(whole, np.int64))):
+                        out[name].append(value)
+            yield pd.DataFrame(out)
 
-def across(strings: DataFrame) -> DataFrame:
-    """Strings of which an equal one starts earlier, by the least place of each; counted before the shuffle."""
+    strings = staged(left.mapInPandas(spelled, "k long, sub long, s long, w1 long, w2 long"), "strings")
     place = F.struct("k", "sub", "s")
     firsts = strings.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     found = strings.join(firsts.select("w1", "w2", "first"), ["w1", "w2"]).where(place != F.col("first"))
@@ -388,8 +420,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     met = staged(corpus.met(), "anchors")
     compared = staged(corpus.compared(met.where(~F.col("repeat")).select("k", "sub", "a", "s", "e")), "suffixes")
     ranges = met.where("repeat").select("k", "sub", "s", "e")
-    ranges = ranges.union(compared.where("w1 IS NULL").select("k", "sub", "s", "e"))
-    ranges = ranges.union(across(compared.where("w1 IS NOT NULL")))
+    ranges = ranges.union(compared.where("span IS NULL").select("k", "sub", "s", "e"))
+    ranges = ranges.union(across(compared.where("span IS NOT NULL")))
     listed = ranges.groupBy("k", "sub").agg(F.collect_list("s").alias("from"), F.collect_list("e").alias("to"))
     joined = corpus.rows.join(listed, ["k", "sub"], "left")
     copy = F.row_number().over(Window.partitionBy("k", "sub").orderBy("doc_id")) > 1 if corpus.repeats else F.lit(False)

@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from filingpanel.llm import jaccard_join, norm_search, suffix_dedup
 from filingpanel.llm.components import components
@@ -93,6 +94,32 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, frequent):
     assert got == brute.without_repeats(rows)
 
 
+def test_near_copies_over_many_buckets(spark):
+    """One family of near copies, edited in different places, spread over far more buckets than it has anchors."""
+    rng = np.random.default_rng(11)
+    base = bytes(rng.integers(97, 123, 700, np.uint8))
+    rows = []
+    for i in range(60):
+        text = bytearray(base)
+        for at in rng.integers(0, len(text), rng.integers(0, 4)).tolist():
+            text[at] = 65 + i % 3
+        rows.append((i, text.decode()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        corpus = suffix_dedup.Corpus(spark.createDataFrame(rows, "doc_id long, text string"))
+        open_runs = corpus.compared(corpus.met().where("not repeat").select("k", "sub", "a", "s", "e")).where("span IS NOT NULL")
+        n, strings = open_runs.agg(F.count("*"), F.sum(F.expr("e - s + 1"))).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    got = sorted((r[0], r[1], r[2], r[3], hashlib.sha256(r[4]).hexdigest()) for r in found)
+    assert got == brute.without_repeats(rows)
+    assert n > 0 and strings > 2 * n  # a row for each run between edits, not for each string
+
+
 def test_blocks_cut_long_documents(monkeypatch):
     suffix_dedup._tables.cache_clear()
     blob = bytes(np.random.default_rng(3).integers(97, 101, 5000, np.uint8))
