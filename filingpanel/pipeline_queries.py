@@ -12,6 +12,7 @@ import zipfile
 from functools import reduce
 
 import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from filingpanel.plans.report import coverage_report, report_on
 from filingpanel.plans.update import export_wide, update_bulk
 from filingpanel.session import shared_folder
 from filingpanel.sources.dictionary import read_dictionary
-from filingpanel.sources.files import list_files
+from filingpanel.sources.files import list_files, read_files
 from filingpanel.sources.panel import read_inputs, read_panel, summarize_wide_files
 from filingpanel.streaming.incremental import ingest_new_bulk
 from filingpanel.table_queries import registered, table
@@ -185,6 +186,28 @@ def wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.quarters.select("quarter", "All_num_banks", "All_num_variables")
 
 
+@registered(f"""SELECT f.quarter, v.variable, v.description, f.n AS records FROM
+    (SELECT {YEAR_SQL}::VARCHAR || 'Q4' AS quarter, count(*) AS n FROM orders GROUP BY 1) f,
+    (SELECT 'RCON' || r_regionkey::VARCHAR AS variable, r_name AS description FROM region WHERE r_regionkey IN (1, 2)
+        UNION ALL SELECT c, '' FROM (VALUES ('RSSD_ID'), ('REPORTING_PERIOD')) t(c)) v""")
+def published_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What another Parquet reader finds in the published files: fields, their own descriptions, and rows."""
+    wide = shared_folder(spark, "published")
+    words = table(spark, sf_dir, "region").select(F.concat(F.lit("RCON"), "r_regionkey").alias("Variable"), F.col("r_name").alias("Description"))
+    export_wide(spark, written_panel(spark, sf_dir), wide, words.withColumn("ReportingForms", F.lit("")), published=True)
+
+    def fields(batches):
+        for files in batches:
+            for name, content in zip(files["file_name"], files["content"]):
+                file = pq.ParquetFile(io.BytesIO(content))
+                for field in file.schema_arrow:
+                    text = (field.metadata or {}).get(b"description", b"").decode()
+                    yield pd.DataFrame([(name.removesuffix(".parquet"), field.name, text, file.metadata.num_rows)])
+
+    files = read_files(spark, wide, "*.parquet", recursive=True).select("file_name", "content")
+    return files.mapInPandas(fields, "quarter string, variable string, description string, records long")
+
+
 @registered(f"""WITH y AS (SELECT DISTINCT {YEAR_SQL} AS y FROM orders), last AS (SELECT max(y) AS l FROM y),
     given AS (SELECT y, 'Bulk 1231' || y::VARCHAR || '.txt' AS file, y::VARCHAR || 'Q4' AS quarter,
         CASE WHEN y = l THEN 'out_of_range' WHEN y % 2 = 1 THEN 'empty' ELSE 'processed' END AS s1,

@@ -16,6 +16,7 @@ from filingpanel.operators.merge import union_sources
 from filingpanel.plans.bulk import bulk_panel
 from filingpanel.plans.historical import historical_panel
 from filingpanel.plans.panel import PANEL_KEYS, Panel, wide_panel
+from filingpanel.sinks.described import write_described
 from filingpanel.sinks.panel import write_panel, write_wide
 from filingpanel.sources.cells import SKIPPED
 from filingpanel.sources.panel import processed_quarters, read_panel
@@ -80,14 +81,15 @@ def _write(panel: Panel, folder: str, entities: Sequence[str]) -> DataFrame:
 
 
 def export_wide(
-    spark: SparkSession, folder: str, out: str, dictionary: DataFrame | None = None
+    spark: SparkSession, folder: str, out: str, dictionary: DataFrame | None = None, published: bool = False
 ) -> list[str]:
     """Write every entity type's quarters as wide datasets ``out/<entity type>/<quarter>.parquet``.
 
     Each has its own columns, pruned and described, in the order its kind of archive is published
     in: period, id and the file's own order for historical quarters, id, period and sorted names
     for bulk quarters (whose rows have no entity code). Reads only the quarter's partitions of
-    the panel in ``folder``; the driver sees the list of quarters and column names.
+    the panel in ``folder``; the driver sees the list of quarters and column names. With ``published``
+    a dataset is one plain file, whose fields have their descriptions in their own metadata.
     """
     panel = read_panel(spark, folder)
     datasets = panel.filers.groupBy(*PANEL_KEYS).agg(F.max("entity_code").isNull().alias("bulk"))
@@ -95,7 +97,11 @@ def export_wide(
         entity_type, quarter, bulk = dataset
         target = os.path.join(out, entity_type, f"{quarter}.parquet")
         order, rest = ((ID_COLUMN, PERIOD_COLUMN), "sorted") if bulk else (LEAD_COLUMNS, "original")
-        write_wide(wide_panel(panel, entity_type, quarter, dictionary, order, rest), target)
+        wide = wide_panel(panel, entity_type, quarter, dictionary, order, rest)
+        if published:
+            write_described(wide, target, one_file=True)
+        else:
+            write_wide(wide, target)
         return target
 
     # Jobs of their own: some at a time fill the cluster while others end.

@@ -3,13 +3,14 @@ import io
 import zipfile
 import zlib
 
+import pyarrow.parquet as pq
 import pytest
 from archives import delimited, xport, zipped
 from pyspark.sql import functions as F
 
 from filingpanel.constants import ENTITY_CODES
 from filingpanel.functions.periods import MONTH_START
-from filingpanel.operators.describe import column_descriptions
+from filingpanel.operators.describe import column_descriptions, describe_columns
 from filingpanel.plans.bulk import bulk_panel, undated_files
 from filingpanel.plans.dictionary import store_dictionary
 from filingpanel.plans.historical import historical_panel
@@ -17,6 +18,7 @@ from filingpanel.plans.panel import wide_panel
 from filingpanel.operators.status import run_statistics
 from filingpanel.plans.report import coverage_report
 from filingpanel.plans.update import export_wide, update_bulk, update_historical
+from filingpanel.sinks import described
 from filingpanel.sinks.panel import (
     write_panel,
     write_partitioned,
@@ -504,6 +506,38 @@ def test_write_wide_keeps_descriptions(spark, historical_folder, tmp_path):
     assert column_descriptions(spark.read.parquet(folder))["RCON2170"] == "Total assets"
 
 
+@pytest.mark.parametrize("file_bytes, one_file", [(1 << 20, True), (1, True), (1 << 20, False)])
+def test_write_described(spark, tmp_path, file_bytes, one_file):
+    wide = describe_columns(
+        spark.range(25_000).selectExpr(
+            "id AS RSSD_ID", "timestamp'2020-03-31 00:00:00' AS REPORTING_PERIOD", "IF(id % 7 = 0, NULL, id / 2) AS rcon1",
+            "concat('caf\u00e9', id) AS TEXT", "CAST(NULL AS double) AS EMPTY", "current_date() AS D"
+        ),
+        {"RCON1": "Total assets \u2013 all", "TEXT": "", "D": "Day"},
+    )
+    path = tmp_path / "2020Q1.parquet"
+    for _ in range(2):  # the second run replaces the first
+        described.write_described(wide, str(path), one_file, file_bytes)
+    files = [path] if path.is_file() else sorted(path.glob("*.parquet"))
+    assert path.is_file() == (one_file and file_bytes > 1) and (len(files) > 1 or file_bytes > 1)
+    for file in files:
+        fields = pq.ParquetFile(file).schema_arrow
+        assert {f.name: f.metadata.get(b"description").decode() for f in fields if f.metadata and b"description" in f.metadata} == {
+            "rcon1": "Total assets \u2013 all", "D": "Day"
+        }
+    back = spark.read.parquet(str(path))
+    assert back.dtypes == wide.dtypes and column_descriptions(back) == column_descriptions(wide)
+    assert back.count() == 25_000 and back.exceptAll(wide).count() == 0
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["2020Q1.parquet"]
+
+
+def test_write_described_without_rows(spark, tmp_path):
+    path = tmp_path / "none.parquet"
+    described.write_described(describe_columns(spark.range(0), {"ID": "Number"}), str(path), one_file=True)
+    assert pq.ParquetFile(path).schema_arrow.field("id").metadata[b"description"] == b"Number"
+    assert spark.read.parquet(str(path)).count() == 0
+
+
 EXPORT = (
     "PUBLIC\n"
     "Mnemonic,Item Code,Start Date,End Date,Item Name,Confidentiality,Reporting Form\n"
