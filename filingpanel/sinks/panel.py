@@ -51,32 +51,38 @@ def write_panel(panel: Panel, folder: str, replace: str = "partitions") -> None:
     """
     spark = panel.status.sparkSession
     quarters = panel.status.where(F.col("state") == "processed").select(*PANEL_KEYS).distinct()
-    before = {} if replace != "partitions" else {t: _files_of(spark, os.path.join(folder, t), quarters) for t in PANEL_TABLES}
+    before = {} if replace != "partitions" else {t: _partitions_of(spark, os.path.join(folder, t), quarters) for t in PANEL_TABLES}
     for table in PANEL_TABLES:
         target = os.path.join(folder, table)
         if table == "facts" and panel.values is not None:
             _write_keyed(panel.expand(panel.values.hint("rebalance", *PANEL_KEYS)), target, PANEL_KEYS, replace)
         else:
             write_partitioned(getattr(panel, table), target, replace=replace)
-        # What was there before and was not overwritten belongs to quarters without rows now.
-        after = set(_files_of(spark, target, quarters)) if before.get(table) else set()
-        remove(spark, [path for path in before.get(table, ()) if path in after])
+        # A partition that still has its file was not overwritten: it belongs to a quarter without rows now.
+        if before.get(table):
+            after = _partitions_of(spark, target, quarters)
+            remove(spark, [p for p, file in before[table].items() if after.get(p) == file])
     mode = "overwrite" if replace == "all" else "append"
     panel.status.hint("rebalance").write.mode(mode).parquet(os.path.join(folder, "status"))
     if panel.inputs is not None:
         panel.inputs.hint("rebalance").write.mode(mode).parquet(os.path.join(folder, "inputs"))
 
 
-def _files_of(spark: SparkSession, folder: str, quarters: DataFrame) -> list[str]:
-    """The data files of some quarters in a partitioned table; none if there is no table yet."""
+def _partitions_of(spark: SparkSession, folder: str, quarters: DataFrame) -> dict[str, str]:
+    """The partition folders of some quarters in a table, with their first file each; none if there is no table yet.
+
+    Files are reduced to one for each partition before the driver sees them; every write gives its files new names.
+    """
     try:
         files = list_files(spark, folder, "*.parquet", recursive=True)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
-    keyed = files.select("path", *[F.url_decode(F.regexp_extract("path", rf"{k}=([^/]+)/", 1)).alias(k) for k in PANEL_KEYS])
-    return [r["path"] for r in keyed.join(quarters, list(PANEL_KEYS), "left_semi").collect()]
+        return {}
+    inside = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("inside")
+    keyed = files.select("path", inside, *[F.url_decode(F.regexp_extract("path", rf"{k}=([^/]+)/", 1)).alias(k) for k in PANEL_KEYS])
+    firsts = keyed.join(quarters, list(PANEL_KEYS), "left_semi").groupBy("inside").agg(F.min("path").alias("file"))
+    return {r["inside"]: r["file"] for r in firsts.collect()}
 
 
 def write_wide(wide: DataFrame, folder: str) -> None:

@@ -506,6 +506,20 @@ def test_write_wide_keeps_descriptions(spark, historical_folder, tmp_path):
     assert column_descriptions(spark.read.parquet(folder))["RCON2170"] == "Total assets"
 
 
+def test_forced_quarter_that_lost_all_values(spark, tmp_path, rows):
+    first, second, out = tmp_path / "first", tmp_path / "second", str(tmp_path / "panel")
+    for folder, names, value in ((first, ("12312020", "03312021"), "5"), (second, ("12312020",), "")):
+        folder.mkdir()
+        for name in names:
+            (folder / f"Bulk {name}.txt").write_text(f"IDRSSD\tRCON1\n1\t{value}\n2\t{value}\n")
+    update_bulk(spark, str(first), out)
+    update_bulk(spark, str(second), out, force=True)
+    panel = read_panel(spark, out)
+    assert rows(panel.facts.groupBy("quarter").count()) == [("2021Q1", 2)]
+    assert rows(panel.filers.groupBy("quarter").count()) == [("2020Q4", 2), ("2021Q1", 2)]
+    assert not (tmp_path / "panel" / "facts" / "entity_type=FFIEC_031_041" / "quarter=2020Q4").exists()
+
+
 @pytest.mark.parametrize("file_bytes, one_file", [(1 << 20, True), (1, True), (1 << 20, False)])
 def test_write_described(spark, tmp_path, file_bytes, one_file):
     wide = describe_columns(
