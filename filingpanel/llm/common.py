@@ -51,7 +51,7 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 #: Bytes of keys and values that a ``Memo`` holds at most, and what an entry takes beside those of its own.
-MEMO_BYTES, ENTRY_BYTES = 64 << 20, 100
+MEMO_BYTES, ENTRY_BYTES = 96 << 20, 100
 
 
 class Memo(dict):
