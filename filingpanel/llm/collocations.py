@@ -34,8 +34,11 @@ from filingpanel.session import recorded, remove, staged
 #: Parts of the corpus, each scanned by a job of its own.
 SHARDS = 3
 
-#: Slots of the tables of active phrases, and of frequent ones: powers of two, two bytes and one byte each for every length.
-SLOT_BITS, FREQUENT_BITS = 20, 23
+#: Most slots of the tables of active phrases, and of frequent ones: powers of two, two bytes and one byte each for every length.
+SLOT_BITS, FREQUENT_BITS = 25, 25
+
+#: Slots that tasks are given for each one taken, up to those: chance hits stay rare however much text there is.
+SPARE_SLOTS = 16
 
 #: Bytes of text that are counted together before they leave a worker, and rows of one batch.
 CHUNK_BYTES, OUT_ROWS = 8 << 20, 1 << 16
@@ -103,6 +106,15 @@ class Active:
         self.earliest[slots] = np.minimum(self.earliest[slots], scan)
         self.latest[slots] = self.last = scan
 
+    def folded(self, most: int) -> Active:
+        """The same with neighbouring slots as one: no more bits than ``most``, nor than the taken slots ask for."""
+        bits = len(self.earliest).bit_length() - 1
+        small = Active(min(bits, most, (SPARE_SLOTS * int(np.count_nonzero(self.earliest < NEVER))).bit_length()))
+        small.earliest = self.earliest.reshape(len(small.earliest), -1).min(axis=1)
+        small.latest = self.latest.reshape(len(small.latest), -1).max(axis=1)
+        small.last = self.last
+        return small
+
 
 class Chunk:
     """Words of a chunk by place, and the hashes of the phrases that begin there, longer from step to step."""
@@ -138,9 +150,9 @@ def counted(chunk: Chunk, scan: int, shards: int, longest: int, active: dict[int
 def spelled(lang: str, chunk: Chunk, frequent: dict[int, np.ndarray]):
     """Batches of exact counts of the phrases of a chunk whose hashes are in the tables of frequent ones."""
     w, size, table = chunk.w, len(chunk.words), pa.array(chunk.words, pa.binary())
-    key, bound, unpack = w, size, []
+    key, bound, unpack, may = w, size, [], chunk.valid
     while chunk.length in frequent:
-        chosen = chunk.valid & frequent[chunk.length][_slots(chunk.sub, frequent[chunk.length])]
+        chosen = may & frequent[chunk.length][_slots(chunk.sub, frequent[chunk.length])]
         keys, n = np.unique(key[chosen], return_counts=True)
         for k in range(0, len(keys), OUT_ROWS):
             columns, left = [], keys[k : k + OUT_ROWS]
@@ -161,6 +173,7 @@ def spelled(lang: str, chunk: Chunk, frequent: dict[int, np.ndarray]):
             unpack.append((chunk.length, known))
             key, bound = np.searchsorted(known, key), len(known) + 1
         chunk.longer()
+        may = chunk.valid & chosen[:-1] & chosen[1:]  # parts of a frequent phrase are frequent
         key = key[:-1] * size + w[chunk.length - 1 :]
         bound *= size
 
@@ -196,11 +209,27 @@ def _chunks(docs: DataFrame, shards: int) -> DataFrame:
     return staged(rows, "corpus", ("shard",))
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """64-bit numbers with their first bytes first, then their second bytes and so on: small ones compress well."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def _block(words: int, part: int, old: bool, hashes: np.ndarray, totals: np.ndarray, shards: np.ndarray, reached: np.ndarray | None = None) -> dict:
-    values = words, part, old, hashes.tobytes(), totals.astype("<i8").tobytes(), shards.tobytes(), b"" if reached is None else reached.astype("<u4").tobytes()
+    """A row of counts. ``hashes`` are in order and travel as differences."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    values = words, part, old, _planes(steps), _planes(totals), shards.tobytes(), b"" if reached is None else reached.astype("<u4").tobytes()
     return dict(zip(_BLOCKS.names, values))
 
 
+def _counts(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """``hashes, totals`` of a block."""
+    return np.cumsum(_numbers(row["hashes"]), dtype=np.uint64), _numbers(row["totals"]).astype(np.int64)
+
+
 def merged(rows: list[dict], shard: int, least: int, bits: int) -> dict:
     """The state of one length and range of hashes after a scan: hashes in order, totals, and the shards in them as bits.
 
@@ -210,11 +239,11 @@ def merged(rows: list[dict], shard: int, least: int, bits: int) -> dict:
     h, t, m = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
     new = []
     for r in rows:
-        block = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["totals"], np.int64)
         if r["old"]:
-            h, t, m = block[0], block[1].copy(), np.frombuffer(r["shards"], np.uint8).copy()
+            h, t = _counts(r)
+            m = np.frombuffer(r["shards"], np.uint8).copy()
         else:
-            new.append(block)
+            new.append(_counts(r))
     bit = np.uint8(1 << shard)
     hashes, n = _summed(new)
     at = np.searchsorted(h, hashes)
@@ -240,7 +269,7 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _scanned(shard: DataFrame, scan: int, shards: int, longest: int, least: int, bits: int, active: dict[int, Active], states: dict[int, DataFrame]) -> DataFrame:
     """The states of the lengths that one scan counts, merged with ``states`` and written."""
-    shared = shard.sparkSession.sparkContext.broadcast(active)
+    shared = shard.sparkSession.sparkContext.broadcast({k: a.folded(SLOT_BITS) for k, a in active.items() if k < longest})
     slot_bits = SLOT_BITS
 
     def count(batches):
@@ -295,7 +324,7 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
         active: dict[int, Active] = {}
         written_for: list[tuple[list[str], set[int]]] = []  # folders of states, and the lengths read from them
         scan = 0
-        while scan < shards or any(a.last + shards > scan for a in active.values()):
+        while scan < shards or any(a.last + shards > scan for k, a in active.items() if k < longest):
             # The lengths that this scan counts; the states of the others stay where they are.
             open_ = [k for k in range(1, longest + 1) if (scan < shards if k == 1 else k - 1 in active and active[k - 1].last + shards > scan)]
             own = {k: states[k] for k in open_ if k in states}
@@ -310,9 +339,12 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
                 lengths -= set(open_)
             written_for.append((new, set(open_)))
             for r in written.where(F.length("reached") > 0).select("words", "reached").toLocalIterator():
-                if r["words"] < longest:
-                    active.setdefault(r["words"], Active(SLOT_BITS)).add(np.frombuffer(r["reached"], "<u4").astype(np.int64), scan)
-        frequent = _frequent(states, least)
+                if r["words"] not in active:
+                    active[r["words"]] = Active(SLOT_BITS)
+                active[r["words"]].add(np.frombuffer(r["reached"], "<u4").astype(np.int64), scan)
+        # What has reached the threshold is frequent; a state is not read again to see that.
+        frequent = {length: a.folded(FREQUENT_BITS).earliest < NEVER for length, a in active.items()}
+        active.clear()
         for paths, lengths in written_for:
             if lengths:
                 remove(spark, paths)
@@ -333,26 +365,6 @@ def phrase_counts(docs: DataFrame, least: int = 10, longest: int = 3, shards: in
     return found, totals
 
 
-def _frequent(states: dict[int, DataFrame], least: int) -> dict[int, np.ndarray]:
-    """By length, which slots have a hash with at least ``least`` occurrences."""
-    bits = FREQUENT_BITS
-
-    def marked(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                hashes = np.frombuffer(r["hashes"], np.uint64)[np.frombuffer(r["totals"], np.int64) >= least]
-                slots = np.unique(hashes >> np.uint64(64 - bits)).astype("<u4")
-                if len(slots):
-                    yield pa.RecordBatch.from_pylist([{"slots": slots.tobytes()}])
-
-    frequent = {}
-    for length, state in states.items():
-        frequent[length] = np.zeros(1 << bits, bool)
-        for r in state.select("hashes", "totals").mapInArrow(marked, "slots binary").toLocalIterator():
-            frequent[length][np.frombuffer(r["slots"], "<u4")] = True
-    return frequent
-
-
 def _part(first: int, last: int):
     """Words ``first`` to ``last`` (from 1, inclusive) of a phrase."""
     return F.concat_ws(" ", F.slice(F.split("phrase", " "), first, last - first + 1))
