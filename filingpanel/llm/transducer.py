@@ -14,6 +14,8 @@ which is checked; for any other list a word is read whole before its tokens are
 from __future__ import annotations
 
 import codecs
+import struct
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +33,12 @@ BLOCK = 256
 #: Distinct words, and distinct runs between white space, that a worker remembers the tokens of.
 KEPT_WORDS = 400_000
 
+#: Symbols up to which the pairs of a sequence are kept in a list, not sought anew for each merge.
+FEW_SYMBOLS = 256
+
+#: Stands for the rank of a pair that no merge takes.
+_NO_MERGE = sys.maxsize, -1
+
 #: Identifiers that the decoder takes at once.
 DECODED_AT_ONCE = 65_536
 
@@ -59,6 +67,18 @@ def sufficient_lookahead(tokenizer: TokenizerFile) -> int | None:
 def merged(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """The tokens of a short sequence: the lowest-ranked pair is merged throughout, again and again."""
     get = ranks.get
+    if 1 < len(symbols) <= FEW_SYMBOLS:
+        symbols = list(symbols)
+        found = [get(pair, _NO_MERGE) for pair in zip(symbols, symbols[1:])]
+        while found and (best := min(found)) is not _NO_MERGE:
+            at = found.index(best)
+            symbols[at : at + 2] = [best[1]]
+            del found[at]  # only the pairs beside the new token are others now
+            if at:
+                found[at - 1] = get((symbols[at - 1], best[1]), _NO_MERGE)
+            if at < len(found):
+                found[at] = get((best[1], symbols[at + 1]), _NO_MERGE)
+        return symbols
     while len(symbols) > 1:
         best, at = None, None
         for pair in zip(symbols, symbols[1:]):
@@ -80,6 +100,10 @@ def merged(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) ->
     return symbols
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Transducer:
     """Encodes words and texts under one tokenizer file."""
 
@@ -116,29 +140,23 @@ class Transducer:
             found = merged(symbols, self.tokenizer.ranks)
         else:
             found = list(self.stream(symbols))
-        return np.asarray(found, "<u4").tobytes()
-
-    def _pieces(self, run: str) -> Iterator[bytes]:
-        special = self.tokenizer.special
-        parts = [run] if special is None else special.split(run)
-        for k, part in enumerate(parts):
-            if k % 2:
-                yield np.asarray([self.tokenizer.added[part]], "<u4").tobytes()
-            elif part:
-                for match in self.tokenizer.pattern.finditer(self.tokenizer.normalized(part)):
-                    yield self.words[match.group()]
+        return _packed(found)
 
     def _run(self, run: str) -> bytes:
-        return b"".join(self._pieces(run))
+        return b"".join([self.words[match.group()] for match in self.tokenizer.pattern.finditer(self.tokenizer.normalized(run))])
 
-    def encode(self, text: str) -> bytes:
-        """The identifiers of a text, packed as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
+    def _plain(self, text: str) -> bytes:
         if not self.tokenizer.drops_spaces:  # white space belongs to tokens: no cut at it
             return self._run(text)
         return b"".join(map(self.runs.__getitem__, filter(None, _SPACE_RUN.split(text))))
 
+    def encode(self, text: str) -> bytes:
+        """The identifiers of a text, packed as little-endian unsigned 32-bit integers."""
+        special = self.tokenizer.special
+        if special is None or special.search(text) is None:
+            return self._plain(text)
+        return b"".join([_packed([self.tokenizer.added[part]]) if k % 2 else self._plain(part) for k, part in enumerate(special.split(text))])
+
 
 class IncrementalDecoder:
     """Turns identifiers into text as they come; its state is the beginning of one character."""
