@@ -46,6 +46,9 @@ CHUNK_BYTES, OUT_ROWS = 8 << 20, 1 << 16
 #: Counts that a worker holds before it sends them on, and words of the corpus for each range of hashes.
 HELD_COUNTS, RANGE_WORDS = 2_000_000, 1 << 19
 
+#: Parts of a language that are ranked apart before the language is.
+RANK_PARTS = 64
+
 NEVER = 255
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -413,6 +416,10 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, keep: int =
         around = reduce(DataFrame.unionByName, inside).groupBy("lang", "phrase").agg(F.max("f").alias("f"))
         scored = scored.join(around, ["lang", "phrase"], "left").where(F.col("f").isNull() | (100 * F.col("f") < share * F.col("a")))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep)
+    # The first of each part of a language, then the first of those: no task gets a whole language.
+    best = F.desc("score"), F.desc("a"), "phrase"
+    parted = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    first = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))
+    ranked = parted.withColumn("rank", first).where(F.col("rank") <= keep).drop("part")
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= keep)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
