@@ -105,8 +105,9 @@ def summarize_wide_files(
             rows = spark.read.schema(files[0][1]).parquet(*[path for path, _ in files])
             yield files[0][1], rows.withColumn(_DATASET, _dataset_of_row())
 
+    plain = _plain(F.col(_DATASET))
     counted = [
-        filer_counts(rows, (_DATASET,), ID_COLUMN, PERIOD_COLUMN).withColumn("date", F.col("date").cast("timestamp"))
+        filer_counts(rows, (_DATASET,), ID_COLUMN, PERIOD_COLUMN).withColumns({_DATASET: plain, "date": F.col("date").cast("timestamp")})
         for _, rows in scans(by_lead)
     ]
     info = spark.createDataFrame(
@@ -119,7 +120,7 @@ def summarize_wide_files(
             variables = [n for n in schema.names if n not in LEAD_COLUMNS]
             if variables:
                 profile = profile_columns(rows, variables, (_DATASET,))
-                empty.append(profile.groupBy(_DATASET).agg(F.count_if("all_null").alias("num_null_columns")))
+                empty.append(profile.groupBy(plain.alias(_DATASET)).agg(F.count_if("all_null").alias("num_null_columns")))
         if empty:
             summary = summary.join(union_sources(empty), _DATASET, "left")
     nulls = F.col("num_null_columns") if "num_null_columns" in summary.columns else F.lit(None)
@@ -146,7 +147,18 @@ def _same_path(path: str) -> str:
 
 
 def _dataset_of_row() -> Column:
-    """The dataset (file, or folder with the suffix) that a row comes from."""
-    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-    dataset = F.regexp_extract(path, r"^(.*?[^/]+\.parquet)(?:/[^/]*)?$", 1)
-    return F.regexp_replace(dataset, r"^(\w+):/+", "$1:/")
+    """The dataset (file, or folder with the suffix) that a row comes from, spelled as in the row's metadata.
+
+    For every row, so it takes no pattern search; ``_plain`` brings it to the listing's spelling after counting.
+    """
+    file = F.col("_metadata.file_path")
+    name = F.substring_index(file, "/", -1)
+    inside = file.endswith(F.concat(F.lit(".parquet/"), name)) & ~file.endswith(F.concat(F.lit("/.parquet/"), name))
+    folder = F.substr(file, F.lit(1), F.length(file) - F.length(name) - 1)
+    return F.when(inside, folder).when(file.endswith(".parquet") & ~file.endswith("/.parquet"), file).otherwise("")
+
+
+def _plain(dataset: Column) -> Column:
+    """A dataset of ``_dataset_of_row`` as ``_same_path`` spells it."""
+    path = F.url_decode(F.regexp_replace(dataset, r"\+", "%2B"))
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
