@@ -6,7 +6,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from filingpanel.constants import NA_TOKENS
 
@@ -33,10 +33,14 @@ _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 _OLD_FROM = 69
 
 
-@F.pandas_udf(StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    # Spark has no HTML entity decoder; values without '&' pass through untouched.
-    return text.map(lambda value: html.unescape(value) if "&" in value else value, na_action="ignore")
+# What html.unescape takes for an entity, known or not.
+_ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _unescape(entities: pd.Series) -> pd.Series:
+    # Spark has no HTML entity decoder. Python sees the entities alone, and never a whole text.
+    return entities.map(lambda found: [html.unescape(entity) for entity in found])
 
 
 # A condition on the result would otherwise be pushed below it and decode every text twice.
@@ -45,7 +49,10 @@ _unescape = _unescape.asNondeterministic()
 
 def clean_text(text: Column) -> Column:
     """Entities decoded, then tags removed, then white space collapsed and trimmed; null gives ''."""
-    decoded = _unescape(F.coalesce(text, F.lit("")))
+    whole = F.coalesce(text, F.lit(""))
+    between = F.split(whole, _ENTITY, -1)
+    entities = _unescape(F.regexp_extract_all(whole, F.lit(_ENTITY), F.lit(0)))
+    decoded = F.array_join(F.flatten(F.zip_with(between, entities, lambda part, entity: F.array(part, entity))), "")
     untagged = F.regexp_replace(decoded, _TAG, "")
     return F.trim(F.regexp_replace(untagged, _SPACES, " "))
 
