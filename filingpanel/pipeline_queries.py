@@ -9,10 +9,16 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +44,56 @@ def write_named(lines: DataFrame, folder: str) -> None:
     """Text files named by the column ``name``, with their ``line`` in the order of ``place``."""
     spark = lines.sparkSession
     parts = shared_folder(spark, "parts")
-    ordered = lines.repartition("name").sortWithinPartitions("name", "place")
-    ordered.select("name", "line").write.partitionBy("name").text(parts)
+    ordered = _one_task_a_name(_chunks(lines, "name"), "name")
+    ordered.select("name", F.col("data").cast("string").alias("line")).write.partitionBy("name").text(parts)
     _move(spark, parts, folder)
 
 
+_CHUNK = "name string, number int, member string, part int, turn int, data binary"
+
+
+def _chunks(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines in the order of ``keys`` and ``place``, sorted by many tasks and joined to chunks of whole lines.
+
+    A file's single writer then sorts a row for thousands of lines. The last line's end is left to that writer;
+    null lines are empty. Chunks of one file are in order by ``part`` and ``turn``.
+    """
+    order = [*keys, "place"]
+    if "member" not in lines.columns:
+        lines = lines.withColumns({"number": F.lit(0), "member": F.lit("")})
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, turn = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            names, numbers, members, lines = (batch.column(c) for c in ("name", "number", "member", "line"))
+            lines = pc.binary_join_element_wise(pc.fill_null(lines.cast(pa.binary()), b""), b"", b"\n")
+            at = 0
+            for end in _run_ends(names, numbers, members):
+                offsets = np.frombuffer(lines.buffers()[1], "int32")[lines.offset + at : lines.offset + end + 1]
+                data = lines.buffers()[2][int(offsets[0]) : int(offsets[-1]) - 1].to_pybytes()
+                own = {"name": names[at].as_py(), "number": numbers[at].as_py(), "member": members[at].as_py()}
+                yield pa.RecordBatch.from_pylist([own | {"part": part, "turn": turn, "data": data}], _CHUNK_ARROW)
+                at, turn = end, turn + 1
+
+    return ordered.mapInArrow(joined, _CHUNK)
+
+
+_CHUNK_ARROW = pa.schema([("name", pa.string()), ("number", pa.int32()), ("member", pa.string()), ("part", pa.int32()), ("turn", pa.int32()), ("data", pa.binary())])
+
+
+def _run_ends(*columns: pa.Array) -> list[int]:
+    """Where runs of equal values end."""
+    ends = {len(columns[0])} if len(columns[0]) else set()
+    for column in columns:
+        ends |= set(pc.run_end_encode(column).run_ends.to_pylist())
+    return sorted(ends)
+
+
+def _one_task_a_name(chunks: DataFrame, *keys: str) -> DataFrame:
+    return chunks.repartition("name").sortWithinPartitions(*keys, "part", "turn")
+
+
 def _move(spark: SparkSession, parts: str, folder: str) -> None:
     """Give the only file of each partition ``name`` that name."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -58,24 +109,72 @@ def _move(spark: SparkSession, parts: str, folder: str) -> None:
 def write_archives(lines: DataFrame, folder: str) -> None:
     """ZIP archives named by the column ``name``, with the members ``member`` in the order of ``number``.
 
-    Each is packed by one task. Text files end with a line break; here it is the archive's comment.
+    Each is packed by one task, as a stream: a row is a piece of an archive that ends at a line break, which the line
+    writer adds. The last line break is the archive's comment. Members without lines are empty.
     """
-
-    def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            for (_, member), own in rows.sort_values(["number", "place"]).groupby(["number", "member"]):
-                archive.writestr(member, "".join(line + "\n" for line in own["line"].dropna()))
-            archive.comment = b"\n"
-        return pd.DataFrame({"name": [rows["name"].iloc[0]], "content": [buffer.getvalue()[:-1]]})
-
     spark = lines.sparkSession
     parts = shared_folder(spark, "parts")
-    archives = lines.groupBy("name").applyInPandas(packed, "name string, content binary")
-    archives.select("name", F.col("content").cast("string").alias("line")).write.partitionBy("name").text(parts)
+    keys = ("name", "number", "member")
+    filled = _chunks(lines.where(F.col("line").isNotNull()), *keys)
+    empty = lines.where(F.col("line").isNull()).select(*keys).distinct()
+    none = {"part": F.lit(-1), "turn": F.lit(0), "data": F.lit(None).cast("binary")}
+    chunks = filled.unionByName(empty.withColumns(none))
+    archives = _one_task_a_name(chunks.where("number IS NOT NULL AND member IS NOT NULL"), *keys).mapInArrow(_archived, "name string, turn int, data binary")
+    ordered = archives.sortWithinPartitions("name", "turn")
+    ordered.select("name", F.col("data").cast("string").alias("line")).write.partitionBy("name").text(parts)
     _move(spark, parts, folder)
 
 
+class _Pieces(io.RawIOBase):
+    """What is written, to be taken in pieces that end at a line break."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.held.append(bytes(data))
+        self.size += len(data)
+        return len(data)
+
+    def taken(self, least: int) -> bytes | None:
+        """The bytes before the last line break, if there are so many; that break is left out."""
+        if self.size < least:
+            return None
+        data = b"".join(self.held)
+        end = data.rfind(b"\n")
+        self.held, self.size = [data[end + 1 :]], len(data) - end - 1
+        return data[:end] if end >= 0 else None
+
+
+def _archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = (row for batch in batches for k in range(batch.num_rows) for row in batch.slice(k, 1).to_pylist())
+    for name, own in groupby(rows, lambda r: r["name"]):
+        sink, turn = _Pieces(), 0
+
+        def pieces(least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal turn
+            if (data := sink.taken(least)) is not None:
+                yield pa.record_batch({"name": pa.array([name], pa.string()), "turn": pa.array([turn], pa.int32()), "data": pa.array([data], pa.binary())})
+                turn += 1
+
+        with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.comment = b"\n"
+            for (_, member), chunks in groupby(own, lambda r: (r["number"], r["member"])):
+                with archive.open(member, "w", force_zip64=True) as target:
+                    for chunk in chunks:
+                        if chunk["data"] is not None:
+                            target.write(chunk["data"] + b"\n")
+                            yield from pieces(PIECE_BYTES)
+        yield from pieces(1)
+
+
+#: An archive is written in pieces of about this size.
+PIECE_BYTES = 1 << 20
+
+
 def filing_lines(spark: SparkSession, sf_dir: str, prefix: str = "Bulk ", price=None, columns=("RCON1", "RCON2"), rows=None) -> DataFrame:
     """The lines of the yearly files; ``rows`` limits the filers of a file to some of them."""
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))

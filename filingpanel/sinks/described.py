@@ -57,11 +57,34 @@ class _File:
             self.writer.write_table(rows)
         self.held, self.size = [], 0
 
-    def closed(self) -> bytes:
+    def closed(self) -> pa.Buffer:
         """The file's bytes without the mark at its end."""
         self.flush()
         self.writer.close()
-        return self.sink.getvalue().to_pybytes()[: -len(END_MARK)]
+        whole = self.sink.getvalue()
+        return whole[: len(whole) - len(END_MARK)]
+
+
+def _row(data: pa.Buffer) -> pa.RecordBatch:
+    """Bytes as a row, without a copy."""
+    offsets = pa.array([0, data.size], pa.int32()).buffers()[1]
+    return pa.record_batch({"value": pa.Array.from_buffers(pa.binary(), 1, [None, offsets, data])})
+
+
+def _sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches as rows of bytes, compressed, for another task."""
+    for batch in batches:
+        if batch.num_rows:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as stream:
+                stream.write_batch(batch)
+            yield _row(sink.getvalue())
+
+
+def _received(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for value in batch.column(0):
+            yield from pa.ipc.open_stream(value.as_buffer())
 
 
 def _packed(schema: pa.Schema, file_bytes: int):
@@ -73,10 +96,10 @@ def _packed(schema: pa.Schema, file_bytes: int):
             file = file or _File(schema)
             file.add(batch)
             if file.sink.tell() >= file_bytes:
-                yield pa.record_batch({"value": pa.array([file.closed()], pa.binary())})
+                yield _row(file.closed())
                 file = None
         if file:
-            yield pa.record_batch({"value": pa.array([file.closed()], pa.binary())})
+            yield _row(file.closed())
 
     return packed
 
@@ -91,14 +114,18 @@ def write_described(df: DataFrame, path: str, one_file: bool = False, file_bytes
     spark = df.sparkSession
     ship_package(spark)
     schema = described_schema(df)
-    rows = df.coalesce(1) if one_file else df.hint("rebalance")
     parent, name = os.path.split(path.rstrip("/"))
     beside = os.path.join(parent, f"_{name}-{uuid.uuid4().hex}")
-    _store(rows.mapInArrow(_packed(schema, file_bytes), "value binary"), beside)
+    packed = _packed(schema, file_bytes)
+    if one_file:  # one task writes, but others make the rows
+        files = df.mapInArrow(_sent, "value binary").repartition(1).mapInArrow(lambda batches: packed(_received(batches)), "value binary")
+    else:
+        files = df.hint("rebalance").mapInArrow(packed, "value binary")
+    _store(files, beside)
     stored = _stored(spark, beside)
     if not stored:
         remove(spark, [beside])
-        empty = spark.createDataFrame([(bytearray(_File(schema).closed()),)], "value binary")
+        empty = spark.createDataFrame([(bytearray(_File(schema).closed().to_pybytes()),)], "value binary")
         _store(empty, beside)
         stored = _stored(spark, beside)
     paths = spark._jvm.org.apache.hadoop.fs.Path

@@ -21,20 +21,22 @@ from filingpanel.operators.columns import find_filer_column
 from filingpanel.session import staged
 from filingpanel.sources import cells, slices
 from filingpanel.sources.blocks import MemberStream, archive_members, file_blocks, member_parts, members_of
-from filingpanel.sources.files import MOST_BYTES, open_file, read_files
+from filingpanel.sources.files import open_file, read_files
 from filingpanel.sources.headers import unique_names
 
 PATTERN = "*.{txt,csv,zip}"
+#: Larger files are read in blocks: a task that holds a file whole takes so much memory at most.
+INLINE_BYTES = 256 << 20
 _SURPLUS = "\x00surplus"
 LOOSE = "utf-8, ignoring other bytes"
 
 
-def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN, most_bytes: int = MOST_BYTES) -> DataFrame:
+def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN, most_bytes: int = INLINE_BYTES) -> DataFrame:
     """Decoded rows (``cells.CELL_SCHEMA``) of all schedules below ``paths``; files over ``most_bytes`` are read in blocks."""
     return decode_delimited(read_files(spark, paths, pattern, keep=keep, most_bytes=most_bytes), most_bytes)
 
 
-def decode_delimited(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+def decode_delimited(files: DataFrame, most_bytes: int = INLINE_BYTES) -> DataFrame:
     """Decode files given as ``(path, file_name, length, content)``; one header, then rows, per member."""
     inside, beyond = files.where(F.col("length") <= most_bytes), files.where(F.col("length") > most_bytes)
     cut = inside.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
@@ -103,7 +105,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, name, content in zip(*(batch.column(i) for i in range(3))):
             path, name = path.as_py(), name.as_py()
             try:
-                with open_file(content.as_py()) as stream:
+                with open_file(content.as_buffer()) as stream:
                     yield from _cut_file(path, name, stream)
             except cells.DECODE_ERRORS as problem:
                 yield _failed(path, name, cells.WHOLE_FILE, problem)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Sequence
+from collections.abc import Buffer, Sequence
 from typing import BinaryIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,8 +63,34 @@ def plain_name() -> Column:
     return decoded_file_name()
 
 
-def open_file(content: bytes | None) -> BinaryIO:
-    """A file's bytes as a seekable stream."""
+class _Held(io.RawIOBase):
+    """Bytes that something else holds, as a stream that copies no more than what is read."""
+
+    def __init__(self, data):
+        self.data, self.at = memoryview(data), 0
+
+    def seekable(self) -> bool:
+        return True
+
+    def readable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        self.at = max(0, offset + (0, self.at, len(self.data))[whence])
+        return self.at
+
+    def read(self, size: int | None = -1) -> bytes:
+        end = len(self.data) if size is None or size < 0 else self.at + size
+        found = bytes(self.data[self.at : end])
+        self.at += len(found)
+        return found
+
+
+def open_file(content: Buffer | None) -> BinaryIO:
+    """A file's bytes, or a buffer of them, as a seekable stream."""
     if content is None:
         raise ValueError(f"the file has more than {MOST_BYTES} bytes")
-    return io.BytesIO(content)
+    return io.BytesIO(content) if isinstance(content, bytes) else _Held(content)

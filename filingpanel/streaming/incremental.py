@@ -63,7 +63,7 @@ def ingest_new_bulk(
         period = period_from_bulk_name("file_name")
         state = F.when(period.isNull(), cells.UNDATED)
         listing = staged(batch.select("path", quarter_label(period).alias("quarter"), state.alias("state")), "listing")
-        decoded = staged_rows(delimited.decode_delimited(with_content(batch.where(period.isNotNull()))), "bulk")
+        decoded = staged_rows(delimited.decode_delimited(with_content(batch.where(period.isNotNull()), delimited.INLINE_BYTES)), "bulk")
         return assemble_bulk(decoded, dictionary, listing=listing, earlier=earlier)
 
     return _start(_file_stream(spark, folder, delimited.PATTERN, files_per_batch), "bulk", build, out, checkpoint)
