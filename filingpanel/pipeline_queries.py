@@ -28,6 +28,7 @@ from filingpanel.plans.panel import wide_panel
 from filingpanel.plans.report import coverage_report, report_on
 from filingpanel.plans.update import export_wide, update_bulk
 from filingpanel.session import shared_folder
+from filingpanel.sources.blocks import run_ends
 from filingpanel.sources.dictionary import read_dictionary
 from filingpanel.sources.files import list_files, read_files
 from filingpanel.sources.panel import read_inputs, read_panel, summarize_wide_files
@@ -69,7 +70,7 @@ def _chunks(lines: DataFrame, *keys: str) -> DataFrame:
             names, numbers, members, lines = (batch.column(c) for c in ("name", "number", "member", "line"))
             lines = pc.binary_join_element_wise(pc.fill_null(lines.cast(pa.binary()), b""), b"", b"\n")
             at = 0
-            for end in _run_ends(names, numbers, members):
+            for end in run_ends(names, numbers, members):
                 offsets = np.frombuffer(lines.buffers()[1], "int32")[lines.offset + at : lines.offset + end + 1]
                 data = lines.buffers()[2][int(offsets[0]) : int(offsets[-1]) - 1].to_pybytes()
                 own = {"name": names[at].as_py(), "number": numbers[at].as_py(), "member": members[at].as_py()}
@@ -82,14 +83,6 @@ def _chunks(lines: DataFrame, *keys: str) -> DataFrame:
 _CHUNK_ARROW = pa.schema([("name", pa.string()), ("number", pa.int32()), ("member", pa.string()), ("part", pa.int32()), ("turn", pa.int32()), ("data", pa.binary())])
 
 
-def _run_ends(*columns: pa.Array) -> list[int]:
-    """Where runs of equal values end."""
-    ends = {len(columns[0])} if len(columns[0]) else set()
-    for column in columns:
-        ends |= set(pc.run_end_encode(column).run_ends.to_pylist())
-    return sorted(ends)
-
-
 def _one_task_a_name(chunks: DataFrame, *keys: str) -> DataFrame:
     return chunks.repartition("name").sortWithinPartitions(*keys, "part", "turn")
 

@@ -17,12 +17,15 @@ import zlib
 from collections.abc import Callable, Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filingpanel.session import staged
+from filingpanel.sources.slices import pieces_of
 
 #: Bytes that make a block, and bytes of a file's end in which its list of members is looked for first.
 BLOCK_BYTES, TAIL_BYTES = 4 << 20, 4 << 20
@@ -51,50 +54,73 @@ def _same_path(path: Column) -> Column:
     return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
-def file_blocks(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(path, length, offset, data)`` of files given as ``(path, length)``, written; the driver sees their paths.
+def line_blocks(files: DataFrame, block_bytes: int | None = None) -> DataFrame:
+    """``(path, length, split, place, data)`` of files given as ``(path, length)``; the driver sees their paths.
 
-    A mark of UTF-8 that begins a file is left out, as the line reader does, and offsets count from after it.
+    Blocks are whole lines, each with an end, in order by ``split`` and ``place``. The reader does not tell whether a file's
+    last line has one. A mark of UTF-8 that begins a file is left out, as the line reader does.
     """
-    spark = files.sparkSession
+    spark, block_bytes = files.sparkSession, block_bytes or BLOCK_BYTES
     paths = [re.sub(r"([\\\[\]{}*?])", r"\\\1", r["path"]) for r in files.select("path").collect()]
     lines = spark.read.option("lineSep", "\n").text(paths)
-    encoded = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
-    lines = lines.select(
-        _same_path(F.url_decode(encoded)).alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("line")
-    )
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("line"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, at, place = [], 0, None, 0
 
         def block() -> pa.RecordBatch:
             nonlocal held, size, place
-            data = b"\n".join([*held, b""])
+            data = b"".join(held)
             held, size, place = [], 0, place + 1
             return pa.RecordBatch.from_pydict({"path": [at[0]], "split": [at[1]], "place": pa.array([place], pa.int32()), "data": [data]})
 
         for batch in batches:
-            for path, split, line in zip(*(batch.column(i) for i in range(3))):
-                own = path.as_py(), split.as_py()
-                if own != at or size >= block_bytes:
+            paths, splits, lines = batch.columns
+            lines = pc.binary_join_element_wise(lines.cast(pa.binary()), b"", b"\n")
+            ends, data = np.frombuffer(lines.buffers()[1], "int32")[lines.offset : lines.offset + len(lines) + 1], lines.buffers()[2]
+            begin = 0
+            for end in run_ends(paths, splits):
+                own = paths[begin].as_py(), splits[begin].as_py()
+                if own != at:
                     if held:
                         yield block()
-                    place = place if own == at else 0
-                    at = own
-                held.append(line.as_py())
-                size += len(held[-1]) + 1
+                    at, place = own, 0
+                while begin < end:
+                    # Up to the line that fills the block.
+                    until = min(end, int(np.searchsorted(ends, int(ends[begin]) + block_bytes - size)))
+                    held.append(data[int(ends[begin]) : int(ends[until])].to_pybytes())
+                    size, begin = size + len(held[-1]), until
+                    if size >= block_bytes:
+                        yield block()
         if held:
             yield block()
 
-    blocks = staged(lines.mapInArrow(joined, _LINES), "blocks")
+    encoded = F.regexp_replace(F.col("path"), r"\+", "%2B")
+    blocks = lines.mapInArrow(joined, _LINES).withColumn("path", _same_path(F.url_decode(encoded)))
+    listed = files.select(F.col("path").alias("file"), "length", _same_path(F.col("path")).alias("path"))
+    return blocks.join(listed, "path").select(F.col("file").alias("path"), "length", "split", "place", "data")
+
+
+def run_ends(*columns: pa.Array) -> list[int]:
+    """Where runs of equal values end."""
+    ends = {len(columns[0])} if len(columns[0]) else set()
+    for column in columns:
+        ends |= set(pc.run_end_encode(column).run_ends.to_pylist())
+    return sorted(ends)
+
+
+def file_blocks(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(path, length, offset, data)`` of files given as ``(path, length)``, written.
+
+    Offsets count from after a mark that the line reader leaves out.
+    """
+    blocks = staged(line_blocks(files, block_bytes), "blocks")
     before = Window.partitionBy("path").orderBy("split", "place").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("path", "split", "place", F.octet_length("data").cast("long").alias("size"))
     offsets = offsets.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0))).drop("size")
-    listed = files.select(F.col("path").alias("file"), "length", _same_path(F.col("path")).alias("path"))
-    placed = blocks.join(offsets, ["path", "split", "place"]).join(listed, "path")
-    # The reader does not tell whether the last line had an end.
+    placed = blocks.join(offsets, ["path", "split", "place"])
     left = F.greatest(F.lit(0), F.least(F.octet_length("data"), F.col("length") - F.col("offset"))).cast("int")
-    return placed.select(F.col("file").alias("path"), "length", "offset", F.substring(F.col("data"), F.lit(1), left).alias("data")).where("octet_length(data) > 0")
+    return placed.select("path", "length", "offset", F.substring(F.col("data"), F.lit(1), left).alias("data")).where("octet_length(data) > 0")
 
 
 class _Beyond(Exception):
@@ -258,8 +284,7 @@ class MemberStream(io.RawIOBase):
 
 def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Iterator[bytes]]]:
     """The members of a task one by one, from ``member_parts`` in order: what is known of each, and its parts."""
-    rows = (row for batch in batches for k in range(batch.num_rows) for row in batch.slice(k, 1).to_pylist())
-    for _, own in groupby(rows, lambda r: (r["path"], r["ordinal"])):
+    for _, own in groupby(pieces_of(batches), lambda r: (r["path"], r["ordinal"])):
         first = next(own)
         yield first, (r["data"] for r in _again(first, own))
 

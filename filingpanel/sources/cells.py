@@ -63,7 +63,11 @@ _ARROW = pa.schema(
 )
 
 
-def regrouped(batches: Iterable[pa.RecordBatch], cells: int = 200_000) -> Iterator[pa.RecordBatch]:
+#: Rows and cells that make a batch.
+BATCH_CELLS = 200_000
+
+
+def regrouped(batches: Iterable[pa.RecordBatch], cells: int = BATCH_CELLS) -> Iterator[pa.RecordBatch]:
     """The same rows in fewer batches: many small members would otherwise travel one by one."""
     waiting: list[pa.RecordBatch] = []
     size = 0

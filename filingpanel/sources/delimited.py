@@ -7,6 +7,7 @@ import csv
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from typing import BinaryIO
 
 import numpy as np
@@ -20,25 +21,27 @@ from filingpanel.functions.periods import period_from_bulk_name
 from filingpanel.operators.columns import find_filer_column
 from filingpanel.session import staged
 from filingpanel.sources import cells, slices
-from filingpanel.sources.blocks import MemberStream, archive_members, file_blocks, member_parts, members_of
-from filingpanel.sources.files import open_file, read_files
+from filingpanel.sources.blocks import MemberStream, archive_members, file_blocks, line_blocks, member_parts, members_of
+from filingpanel.sources.files import is_archive, open_file, read_files
 from filingpanel.sources.headers import unique_names
 
 PATTERN = "*.{txt,csv,zip}"
-#: Larger files are read in blocks: a task that holds a file whole takes so much memory at most.
-INLINE_BYTES = 256 << 20
+#: Larger archives, and larger loose files, are read in blocks. Bytes that go through a task as one row are there
+#: several times over: in the row, in the row's copy, on their way to Python and in Python.
+INLINE_BYTES, LOOSE_BYTES = 256 << 20, 16 << 20
 _SURPLUS = "\x00surplus"
 LOOSE = "utf-8, ignoring other bytes"
 
 
 def read_delimited(spark: SparkSession, paths, keep=None, pattern: str = PATTERN, most_bytes: int = INLINE_BYTES) -> DataFrame:
     """Decoded rows (``cells.CELL_SCHEMA``) of all schedules below ``paths``; files over ``most_bytes`` are read in blocks."""
-    return decode_delimited(read_files(spark, paths, pattern, keep=keep, most_bytes=most_bytes), most_bytes)
+    return decode_delimited(read_files(spark, paths, pattern, keep=keep, most_bytes=most_bytes, loose_bytes=LOOSE_BYTES), most_bytes)
 
 
 def decode_delimited(files: DataFrame, most_bytes: int = INLINE_BYTES) -> DataFrame:
     """Decode files given as ``(path, file_name, length, content)``; one header, then rows, per member."""
-    inside, beyond = files.where(F.col("length") <= most_bytes), files.where(F.col("length") > most_bytes)
+    held = F.col("length") <= F.when(is_archive(F.col("file_name")), most_bytes).otherwise(min(most_bytes, LOOSE_BYTES))
+    inside, beyond = files.where(held), files.where(~held)
     cut = inside.select("path", "file_name", "content").mapInArrow(_cut, slices.SLICE_SCHEMA)
     large = beyond.select("path", "file_name", "length")  # known from the listing; content is not read for it
     if large.limit(1).count():
@@ -54,15 +57,38 @@ def _cut_large(files: DataFrame) -> DataFrame:
     Members are unpacked twice, first to learn their encoding and whether they are whole.
     """
     large = staged(files, "large")
+    zipped = is_archive(F.col("file_name"))
+    kinds = ((large.where(~zipped), _cut_loose_files), (large.where(zipped), _cut_archives))
+    return reduce(DataFrame.unionByName, [cut(own) for own, cut in kinds if own.limit(1).count()])
+
+
+def _cut_loose_files(files: DataFrame) -> DataFrame:
+    """Blocks of lines need no more than their order: they go from the reader to the file's task, and are not written."""
+    blocks = line_blocks(files).join(files.select("path", F.col("file_name").alias("name")), "path").withColumn("ordinal", F.lit(0))
+    ordered = blocks.repartition("path").sortWithinPartitions("path", "split", "place")
+    return ordered.mapInArrow(_cut_loose, slices.SLICE_SCHEMA)
+
+
+def _cut_loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for first, parts in members_of(batches):
+        try:
+            yield from _cut_member(first["path"], first["name"], 0, MemberStream(_up_to(first["length"], parts), None, 0, 0), LOOSE)
+        except cells.DECODE_ERRORS as problem:
+            yield _failed(first["path"], first["name"], cells.WHOLE_FILE, problem)
+
+
+def _up_to(length: int, parts: Iterator[bytes]) -> Iterator[bytes]:
+    """Without the end that a file's last line does not have: the line reader does not tell."""
+    for part in parts:
+        part, length = part[:length], length - min(length, len(part))
+        if part:
+            yield part
+
+
+def _cut_archives(large: DataFrame) -> DataFrame:
     blocks = staged(file_blocks(large.select("path", "length")), "placed")
-    zipped = F.lower("file_name").endswith(".zip")
-    archives = blocks.join(large.where(zipped).select("path"), "path", "left_semi")
-    members = archive_members(archives, lambda name: name.endswith((".txt", ".csv")), cells.DECODE_ERRORS)
-    none = {name: F.lit(None).cast(kind) for name, kind in members.dtypes}
-    loose = large.where(~zipped).select(
-        *[{**none, "path": F.col("path"), "ordinal": F.lit(0), "name": F.col("file_name"), "first": F.lit(0).cast("long"), "last": F.col("length")}[c].alias(c) for c in members.columns]
-    )
-    parts = member_parts(blocks, members.where(F.col("problem").isNull()).unionByName(loose)).select("path", "ordinal", "name", "method", "packed", "crc", "offset", "data")
+    members = archive_members(blocks, lambda name: name.endswith((".txt", ".csv")), cells.DECODE_ERRORS)
+    parts = member_parts(blocks, members.where(F.col("problem").isNull())).select("path", "ordinal", "name", "method", "packed", "crc", "offset", "data")
     key = ["path", "ordinal"]
     ordered = parts.where(F.col("method").isNotNull()).repartition(*key).sortWithinPartitions(*key, "offset")
     verdicts = staged(ordered.mapInArrow(_encodings, "path string, ordinal int, encoding string, problem string"), "encodings")
@@ -207,9 +233,13 @@ def _parse_slice(piece: dict) -> Iterator[pa.RecordBatch]:
         ids = pd.to_numeric(rows[id_column], errors="coerce").replace([np.inf, -np.inf], np.nan)
         valid = ids.notna()
         ids = np.trunc(ids[valid])
-        texts = rows.loc[valid].drop(columns=[id_column, _SURPLUS]).to_numpy(dtype=object)
-        numbers = np.full(texts.shape, np.nan)
-        yield cells.value_batch(piece, ids, None, variables, numbers, texts)
+        rows = rows.loc[valid].drop(columns=[id_column, _SURPLUS])
+        # Some rows at a time: only the text of a slice is there as a whole.
+        step = -(-cells.BATCH_CELLS // (1 + len(variables)))
+        for at in range(0, len(rows), step):
+            texts = rows.iloc[at : at + step].to_numpy(dtype=object)
+            numbers = np.full(texts.shape, np.nan)
+            yield cells.value_batch(piece | {"first_row": piece["first_row"] + at}, ids.iloc[at : at + step], None, variables, numbers, texts)
     except pd.errors.EmptyDataError:
         return  # no rows
     except (ValueError, csv.Error) as problem:

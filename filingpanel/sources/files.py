@@ -37,25 +37,38 @@ def read_files(
     recursive: bool = False,
     keep: Column | None = None,
     most_bytes: int = MOST_BYTES,
+    loose_bytes: int | None = None,
 ) -> DataFrame:
-    """``(path, file_name, length, content)`` of the files whose name satisfies ``keep``.
+    """``(path, file_name, length, content)`` of the files whose name satisfies ``keep``; limits as in ``with_content``.
 
     ``keep`` is written over ``decoded_file_name()``, which depends on the listing alone: the
     files it rejects are never opened.
     """
     files = _reader(spark, pattern, recursive).load(paths if isinstance(paths, str) else list(paths))
-    return with_content(files if keep is None else files.where(keep), most_bytes)
+    return with_content(files if keep is None else files.where(keep), most_bytes, loose_bytes, plain_name())
 
 
-def with_content(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
-    """``(path, file_name, length, content)`` of a file listing; null content where a row cannot hold it.
+def with_content(
+    files: DataFrame, most_bytes: int = MOST_BYTES, loose_bytes: int | None = None, name: Column | None = None
+) -> DataFrame:
+    """``(path, file_name, length, content)`` of a file listing; null content where a row is not to hold it.
 
-    Every file is read by Spark's own reader, with the session's file systems and credentials.
+    That is a file over ``most_bytes``, or over ``loose_bytes`` if it is no archive by its ``name``, which must depend
+    on the listing alone. Every file is read by Spark's own reader, with the session's file systems and credentials.
     """
     columns = ("path", base_name(F.col("path")).alias("file_name"), "length")
-    inside = files.where(F.col("length") <= most_bytes).select(*columns, "content")
-    beyond = files.where(F.col("length") > most_bytes).select(*columns, F.lit(None).cast("binary").alias("content"))
-    return inside.unionByName(beyond)
+    length, none = F.col("length"), F.lit(None).cast("binary").alias("content")
+    if loose_bytes is None or loose_bytes >= most_bytes:
+        inside = files.where(length <= most_bytes).select(*columns, "content")
+        return inside.unionByName(files.where(length > most_bytes).select(*columns, none))
+    # Conditions one scan each: it opens no file that they reject.
+    inside = files.where(length <= loose_bytes).unionByName(files.where((length > loose_bytes) & (length <= most_bytes) & is_archive(name)))
+    beyond = files.where((length > most_bytes) | ((length > loose_bytes) & ~is_archive(name)))
+    return inside.select(*columns, "content").unionByName(beyond.select(*columns, none))
+
+
+def is_archive(name: Column) -> Column:
+    return F.lower(name).endswith(".zip")
 
 
 def plain_name() -> Column:

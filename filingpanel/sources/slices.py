@@ -65,10 +65,11 @@ def _codec() -> pa.Codec:
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """The slices of a task one by one."""
+    """The rows of a task, slices for instance, one by one."""
     for batch in batches:
         for row in range(batch.num_rows):
             yield batch.slice(row, 1).to_pylist()[0]
+        del batch  # before the next one is read
 
 
 def check_readable(archive: zipfile.ZipFile) -> None:

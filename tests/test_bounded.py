@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from filingpanel import pipeline_queries
 from filingpanel.functions import text
 from filingpanel.sinks import described
-from filingpanel.sources import delimited, files, panel
+from filingpanel.sources import blocks, cells, delimited, files, panel, slices
 
 
 def _lines(spark, n):
@@ -104,3 +104,43 @@ def test_archives_beyond_the_inline_size_go_in_blocks(spark, tmp_path):
         for most in (1, delimited.INLINE_BYTES)
     ]
     assert found[0] == found[1] and [r[1] for r in found[0] if r[0] != -1] == [1, 3]
+
+
+@pytest.fixture
+def long_file(spark, tmp_path):
+    """A loose file beyond ``LOOSE_BYTES``, in a session whose reader refuses to hold more than that of a file."""
+    name, most = tmp_path / "in" / "a 12312020.txt", "spark.sql.sources.binaryFile.maxLength"
+    name.parent.mkdir()
+    with name.open("w") as file:
+        file.write("IDRSSD\tRCON1\tRCON2\n" + "".join(f"{i}\t{i * 2}\t{'x' * 1000}\n" for i in range(17_000)))
+    assert name.stat().st_size > 16 << 20
+    spark.conf.set(most, str(16 << 20))
+    yield name
+    spark.conf.unset(most)
+
+
+def test_no_task_holds_a_long_loose_file(spark, long_file):
+    found = delimited.read_delimited(spark, str(long_file.parent)).where("row_no >= 0").groupBy("error").agg(F.count("filer_id"), F.sum("filer_id"), F.sum(F.size("cells")))
+    assert [tuple(r) for r in found.collect()] == [(None, 17_000, sum(range(17_000)), 34_000)]
+
+
+def test_blocks_end_with_the_line_that_fills_them(spark, tmp_path):
+    data = "".join("y" * (k % 50) + "\n" for k in range(30_000))
+    (tmp_path / "a b.txt").write_text(data + "end")
+    (tmp_path / "c.txt").write_text("\n")
+    listed = files.list_files(spark, str(tmp_path))
+    found = blocks.line_blocks(listed, 1000).orderBy("path", "split", "place").collect()
+    assert b"".join(r["data"] for r in found).decode() == data + "end\n\n"
+    assert all(1000 <= len(r["data"]) <= 1050 for r in found[:-2])
+    assert [r["place"] for r in found] == [*range(1, len(found)), 1]
+
+
+def test_a_slice_becomes_values_some_rows_at_a_time(monkeypatch):
+    body = b"".join(b"%d\t%d\tx\n" % (i, i) if i % 3 else b"none\t1\tx\n" for i in range(3000))
+    piece = slices.slice_batch(path="p", source_name="s", member_ordinal=0, slice_no=1, first_row=5, encoding="utf-8", head=b"IDRSSD\tA\tB\n", body=body).to_pylist()[0] | {"period": None}
+    whole = [r for batch in delimited._parse_slice(piece) for r in batch.to_pylist()]
+    monkeypatch.setattr(cells, "BATCH_CELLS", 300)
+    batches = list(delimited._parse_slice(piece))
+    assert [r for batch in batches for r in batch.to_pylist()] == whole and len(whole) == 2000
+    assert [r["row_no"] for r in whole] == list(range(5, 2005))
+    assert max(batch.num_rows for batch in batches) == 100
