@@ -10,7 +10,6 @@ task, whatever its size.
 from __future__ import annotations
 
 import io
-import re
 import struct
 import zipfile
 import zlib
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filingpanel.session import staged
+from filingpanel.sources.files import literal_paths
 from filingpanel.sources.slices import pieces_of
 
 #: Bytes that make a block, and bytes of a file's end in which its list of members is looked for first.
@@ -61,8 +61,7 @@ def line_blocks(files: DataFrame, block_bytes: int | None = None) -> DataFrame:
     last line has one. A mark of UTF-8 that begins a file is left out, as the line reader does.
     """
     spark, block_bytes = files.sparkSession, block_bytes or BLOCK_BYTES
-    paths = [re.sub(r"([\\\[\]{}*?])", r"\\\1", r["path"]) for r in files.select("path").collect()]
-    lines = spark.read.option("lineSep", "\n").text(paths)
+    lines = spark.read.option("lineSep", "\n").text(literal_paths(files))
     lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("line"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Buffer, Sequence
 from typing import BinaryIO
 
@@ -48,6 +49,19 @@ def read_files(
     return with_content(files if keep is None else files.where(keep), most_bytes, loose_bytes, plain_name())
 
 
+def read_listed(listed: DataFrame, most_bytes: int = MOST_BYTES, loose_bytes: int | None = None) -> DataFrame:
+    """``read_files`` of the files of a listing, by ``path``; the driver sees their paths."""
+    paths = literal_paths(listed)
+    if not paths:
+        return listed.sparkSession.createDataFrame([], "path string, file_name string, length bigint, content binary")
+    return read_files(listed.sparkSession, paths, most_bytes=most_bytes, loose_bytes=loose_bytes)
+
+
+def literal_paths(listed: DataFrame) -> list[str]:
+    """The paths of a listing, for a reader that takes patterns."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", r["path"]) for r in listed.select("path").collect()]
+
+
 def with_content(
     files: DataFrame, most_bytes: int = MOST_BYTES, loose_bytes: int | None = None, name: Column | None = None
 ) -> DataFrame:

@@ -22,16 +22,17 @@ from filingpanel.plans.panel import Panel, staged_rows
 from filingpanel.session import recorded, remove, staged
 from filingpanel.sinks.panel import write_panel
 from filingpanel.sources import cells, delimited, xport
-from filingpanel.sources.files import with_content
+from filingpanel.sources.files import read_listed
 from filingpanel.sources.panel import read_inputs
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _file_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int) -> DataFrame:
+    """The listing of files that arrive, without their content: every use of a batch reads all that the stream selects."""
     reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
     reader = reader.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder).withColumn("file_name", base_name(F.col("path")))
+    return reader.load(folder).select("path", base_name(F.col("path")).alias("file_name"))
 
 
 def _start(files: DataFrame, source: str, build, out: str, checkpoint: str) -> StreamingQuery:
@@ -42,7 +43,8 @@ def _start(files: DataFrame, source: str, build, out: str, checkpoint: str) -> S
         done = None if inputs is None else inputs.where((F.col("state") == "processed") & (F.col("source") == source))
         with recorded() as folders:
             earlier = None if done is None else staged(done.groupBy("quarter").agg(F.min("path").alias("path")), "earlier")
-            write_panel(build(batch, earlier), out, replace="partitions")
+            # Names with pattern characters make the source list files of their folder twice.
+            write_panel(build(batch.distinct(), earlier), out, replace="partitions")
         remove(spark, folders)
 
     writer = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -63,7 +65,8 @@ def ingest_new_bulk(
         period = period_from_bulk_name("file_name")
         state = F.when(period.isNull(), cells.UNDATED)
         listing = staged(batch.select("path", quarter_label(period).alias("quarter"), state.alias("state")), "listing")
-        decoded = staged_rows(delimited.decode_delimited(with_content(batch.where(period.isNotNull()), delimited.INLINE_BYTES)), "bulk")
+        files = read_listed(listing.where("state IS NULL"), delimited.INLINE_BYTES, delimited.LOOSE_BYTES)
+        decoded = staged_rows(delimited.decode_delimited(files), "bulk")
         return assemble_bulk(decoded, dictionary, listing=listing, earlier=earlier)
 
     return _start(_file_stream(spark, folder, delimited.PATTERN, files_per_batch), "bulk", build, out, checkpoint)
@@ -83,7 +86,7 @@ def ingest_new_historical(
         state = xport.name_state(F.col("file_name"), None, None, ())
         quarter = quarter_label(period_from_call_name("file_name"))
         listing = staged(batch.select("path", quarter.alias("quarter"), state.alias("state")), "listing")
-        decoded = staged_rows(xport.decode_xport(with_content(batch.where(state.isNull()))), "historical")
+        decoded = staged_rows(xport.decode_xport(read_listed(listing.where("state IS NULL"))), "historical")
         return assemble_historical(decoded, dictionary, listing=listing, earlier=earlier)
 
     return _start(_file_stream(spark, folder, xport.PATTERN, files_per_batch), "historical", build, out, checkpoint)

@@ -12,6 +12,7 @@ from filingpanel import pipeline_queries
 from filingpanel.functions import text
 from filingpanel.sinks import described
 from filingpanel.sources import blocks, cells, delimited, files, panel, slices
+from filingpanel.streaming import incremental
 
 
 def _lines(spark, n):
@@ -144,3 +145,22 @@ def test_a_slice_becomes_values_some_rows_at_a_time(monkeypatch):
     assert [r for batch in batches for r in batch.to_pylist()] == whole and len(whole) == 2000
     assert [r["row_no"] for r in whole] == list(range(5, 2005))
     assert max(batch.num_rows for batch in batches) == 100
+
+
+def test_a_stream_does_not_hold_long_loose_files(spark, long_file, tmp_path):
+    (long_file.parent / "b 12312020.txt").write_text("IDRSSD\tRCON1\n1\t2\n")
+    (long_file.parent / "[c]{d}* 12312021.txt").write_text("IDRSSD\tRCON1\n3\t4\n")
+    (long_file.parent / "notes.txt").write_text("IDRSSD\n")
+    out = str(tmp_path / "out")
+    incremental.ingest_new_bulk(spark, str(long_file.parent), out, str(tmp_path / "checkpoint")).awaitTermination()
+    counts = panel.read_panel(spark, out).facts.groupBy("quarter", "variable").agg(F.count("*"), F.sum("num_value"))
+    assert sorted(tuple(r) for r in counts.collect()) == [("2020Q4", "RCON1", 17_000, 2.0 * sum(range(17_000))), ("2020Q4", "RCON2", 17_000, None), ("2021Q4", "RCON1", 1, 4.0)]
+    states = panel.read_inputs(spark, out).select(F.regexp_extract("path", "[^/]*$", 0), "state").collect()
+    assert sorted(tuple(r) for r in states) == [("[c]{d}* 12312021.txt", "processed"), ("a 12312020.txt", "processed"), ("b 12312020.txt", "duplicate"), ("notes.txt", "undated")]
+
+
+def test_a_stream_of_undated_files_alone(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "notes.txt").write_text("IDRSSD\n")
+    incremental.ingest_new_bulk(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r["state"] for r in panel.read_inputs(spark, str(tmp_path / "out")).collect()] == ["undated"]
